@@ -11,16 +11,16 @@ from isograd.catalog import MONTH_ABBR
 from isograd.functions.calendar import month_label
 from isograd.functions.units import to_percent
 from isograd.operators.compare import melt
-from isograd.operators.temporal import month_spine
-from isograd.operators.windows import rolling15, sign_bands, with_scalar
+from isograd.operators.temporal import HEAT_COLUMNS, month_spine
+from isograd.operators.windows import month_vs_annual, rolling15, sign_bands
 
 RADIATION = ("ssr", "str", "tisr", "tsr", "ttr")
 
 
 def annual_cycle(daily: DataFrame, **rolling) -> DataFrame:
     """Daily temperature with range and rolling mean, heat and cloud percent, radiation."""
-    rolled = rolling15(daily, "t2m_c", "t2m_c_rolling15", **rolling)
-    return rolled.select(
+    shown = daily.select("time", "t2m_c", "t2m_c_min", "t2m_c_max", *HEAT_COLUMNS, "tcc", "net_rad", "ssr", "str_nlw")
+    return rolling15(shown, "t2m_c", "t2m_c_rolling15", **rolling).select(
         "time",
         "t2m_c",
         "t2m_c_min",
@@ -37,17 +37,14 @@ def annual_cycle(daily: DataFrame, **rolling) -> DataFrame:
 
 def monthly_energy(daily: DataFrame) -> DataFrame:
     """Monthly radiation, temperature against the mean of the year, and cloud percent."""
-    monthly = daily.groupBy(F.month("time").alias("month")).agg(
-        *[F.avg(c).alias(c) for c in ("ssr", "str_nlw", "net_rad", "t2m_c", "tcc")]
-    )
-    annual = daily.agg(F.avg("t2m_c").alias("annual"))
-    return with_scalar(monthly, annual, "_annual").select(
+    monthly = month_vs_annual(daily, "t2m_c", also=("ssr", "str_nlw", "net_rad", "tcc"))
+    return monthly.select(
         "month",
         month_label(F.col("month")).alias("month_abbr"),
         "ssr",
         "str_nlw",
         "net_rad",
-        (F.col("t2m_c") - F.col("_annual")).alias("t2m_c_vs_annual"),
+        "t2m_c_vs_annual",
         to_percent(F.col("tcc")).alias("cloud_pct"),
         "t2m_c",
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from isograd.catalog import HEAT_DANGER_C, HEAT_WARN_C, LATITUDE, TIME, Region
 from isograd.functions import units
-from isograd.operators.align import stack
+from isograd.operators.align import merge_on_keys
 from isograd.operators.select import inside
 
 HEAT_THRESHOLDS = {"frac_above_35c": HEAT_WARN_C, "frac_above_40c": HEAT_DANGER_C}
@@ -37,8 +37,9 @@ def spatial_mean(df: DataFrame, variables: Sequence[str], by: Sequence[str] = (T
 
 def weighted_spatial_mean(df: DataFrame, variables: Sequence[str], by: Sequence[str] = (TIME,)) -> DataFrame:
     """Area-weighted mean over all cells of a step."""
-    w = latitude_weight()
-    return df.groupBy(*by).agg(*[weighted_mean(F.col(v), w).alias(v) for v in variables])
+    w = F.col("_weight")
+    cells = df.select(*by, *variables, latitude_weight().alias("_weight"))
+    return cells.groupBy(*by).agg(*[weighted_mean(F.col(v), w).alias(v) for v in variables])
 
 
 def area_fraction(
@@ -70,6 +71,21 @@ def accum_columns(df: DataFrame, step_seconds: int = units.STEP_SECONDS_6H) -> D
     )
 
 
+def instant_series(instant: DataFrame, thresholds: Mapping[str, float] = HEAT_THRESHOLDS) -> DataFrame:
+    """Weighted temperature and cloud cover of every step with the heat fractions, from one aggregation."""
+    w, t = F.col("_weight"), F.col("t2m_c")
+    cells = instant_columns(instant).withColumn("_weight", latitude_weight())
+    return cells.groupBy(TIME).agg(
+        *[weighted_mean(F.col(v), w).alias(v) for v in ("t2m_c", "tcc")],
+        *[F.avg(units.heat_flag(t, x)).alias(name) for name, x in thresholds.items()],
+    )
+
+
+def accum_series(accum: DataFrame, step_seconds: int = units.STEP_SECONDS_6H) -> DataFrame:
+    """Weighted radiation fluxes of every step."""
+    return weighted_spatial_mean(accum_columns(accum, step_seconds), ("ssr", "str_nlw", "tisr", "tsr", "ttr"))
+
+
 def regional_series(
     instant: DataFrame,
     accum: DataFrame,
@@ -78,25 +94,14 @@ def regional_series(
 ) -> DataFrame:
     """Step series of a region: seven area-weighted means and the heat fractions.
 
-    Both step types are stacked, not joined, and reduced by one aggregation.
-    Null-padded rows do not disturb the means, because each variable divides by
-    the weights of its own cells; the heat fractions divide by instant cells
-    only.  Steps that one of the grids lacks keep nulls, as an outer merge would.
+    Each step type is reduced on its own, then the two short series are put
+    together by time.  That equals merging the cells first, because every mean
+    divides by the weights of its own cells, and heat fractions must see
+    instant cells only.  Both series are already partitioned by time, so
+    putting them together needs no further shuffle.  Steps that one of the
+    grids lacks keep nulls, as an outer merge would.
     """
-    w = latitude_weight()
-    is_instant = F.col("_instant")
-    means = ("t2m_c", "tcc", "ssr", "str_nlw", "tisr", "tsr", "ttr")
-    cells = stack(
-        [
-            instant_columns(instant).withColumn("_instant", F.lit(True)),
-            accum_columns(accum, step_seconds).withColumn("_instant", F.lit(False)),
-        ]
-    )
-    t = F.col("t2m_c")
-    return cells.groupBy(TIME).agg(
-        *[weighted_mean(F.col(v), w).alias(v) for v in means],
-        *[F.avg(F.when(is_instant, units.heat_flag(t, x))).alias(name) for name, x in thresholds.items()],
-    )
+    return merge_on_keys([instant_series(instant, thresholds), accum_series(accum, step_seconds)], [TIME])
 
 
 def region_vs_global(df: DataFrame, variables: Sequence[str], region: Region) -> DataFrame:

@@ -74,14 +74,27 @@ def month_spine(df: DataFrame, key: str = "month") -> DataFrame:
     return months.join(df.withColumn(key, F.col(key).cast("int")), key, "left")
 
 
+def key_range(df: DataFrame, key: str) -> DataFrame:
+    """First and last key of a reduced table.
+
+    The extremes are taken over whole rows, key first.  Looking at the key
+    alone would prune the other columns, and a table that is used twice, here
+    and by the caller, would then be computed twice; whole rows let Spark serve
+    both uses from one shuffle.
+    """
+    row = F.struct(key, *[c for c in df.columns if c != key])
+    return df.agg(F.min(row).alias("first"), F.max(row).alias("last")).select(
+        F.col(f"first.{key}").alias("lo"), F.col(f"last.{key}").alias("hi")
+    )
+
+
 def fill_calendar(df: DataFrame, key: str = "time", zero: Sequence[str] = ()) -> DataFrame:
     """Every day from the first to the last; added days are null, sums (``zero``) are 0.
 
     Resampling a series produces such days, grouping by day does not.
     """
-    span = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(key))
-    filled = days.join(df, key, "left")
+    days = key_range(df, key).select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("_day"))
+    filled = days.join(df, F.col("_day").eqNullSafe(df[key]), "left").withColumn(key, F.col("_day")).drop("_day")
     return filled.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in zero}) if zero else filled
 
 
@@ -100,10 +113,10 @@ def calendar_month_agg(
     grouped = series.groupBy(month_end(F.col(time)).alias(time)).agg(
         *[(F.sum(v.name) if v.aggregate == "sum" else F.avg(v.name)).alias(v.name) for v in present]
     )
-    span = grouped.agg(F.min(F.trunc(time, "month")).alias("lo"), F.max(F.trunc(time, "month")).alias("hi"))
-    starts = F.sequence("lo", "hi", F.expr("interval 1 month"))
-    months = span.select(F.explode(F.transform(starts, F.last_day)).alias(time))
-    filled = months.join(grouped, time, "left")
+    span = key_range(grouped, time)
+    starts = F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("interval 1 month"))
+    months = span.select(F.explode(F.transform(starts, F.last_day)).alias("_month"))
+    filled = months.join(grouped, F.col("_month").eqNullSafe(grouped[time]), "left").withColumn(time, F.col("_month"))
     columns = []
     for v in present:
         value = F.coalesce(F.col(v.name), F.lit(0.0)) if v.aggregate == "sum" else F.col(v.name)

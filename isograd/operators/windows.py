@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -24,36 +24,46 @@ def anomaly(
     The means are an aggregation with map-side partials, joined back: a month
     may hold any share of the rows without one task sorting it, as a window
     over months would.  The mean table has twelve rows (per ``partition`` key).
+    Both sides of the join need the same columns, so the input is computed
+    once and its shuffle used twice.
     """
     names = numeric_columns(df, exclude=[time, "month", "year", *partition]) if columns is None else list(columns)
-    keys = ["_month", *partition]
-    keyed = df.select(time, *partition, *names, F.month(time).alias("_month"))
-    means = keyed.groupBy(*keys).agg(*[F.avg(c).alias("_mean_" + c) for c in names])
-    return keyed.join(means, keys, "left").select(
+    keys = {"_month": F.month(time), **{p: F.col(p) for p in partition}}
+    kept = df.select(time, *partition, *names)
+    means = kept.groupBy(*[e.alias("_of_" + k) for k, e in keys.items()]).agg(
+        *[F.avg(c).alias("_mean_" + c) for c in names]
+    )
+    same = [e.eqNullSafe(F.col("_of_" + k)) for k, e in keys.items()]
+    return kept.join(means, same, "left").select(
         time, *partition, *[(F.col(c) - F.col("_mean_" + c)).alias(c + "_anom") for c in names]
     )
 
 
-def month_index(time: str) -> Column:
+def month_index(time: Column | str) -> Column:
     """Months since year 0, a coarse key that grows with time."""
     return F.year(time) * 12 + F.month(time) - 1
 
 
-def with_ordinal(df: DataFrame, order: str, bucket: Column | None = None, name: str = "ordinal") -> DataFrame:
-    """Dense row number from 0 along ``order`` without sorting the table in one task.
+def with_ordinal(
+    df: DataFrame, order: str, bucket: Callable[[Column], Column] = month_index, name: str = "ordinal"
+) -> DataFrame:
+    """Dense row number from 0 along a unique ``order`` without sorting the table in one task.
 
-    ``bucket`` is a coarse key that grows with ``order`` (calendar months by
-    default).  Rows are numbered inside their bucket; the running total of the
-    bucket sizes, a table of one row per calendar month, gives each bucket its
-    start.
+    ``bucket`` turns the order into a coarse key that grows with it, calendar
+    months by default.  Rows are numbered inside their bucket; the running
+    total of the bucket sizes, a table of one row per calendar month, gives
+    each bucket its start.  Sizes are counted over whole rows (the last row of
+    a bucket names it) for the reason given in ``temporal.key_range``.
     """
-    keyed = df.withColumn("_bucket", month_index(order) if bucket is None else bucket)
-    sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    row = F.struct(order, *[c for c in df.columns if c != order])
+    sizes = df.groupBy(bucket(F.col(order))).agg(F.count(F.lit(1)).alias("_n"), F.max(row).alias("_last"))
+    sizes = sizes.select(bucket(F.col(f"_last.{order}")).alias("_bucket"), "_n")
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    numbered = keyed.withColumn("_row", F.row_number().over(W.partitionBy("_bucket").orderBy(order)))
+    own = bucket(F.col(order))
+    numbered = df.withColumn("_row", F.row_number().over(W.partitionBy(own).orderBy(order)))
     return (
-        numbered.join(starts, "_bucket", "inner")
+        numbered.join(starts, own.eqNullSafe(F.col("_bucket")), "left")
         .withColumn(name, F.col("_start") + F.col("_row") - 1)
         .drop("_bucket", "_row", "_start")
     )
@@ -73,7 +83,7 @@ def rolling_mean(
     order: str = "time",
     partition: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
-    bucket: Column | None = None,
+    bucket: Callable[[Column], Column] = month_index,
 ) -> DataFrame:
     """Mean over the rows ``-before .. +after``, null where fewer than ``min_periods`` are present.
 
@@ -137,24 +147,29 @@ def with_scalar(df: DataFrame, one_value: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one_value.scalar())
 
 
-def month_vs_annual(daily: DataFrame, column: str, time: str = "time", name: str | None = None) -> DataFrame:
-    """Month mean minus the mean of all daily values."""
-    monthly = daily.groupBy(F.month(time).alias("month")).agg(F.avg(column).alias(column))
-    annual = daily.agg(F.avg(column).alias("annual"))
-    return with_scalar(monthly, annual, "_annual").select(
-        "month", column, (F.col(column) - F.col("_annual")).alias(name or column + "_vs_annual")
+def month_vs_annual(
+    daily: DataFrame, column: str, also: Sequence[str] = (), time: str = "time", name: str | None = None
+) -> DataFrame:
+    """Month mean minus the mean of all daily values, with the month means of ``also``.
+
+    The daily values are folded into a sum and a count per month; the mean of
+    the year follows from the at most twelve month rows, so the daily table is
+    read once.
+    """
+    monthly = daily.groupBy(F.month(time).alias("month")).agg(
+        *[F.avg(c).alias(c) for c in (column, *also)], F.sum(column).alias("_sum"), F.count(column).alias("_n")
     )
+    year = W.partitionBy()
+    annual = F.try_divide(F.sum("_sum").over(year), F.sum("_n").over(year))
+    return monthly.withColumn(name or column + "_vs_annual", F.col(column) - annual).drop("_sum", "_n")
 
 
-def minmax_scale(df: DataFrame, columns: Sequence[str], eps: float = 1e-9) -> DataFrame:
-    """Scale columns to [0, 1] by their own minimum and maximum."""
-    spans = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]
-    limits = df.agg(F.struct(*spans).alias("limits")).scalar()
-    scaled = {}
-    for c in columns:
-        lo, hi = limits[c]["lo"], limits[c]["hi"]
-        scaled[c] = (F.col(c) - lo) / (hi - lo + F.lit(eps))
-    return df.withColumns(scaled)
+def minmax_scale(months: DataFrame, columns: Sequence[str], eps: float = 1e-9) -> DataFrame:
+    """Scale columns of a month table (at most twelve rows) to [0, 1] by their own extremes."""
+    year = W.partitionBy()
+    lo = {c: F.min(c).over(year) for c in columns}
+    hi = {c: F.max(c).over(year) for c in columns}
+    return months.withColumns({c: (F.col(c) - lo[c]) / (hi[c] - lo[c] + F.lit(eps)) for c in columns})
 
 
 def sign_bands(df: DataFrame, column: str, warm: str = "warm", cool: str = "cool") -> DataFrame:

@@ -267,13 +267,14 @@ def _oracles() -> dict[str, str]:
         f"SELECT valid_time, round({_wmean('t2m - 273.15')}, 8) AS t2m_c, round({_wmean('tcc')}, 8) AS tcc"
         f" FROM gn WHERE {SA} GROUP BY 1"
     )
-    hot = "CASE WHEN t2m - 273.15 > {x} THEN 1.0 {rest} END"
-    q["heat_fraction"] = _with(GN) + (
-        f"SELECT valid_time, round(avg({hot.format(x=35, rest='ELSE 0.0')}), 8) AS frac_above_35c,"
-        f" round(avg({hot.format(x=40, rest='ELSE 0.0')}), 8) AS frac_above_40c,"
-        f" round(avg({hot.format(x=35, rest='WHEN t2m IS NOT NULL THEN 0.0')}), 8) AS frac_above_35c_present"
-        f" FROM gn WHERE {SA} GROUP BY 1"
-    )
+    for name, rest in (("heat_fraction", "ELSE 0.0"), ("heat_fraction_present", "WHEN t2m IS NOT NULL THEN 0.0")):
+        q[name] = _with(GN) + (
+            "SELECT valid_time, "
+            + ", ".join(
+                f"round(avg(CASE WHEN t2m - 273.15 > {x} THEN 1.0 {rest} END), 8) AS frac_above_{x}c" for x in (35, 40)
+            )
+            + f" FROM gn WHERE {SA} GROUP BY 1"
+        )
     q["region_vs_global"] = _with(GN) + (
         "SELECT valid_time, "
         + ", ".join(
@@ -372,12 +373,12 @@ def _oracles() -> dict[str, str]:
         " FROM daily"
     )
     q["rolling24"] = _with(
-        GA,
-        f"rg AS (SELECT valid_time, avg(ttr) / 3600 AS g, avg(ttr) FILTER (WHERE {SA}) / 3600 AS r FROM ga GROUP BY 1)",
+        GI,
+        f"rg AS (SELECT valid_time, avg(t2m) - 273.15 AS g, avg(t2m) FILTER (WHERE {SA}) - 273.15 AS r FROM gi GROUP BY 1)",
     ) + (
-        "SELECT valid_time, round(g, 8) AS ttr_global, round(r, 8) AS ttr_region,"
-        f" round({_rolling('g', 12, 11, 24, 'valid_time')}, 8) AS ttr_global_rolling24,"
-        f" round({_rolling('r', 12, 11, 24, 'valid_time')}, 8) AS ttr_region_rolling24 FROM rg"
+        "SELECT valid_time, round(g, 8) AS t2m_c_global, round(r, 8) AS t2m_c_region,"
+        f" round({_rolling('g', 12, 11, 24, 'valid_time')}, 8) AS t2m_c_global_rolling24,"
+        f" round({_rolling('r', 12, 11, 24, 'valid_time')}, 8) AS t2m_c_region_rolling24 FROM rg"
     )
     by_cell = _rolling("t2m", 12, 11, 24, "valid_time", "PARTITION BY latitude, longitude")
     q["cell_rolling"] = _with(GI) + (

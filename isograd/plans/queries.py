@@ -190,10 +190,13 @@ def weighted_mean(spark, sf):
 
 
 def heat_fraction(spark, sf):
-    cells = spatial.instant_columns(select.in_region(grids.instant_with_gaps(spark, sf), SOUTH_ASIA))
-    shares = spatial.area_fraction(cells)
-    present = spatial.area_fraction(cells, {"frac_above_35c_present": 35.0}, denominator="present")
-    return report(align.merge_on_keys([shares, present], [TIME]))
+    inst = select.in_region(grids.instant_with_gaps(spark, sf), SOUTH_ASIA)
+    return report(spatial.area_fraction(spatial.instant_columns(inst)))
+
+
+def heat_fraction_present(spark, sf):
+    inst = select.in_region(grids.instant_with_gaps(spark, sf), SOUTH_ASIA)
+    return report(spatial.area_fraction(spatial.instant_columns(inst), denominator="present"))
 
 
 def region_vs_global(spark, sf):
@@ -289,13 +292,12 @@ def rolling15(spark, sf):
 
 
 def rolling24(spark, sf):
-    steps = spatial.region_vs_global(grids.accum(spark, sf), ["ttr"], SOUTH_ASIA)
-    flux = steps.select(
-        TIME, *[units.accum_to_flux(F.col(c), units.STEP_SECONDS_1H).alias(c) for c in ("ttr_global", "ttr_region")]
-    )
-    return report(
-        windows.rolling24(flux, {"ttr_global": "ttr_global_rolling24", "ttr_region": "ttr_region_rolling24"})
+    steps = spatial.region_vs_global(grids.instant(spark, sf), ["t2m"], SOUTH_ASIA)
+    celsius = steps.select(
+        TIME, *[units.kelvin_to_c(F.col(f"t2m_{part}")).alias(f"t2m_c_{part}") for part in ("global", "region")]
     )
+    names = ("t2m_c_global", "t2m_c_region")
+    return report(windows.rolling24(celsius, {c: c + "_rolling24" for c in names}))
 
 
 def cell_rolling(spark, sf):
@@ -343,10 +345,8 @@ def monthly_anomaly(spark, sf):
 
 
 def radiation_heatmap(spark, sf):
-    months = temporal.calendar_month_agg(
-        month_series(grids.instant(spark, sf), grids.accum(spark, sf)), with_units=False
-    )
-    return report(figures.radiation_matrix(months))
+    steps = spatial.spatial_mean(grids.accum(spark, sf), figures.RADIATION)
+    return report(figures.radiation_matrix(temporal.calendar_month_agg(steps, with_units=False)))
 
 
 # --- Comparing results -------------------------------------------------------
@@ -440,7 +440,8 @@ QUERIES: dict[str, Query] = {
         grid_scan, multi_open, unpack_scale_offset, explode_grid, epoch_decode, csv_roundtrip,
         region_filter, time_window, unit_convert, calendar_keys, first_year, grid_preview,
         merge_steps_outer, merge_steps_inner, daily_with_heat, common_keys, month_spine, daily_gap_filled,
-        spatial_mean, weighted_mean, heat_fraction, region_vs_global, regional_step_series, grid_shape,
+        spatial_mean, weighted_mean, heat_fraction, heat_fraction_present,
+        region_vs_global, regional_step_series, grid_shape,
         daily_metrics, daily_metrics_gaps, daily_heat, daily_precip, central_daily, monthly_climatology,
         central_climatology, calendar_month, calendar_month_sum, season_compare, temp_pressure_corr,
         argmax_month, table_stats, region_summary, sampled_summary,

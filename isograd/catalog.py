@@ -71,6 +71,8 @@ VARIABLES = {
 }
 
 INSTANT_VARIABLES = ("t2m", "tcc")
+SAMPLED_INSTANT_VARIABLES = ("t2m", "sp")
+SAMPLED_ACCUM_VARIABLES = ("tp",)
 ACCUM_VARIABLES = ("ssr", "str", "tisr", "tsr", "ttr")
 
 # --- End of fixed values ----------------------------------------------------
@@ -89,3 +91,7 @@ class GridAxes:
     lat_step: float
     lon_west: float
     lon_step: float
+
+
+#: Global quarter-degree grid of 2024, 6-hourly.
+GLOBAL_2024 = GridAxes("2024-01-01 00:00:00", 21_600, 90.0, 0.25, 0.0, 0.25)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time as clock
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from isograd.catalog import LATITUDE, LONGITUDE, TIME, GridAxes
@@ -107,15 +107,32 @@ def layout_overlay(results: Mapping[str, DataFrame], column: str, month: str = "
 
 
 def measure_layouts(
-    df: DataFrame, layouts: Mapping[str, Layout], reduce_fn: Callable[[DataFrame], DataFrame]
+    grids: Sequence[DataFrame],
+    layouts: Mapping[str, Layout],
+    reduce_fn: Callable[..., DataFrame],
+    value: Column | None = None,
 ) -> DataFrame:
-    """Run the reduction once per layout; partition count and seconds as a small table."""
-    spark = df.sparkSession
-    rows = []
+    """Run a reduction of one or several grids once per layout; a small table of what each run needed.
+
+    Columns are the layout's ``name``, the ``partitions`` its rows came in, the
+    ``elapsed_s``, the number of result ``rows`` and, with ``value``, an
+    aggregate of the result (say, its mean temperature) by which runs can be
+    compared.  Partitions are observed while the reduction runs, so that
+    nothing is computed twice.
+    """
+    what = F.lit(None).cast("double") if value is None else value.cast("double")
+    runs = []
     for name, layout in layouts.items():
-        tiled = layout(df)
+        seen, tiled = [], []
+        for i, grid in enumerate(grids):
+            observation = Observation(f"layout {name} {i}")
+            numbered = layout(grid).withColumn("_partition", F.spark_partition_id())
+            tiled.append(numbered.observe(observation, F.max("_partition").alias("last")).drop("_partition"))
+            seen.append(observation)
         started = clock.perf_counter()
-        reduce_fn(tiled).write.format("noop").mode("overwrite").save()
+        result = reduce_fn(*tiled).agg(F.count(F.lit(1)).alias("rows"), what.alias("value")).first()
         elapsed = clock.perf_counter() - started
-        rows.append((name, tiled.rdd.getNumPartitions(), elapsed))
-    return spark.createDataFrame(rows, "name string, partitions int, elapsed_s double")
+        partitions = sum(1 + o.get["last"] for o in seen if o.get["last"] is not None)
+        runs.append((name, partitions, elapsed, result["rows"], result["value"]))
+    schema = "name string, partitions int, elapsed_s double, rows long, value double"
+    return grids[0].sparkSession.createDataFrame(runs, schema)

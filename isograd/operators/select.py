@@ -31,19 +31,26 @@ def time_between(df: DataFrame, start: str, end: str, time: str = TIME) -> DataF
     return kept
 
 
-def time_window(df: DataFrame, days: int, start: str | None = None, time: str = TIME) -> DataFrame:
+def first_time(*tables: DataFrame, time: str = TIME) -> Column:
+    """Earliest instant of the tables, as a scalar subquery that reads the time column alone."""
+    starts = [t.agg(F.min(time).alias("first_time")) for t in tables]
+    return F.least(*[s.scalar() for s in starts]) if len(starts) > 1 else starts[0].scalar()
+
+
+def time_window(df: DataFrame, days: int, start: str | Column | None = None, time: str = TIME) -> DataFrame:
     """Keep the first ``days`` days, the closing instant included.
 
     The closing instant opens one more day, so a daily table of N days has
     N + 1 rows.  Zero or fewer days keep everything.  Without ``start`` the
-    first instant is looked up by a scalar subquery on the time column alone,
-    whose value also prunes the scan.
+    first instant is looked up; its value also prunes the scan.
     """
     if days <= 0:
         return df
-    first = ntz(start) if start is not None else df.agg(F.min(time).alias("first_time")).scalar()
-    span = F.make_dt_interval(F.lit(days))
-    return df.where((F.col(time) >= first) & (F.col(time) <= first + span))
+    if start is None:
+        first = first_time(df, time=time)
+    else:
+        first = ntz(start) if isinstance(start, str) else start
+    return df.where((F.col(time) >= first) & (F.col(time) <= first + F.make_dt_interval(F.lit(days))))
 
 
 def first_year(df: DataFrame, time: str = "date") -> DataFrame:

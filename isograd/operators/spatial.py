@@ -113,10 +113,17 @@ def region_vs_global(df: DataFrame, variables: Sequence[str], region: Region) ->
     return df.groupBy(TIME).agg(*aggs)
 
 
-def sampled_series(df: DataFrame) -> DataFrame:
-    """Plain step means of the sampled grid in °C, hPa and mm."""
-    return df.groupBy(TIME).agg(
+def sampled_series(instant: DataFrame, accum: DataFrame | None = None) -> DataFrame:
+    """Plain step means of the sampled grid in °C, hPa and mm.
+
+    Precipitation comes from its own step type when ``accum`` is given, else
+    from the same grid.
+    """
+    state = (
         F.avg(units.kelvin_to_c(F.col("t2m"))).alias("t2m_c_mean"),
         F.avg(units.pa_to_hpa(F.col("sp"))).alias("sp_hpa_mean"),
-        F.avg(units.m_to_mm(F.col("tp"))).alias("tp_mm_mean"),
     )
+    rain = F.avg(units.m_to_mm(F.col("tp"))).alias("tp_mm_mean")
+    if accum is None:
+        return instant.groupBy(TIME).agg(*state, rain)
+    return merge_on_keys([instant.groupBy(TIME).agg(*state), accum.groupBy(TIME).agg(rain)], [TIME])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from isograd.catalog import REGIONS, Region
 from isograd.functions import units
-from isograd.operators.select import in_region, time_window
+from isograd.operators.select import first_time, in_region, time_window
 from isograd.operators.spatial import regional_series, sampled_series
 from isograd.operators.temporal import daily_metrics, fill_calendar, sampled_daily
 
@@ -23,16 +23,20 @@ def regional_daily(
     """Daily table of a region: box, units, area-weighted step means, daily reduction.
 
     Two shuffles whatever the grid's size: pre-aggregated steps, then days.
-    ``days`` limits the span to the first days of the instant grid; ``gaps``
+    ``days`` limits the span to the first days of the data; ``gaps``
     adds days without data, as resampling does.
     """
     inst, acc = in_region(instant, region), in_region(accum, region)
     if days > 0:
-        inst, acc = time_window(inst, days), time_window(acc, days)
+        start = first_time(instant, accum)
+        inst, acc = time_window(inst, days, start), time_window(acc, days, start)
     daily = daily_metrics(regional_series(inst, acc, step_seconds), with_heat=with_heat)
     return fill_calendar(daily, "time") if gaps else daily
 
 
-def sampled_regional_daily(grid: DataFrame, region: Region = REGIONS["central_india"]) -> DataFrame:
+def sampled_regional_daily(
+    instant: DataFrame, accum: DataFrame | None = None, region: Region = REGIONS["central_india"]
+) -> DataFrame:
     """Daily table of the sampled region: temperature, pressure, precipitation."""
-    return sampled_daily(sampled_series(in_region(grid, region)))
+    rain = None if accum is None else in_region(accum, region)
+    return sampled_daily(sampled_series(in_region(instant, region), rain))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from isograd.functions import units
 
@@ -93,5 +94,11 @@ class GridAxes:
     lon_step: float
 
 
+def convert(df: DataFrame, variables: Mapping[str, Variable] | None = None) -> DataFrame:
+    """Every catalogued variable of a table in its shown unit, other columns as they are."""
+    known = VARIABLES if variables is None else variables
+    return df.withColumns({c: known[c].convert(F.col(c)) for c in df.columns if c in known})
+
+
 #: Global quarter-degree grid of 2024, 6-hourly.
 GLOBAL_2024 = GridAxes("2024-01-01 00:00:00", 21_600, 90.0, 0.25, 0.0, 0.25)

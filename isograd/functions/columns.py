@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -21,8 +20,8 @@ def float_columns(df: DataFrame) -> list[str]:
 def round_columns(df: DataFrame, digits: int = 4, columns: Sequence[str] | None = None) -> DataFrame:
     """Round floating columns (half up); a negative zero becomes zero."""
     chosen = set(float_columns(df) if columns is None else columns)
-    return df.select(
-        *[(F.round(F.col(c), digits) + F.lit(0.0)).alias(c) if c in chosen else F.col(c) for c in df.columns]
+    return df.selectExpr(
+        *[f"round(`{c}`, {digits}) + 0.0D AS `{c}`" if c in chosen else f"`{c}`" for c in df.columns]
     )
 
 

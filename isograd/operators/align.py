@@ -72,13 +72,18 @@ def merge_on_keys(
     return checked.select(*keys, *holders)
 
 
+def _cells(grid: DataFrame) -> DataFrame:
+    """Grid without the partition columns of its storage; they follow from the time."""
+    return grid.drop("year", "month")
+
+
 def merge_steps(instant: DataFrame, accum: DataFrame, how: str = "full", overlap: str = "override") -> DataFrame:
     """Merge the two step types of a dataset cell by cell.
 
     Needed only for questions about single cells.  When means over space are
     wanted, ``spatial.regional_series`` reduces both step types without it.
     """
-    return merge_on_keys([instant, accum], COORDS, how=how, overlap=overlap)
+    return merge_on_keys([_cells(instant), _cells(accum)], COORDS, how=how, overlap=overlap)
 
 
 def combine_grids(tables: Sequence[DataFrame], disjoint: bool = False) -> DataFrame:
@@ -89,7 +94,7 @@ def combine_grids(tables: Sequence[DataFrame], disjoint: bool = False) -> DataFr
     """
     if disjoint:
         return stack(tables)
-    return merge_on_keys(tables, COORDS, how="full", overlap="no_conflicts")
+    return merge_on_keys([_cells(t) for t in tables], COORDS, how="full", overlap="no_conflicts")
 
 
 def with_heat(daily: DataFrame, heat: DataFrame, key: str = "time") -> DataFrame:

@@ -19,22 +19,34 @@ def in_region(df: DataFrame, region: Region) -> DataFrame:
     return df.where(inside(region))
 
 
-def time_between(df: DataFrame, start: str, end: str, time: str = TIME) -> DataFrame:
-    """Keep ``start <= time <= end``.
+def _span(df: DataFrame, first: Column, last: Column, time: str) -> DataFrame:
+    """Rows with ``first <= time <= last``.
 
-    Grids stored by ``write_grid`` are partitioned by year; the same span is
-    then also stated on that column, so that other years are not listed.
+    Grids stored by ``write_grid`` are partitioned by year; the span is then
+    also stated on that column, so that files of other years are not opened.
     """
-    kept = df.where(F.col(time).between(ntz(start), ntz(end)))
+    kept = df.where((F.col(time) >= first) & (F.col(time) <= last))
     if "year" in df.columns:
-        kept = kept.where(F.col("year").between(F.year(ntz(start)), F.year(ntz(end))))
+        kept = kept.where((F.col("year") >= F.year(first)) & (F.col("year") <= F.year(last)))
     return kept
 
 
+def time_between(df: DataFrame, start: str, end: str, time: str = TIME) -> DataFrame:
+    """Keep the rows between two instants, both included."""
+    return _span(df, ntz(start), ntz(end), time)
+
+
 def first_time(*tables: DataFrame, time: str = TIME) -> Column:
-    """Earliest instant of the tables, as a scalar subquery that reads the time column alone."""
-    starts = [t.agg(F.min(time).alias("first_time")) for t in tables]
-    return F.least(*[s.scalar() for s in starts]) if len(starts) > 1 else starts[0].scalar()
+    """Earliest instant of the tables, as a scalar subquery that reads the time column alone.
+
+    Of a grid stored by year only the files of its first year are read.
+    """
+    starts = []
+    for table in tables:
+        if "year" in table.columns:
+            table = table.where(F.col("year") == table.agg(F.min("year").alias("first_year")).scalar())
+        starts.append(table.agg(F.min(time).alias("first_time")).scalar())
+    return F.least(*starts) if len(starts) > 1 else starts[0]
 
 
 def time_window(df: DataFrame, days: int, start: str | Column | None = None, time: str = TIME) -> DataFrame:
@@ -50,7 +62,7 @@ def time_window(df: DataFrame, days: int, start: str | Column | None = None, tim
         first = first_time(df, time=time)
     else:
         first = ntz(start) if isinstance(start, str) else start
-    return df.where((F.col(time) >= first) & (F.col(time) <= first + F.make_dt_interval(F.lit(days))))
+    return _span(df, first, first + F.make_dt_interval(F.lit(days)), time)
 
 
 def first_year(df: DataFrame, time: str = "date") -> DataFrame:

@@ -216,8 +216,8 @@ def _oracles() -> dict[str, str]:
         " WHERE valid_time <= (SELECT min(valid_time) FROM gi) + INTERVAL 5 DAY"
     )
     q["unit_convert"] = _with(GS, GA) + (
-        "SELECT valid_time, latitude, longitude, round(t2m - 273.15, 8) AS t2m_c, round(sp / 100, 8) AS sp_hpa,"
-        " round(tp * 1000, 8) AS tp_mm, CAST(NULL AS DOUBLE) AS ssr_6h, CAST(NULL AS DOUBLE) AS ssr_1h FROM gs"
+        "SELECT valid_time, latitude, longitude, round(t2m - 273.15, 8) AS t2m, round(sp / 100, 8) AS sp,"
+        " round(tp * 1000, 8) AS tp, CAST(NULL AS DOUBLE) AS ssr_6h, CAST(NULL AS DOUBLE) AS ssr_1h FROM gs"
         " UNION ALL SELECT valid_time, latitude, longitude, NULL, NULL, NULL, round(ssr / 21600, 8),"
         " round(ssr / 3600, 8) FROM ga"
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from isograd import catalog
 from isograd.catalog import COORDS, LATITUDE, LONGITUDE, REGIONS, TIME
 from isograd.functions import units
 from isograd.functions.calendar import epoch_to_ts, with_calendar
@@ -121,12 +122,7 @@ def time_window(spark, sf):
 
 
 def unit_convert(spark, sf):
-    s = grids.sampled(spark, sf).select(
-        *COORDS,
-        units.kelvin_to_c(F.col("t2m")).alias("t2m_c"),
-        units.pa_to_hpa(F.col("sp")).alias("sp_hpa"),
-        units.m_to_mm(F.col("tp")).alias("tp_mm"),
-    )
+    s = catalog.convert(grids.sampled(spark, sf))
     a = grids.accum(spark, sf).select(
         *COORDS,
         units.accum_to_flux(F.col("ssr")).alias("ssr_6h"),

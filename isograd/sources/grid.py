@@ -71,7 +71,7 @@ def read_grid_multi(
     for path in paths:
         stored = spark.read.parquet(path)
         wanted = None if variables is None else available(stored, variables)
-        tables.append(as_grid(stored, wanted).drop("year", "month"))
+        tables.append(as_grid(stored, wanted))
     return combine_grids(tables, disjoint)
 
 

@@ -1,9 +1,8 @@
 """Combining tables that share a key.
 
 Keys of grids and result tables are unique, so combining is a matter of putting
-the rows of equal key side by side.  The tables are stacked and grouped once:
-rows of one key meet after map-side aggregation, a repeated key can neither
-multiply rows nor fill one task, and it is reported instead of joined.
+the rows of equal key side by side.  The tables are stacked and grouped once,
+so that a repeated key is reported instead of multiplying rows as a join would.
 """
 
 from __future__ import annotations
@@ -28,8 +27,14 @@ def merge_on_keys(
     keys: Sequence[str],
     how: str = "full",
     overlap: str = "no_conflicts",
+    cells: bool = False,
 ) -> DataFrame:
-    """Combine tables on unique keys, in one shuffle.
+    """Combine tables on unique keys, in one shuffle at most.
+
+    Tables grouped by the same keys before are already partitioned by them and
+    meet without a shuffle.  Stored ``cells`` are shuffled first and grouped
+    where they arrive: with at most one row per key and table, aggregating
+    before the shuffle would build large hash tables and save nothing.
 
     ``how`` is ``full`` (every key), ``inner`` (keys of all tables) or ``left``
     (keys of the first).  A variable held by several tables is filled from
@@ -54,7 +59,8 @@ def merge_on_keys(
 
     counts = [f"_rows{i}" for i in range(len(parts))]
     shared = [c for c, n in holders.items() if n > 1]
-    grouped = stack(parts).groupBy(*keys).agg(
+    stacked = stack(parts).repartition(*keys) if cells else stack(parts)
+    grouped = stacked.groupBy(*keys).agg(
         *[F.count(F.when(F.col("_table") == i, 1)).alias(c) for i, c in enumerate(counts)],
         *[F.max(c).alias(c) for c in holders],
         *[F.min(c).alias("_min_" + c) for c in shared],
@@ -83,7 +89,7 @@ def merge_steps(instant: DataFrame, accum: DataFrame, how: str = "full", overlap
     Needed only for questions about single cells.  When means over space are
     wanted, ``spatial.regional_series`` reduces both step types without it.
     """
-    return merge_on_keys([_cells(instant), _cells(accum)], COORDS, how=how, overlap=overlap)
+    return merge_on_keys([_cells(instant), _cells(accum)], COORDS, how=how, overlap=overlap, cells=True)
 
 
 def combine_grids(tables: Sequence[DataFrame], disjoint: bool = False) -> DataFrame:
@@ -94,7 +100,7 @@ def combine_grids(tables: Sequence[DataFrame], disjoint: bool = False) -> DataFr
     """
     if disjoint:
         return stack(tables)
-    return merge_on_keys([_cells(t) for t in tables], COORDS, how="full", overlap="no_conflicts")
+    return merge_on_keys([_cells(t) for t in tables], COORDS, how="full", overlap="no_conflicts", cells=True)
 
 
 def with_heat(daily: DataFrame, heat: DataFrame, key: str = "time") -> DataFrame:

@@ -62,20 +62,40 @@ def table_stats(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _axis(df: DataFrame, coord: str) -> DataFrame:
+    """One row on one axis: rows, distinct coordinates, extent."""
+    values = df.groupBy(coord).agg(F.count(F.lit(1)).alias("rows"))
+    return values.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count(coord).alias("distinct"),
+        F.min(coord).alias("min"),
+        F.max(coord).alias("max"),
+    ).select(F.struct("rows", "distinct", "min", "max").alias(coord))
+
+
 def grid_shape(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Row count, number of steps, latitudes and longitudes, and extents.
 
-    The exact counts deduplicate each coordinate inside the tasks first, so the
-    shuffle carries distinct coordinates only; ``approximate`` replaces them by
-    sketches of fixed size.
+    Each axis is counted by itself, which reads its own column only and shuffles
+    nothing but distinct coordinates; distinct counts of several columns in one
+    aggregation would multiply every row instead.  ``approximate`` reads the
+    three columns in one pass with sketches of fixed size.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        distinct(F.col(TIME)).alias("time_steps"),
-        distinct(F.col(LATITUDE)).alias("latitudes"),
-        distinct(F.col(LONGITUDE)).alias("longitudes"),
-        *[f(c).alias(f"{c}_{n}") for c in COORDS for f, n in ((F.min, "min"), (F.max, "max"))],
+    names = {TIME: "time_steps", LATITUDE: "latitudes", LONGITUDE: "longitudes"}
+    extents = [(c, end) for c in COORDS for end in ("min", "max")]
+    if approximate:
+        return df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.approx_count_distinct(c).alias(n) for c, n in names.items()],
+            *[(F.min if end == "min" else F.max)(c).alias(f"{c}_{end}") for c, end in extents],
+        )
+    one = _axis(df, TIME)
+    for c in (LATITUDE, LONGITUDE):
+        one = one.withColumn(c, _axis(df, c).scalar())
+    return one.select(
+        F.col(f"{TIME}.rows").alias("rows"),
+        *[F.col(f"{c}.distinct").alias(n) for c, n in names.items()],
+        *[F.col(f"{c}.{end}").alias(f"{c}_{end}") for c, end in extents],
     )
 
 

@@ -33,10 +33,10 @@ from isograd.sources.tables import daily_or_cached, read_time_table, write_summa
 
 CONSISTENCY_COLUMNS = ("t2m_c", "tcc", "ssr", "str_nlw", "net_rad")
 VALIDATION_TABLES = {
-    "daily_regional_means": ("daily", True),
-    "monthly_climatology": ("monthly", False),
-    "temperature_anomalies": ("anomaly", True),
-    "heat_extremes": ("heat", True),
+    "daily_regional_means": ("daily", "time"),
+    "monthly_climatology": ("monthly", "month"),
+    "temperature_anomalies": ("anomaly", "time"),
+    "heat_extremes": ("heat", "time"),
 }
 
 
@@ -218,15 +218,15 @@ def validate(
     out: str,
     atol: float = 1e-3,
     rtol: float = 1e-3,
-    tables: Mapping[str, tuple[str, bool]] = VALIDATION_TABLES,
+    tables: Mapping[str, tuple[str, str]] = VALIDATION_TABLES,
 ) -> DataFrame:
     """Compare the result tables of two runs; tables missing on either side are skipped."""
     reports = []
-    for label, (name, dated) in tables.items():
-        key = "time" if dated else "month"
+    for label, (name, key) in tables.items():
+        key_type = "int" if key == "month" else "date"
         try:
-            a = read_time_table(spark, f"{reference_dir}/{name}", key, dated)
-            b = read_time_table(spark, f"{candidate_dir}/{name}", key, dated)
+            a = read_time_table(spark, f"{reference_dir}/{name}", key, key_type)
+            b = read_time_table(spark, f"{candidate_dir}/{name}", key, key_type)
         except AnalysisException:
             continue
         require_nonempty(align.common_keys(a, b, key), f"overlap of {label}")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,26 +15,38 @@ from isograd.sources.guards import require_nonempty
 log = logging.getLogger(__name__)
 
 
-def read_time_table(spark: SparkSession, path: str, key: str = "time", parse_date: bool = True) -> DataFrame:
+#: Columns of result tables that hold text.
+TEXT_COLUMNS = frozenset({"month_abbr", "season", "table", "column", "metric", "strategy", "name", "tick_label"})
+
+_KEYS = {
+    "date": lambda c: F.to_timestamp_ntz(c).cast("date"),
+    "timestamp": lambda c: F.to_timestamp_ntz(c),
+    "int": lambda c: c.cast("int"),
+}
+
+
+def read_time_table(
+    spark: SparkSession,
+    path: str,
+    key: str = "time",
+    key_type: str = "date",
+    text: Collection[str] = TEXT_COLUMNS,
+) -> DataFrame:
     """Read a result table whose first column is the key, whatever it is called.
 
-    Only the header is inspected; every other column is read as double, or
-    stays text where a name says so (``month_abbr``, labels).  An empty table
-    is an error.
+    The key is read as ``date``, ``timestamp`` or ``int``; every other column
+    is a double unless named in ``text``.  Only the header is inspected, no
+    pass over the rows infers types.  An empty table is an error.
     """
     raw = spark.read.csv(path, header=True)
     first, rest = raw.columns[0], raw.columns[1:]
-    key_value = F.to_timestamp_ntz(F.col(first)).cast("date") if parse_date else F.col(first).cast("int")
     table = raw.select(
-        key_value.alias(key),
-        *[F.col(c) if c in TEXT_COLUMNS else F.col(c).cast("double").alias(c) for c in rest],
+        _KEYS[key_type](F.col(first)).alias(key),
+        *[F.col(c) if c in text else F.col(c).cast("double").alias(c) for c in rest],
     )
     return require_nonempty(table, f"table {path}")
 
 
-TEXT_COLUMNS = frozenset({"month_abbr", "season", "table", "column", "metric", "strategy", "name"})
-
-
 def write_table(
     df: DataFrame,
     path: str,

@@ -320,7 +320,8 @@ def _oracles() -> dict[str, str]:
         "SELECT valid_time, round(t - 273.15, 8) AS \"t2m_C\", round(p / 100, 8) AS \"sp_hPa\", round(r * 1000, 8) AS tp_mm,"
         f" CAST(month(valid_time) AS INTEGER) AS month, {_label('month(valid_time)')} AS month_abbr FROM"
         " (SELECT CAST(last_day(valid_time) AS TIMESTAMP) AS valid_time, avg(t2m) AS t, avg(sp) AS p, sum(tp) AS r FROM"
-        " (SELECT valid_time, avg(t2m) AS t2m, avg(sp) AS sp, avg(tp) AS tp FROM gs GROUP BY 1) GROUP BY 1)"
+        " (SELECT valid_time, avg(t2m) AS t2m, avg(sp) AS sp, avg(tp) AS tp FROM gs"
+        f" WHERE {CI} GROUP BY 1) GROUP BY 1)"
     )
     q["season_compare"] = _with(*_CENTRAL) + (
         "SELECT season, count(date) AS day_count, round(avg(t2m_c_mean), 8) AS t2m_c_mean,"
@@ -455,8 +456,8 @@ def _oracles() -> dict[str, str]:
 
     # Comparing results
     q["paired_on_time"] = _with(*_PAIR) + (
-        "SELECT plain.time, round(plain.t2m_c, 8) AS t2m_c_a, round(plain.net_rad, 8) AS net_rad_a,"
-        " round(daily.t2m_c, 8) AS t2m_c_b, round(daily.net_rad, 8) AS net_rad_b"
+        "SELECT plain.time, round(plain.t2m_c, 8) AS t2m_c_a, round(plain.tcc, 8) AS tcc_a,"
+        " round(daily.t2m_c, 8) AS t2m_c_b, round(daily.tcc, 8) AS tcc_b"
         " FROM plain JOIN daily ON plain.time = daily.time"
     )
     q["consistency_daily"] = _with(*_PAIR) + _consistency("plain", "daily", _COMPARED)

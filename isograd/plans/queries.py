@@ -245,7 +245,8 @@ def calendar_month(spark, sf):
 
 
 def calendar_month_sum(spark, sf):
-    steps = spatial.spatial_mean(grids.sampled(spark, sf), ["t2m", "sp", "tp"])
+    box = select.in_region(grids.sampled(spark, sf), CENTRAL_INDIA)
+    steps = spatial.spatial_mean(box, ["t2m", "sp", "tp"])
     return report(temporal.calendar_month_agg(steps))
 
 
@@ -349,7 +350,7 @@ def radiation_heatmap(spark, sf):
 
 
 def paired_on_time(spark, sf):
-    return report(align.pair_on_time(plain_daily(spark, sf), daily(spark, sf), ["t2m_c", "net_rad"]))
+    return report(align.pair_on_time(plain_daily(spark, sf), daily(spark, sf), ["t2m_c", "tcc"]))
 
 
 def consistency_daily(spark, sf):

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from isograd.catalog import REGIONS, VARIABLES
+from isograd.catalog import GLOBAL_2024, REGIONS, VARIABLES
 from isograd.functions import units
+from isograd.operators.layout import tile_blocks
 from isograd.operators.select import preview
 from isograd.plans import pipelines
 from isograd.sources.grid import read_grid
@@ -27,6 +29,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--region", choices=sorted(REGIONS), default="south_asia")
     p.add_argument("--sample-days", type=int, default=0, help="first days only; 0 takes the full span")
     p.add_argument("--recompute", action="store_true", help="do not use the kept daily table")
+    p.add_argument(
+        "--blocks", nargs=3, type=int, metavar=("STEPS", "LATS", "LONS"),
+        help="re-lay the grid in blocks of this size before computing; by default the file splits are used",
+    )
 
     p = add("sampled-region", "daily and seasonal tables of a sampled region", "instant", "accum", "out")
     p.add_argument("--region", choices=sorted(REGIONS), default="central_india")
@@ -54,13 +60,18 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _blocks(df: DataFrame, sizes: list[int]) -> DataFrame:
+    return tile_blocks(df, GLOBAL_2024, *sizes)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"isograd {args.analysis}").getOrCreate()
     if args.analysis == "region-year":
+        tile = None if args.blocks is None else partial(_blocks, sizes=args.blocks)
         pipelines.region_year(
             spark, args.instant, args.accum, args.out, REGIONS[args.region],
-            days=args.sample_days, recompute=args.recompute,
+            days=args.sample_days, recompute=args.recompute, tile=tile,
         )
     elif args.analysis == "sampled-region":
         pipelines.sampled_region(

@@ -76,6 +76,27 @@ SAMPLED_INSTANT_VARIABLES = ("t2m", "sp")
 SAMPLED_ACCUM_VARIABLES = ("tp",)
 ACCUM_VARIABLES = ("ssr", "str", "tisr", "tsr", "ttr")
 
+
+
+@dataclass(frozen=True)
+class Dataset:
+    """What a stored data set is called, which variables its step types hold, and the region studied."""
+
+    name: str
+    instant: tuple[str, ...]
+    accum: tuple[str, ...]
+    region: Region
+
+
+DATASETS = {
+    "south_asia_2024": Dataset(
+        "ERA5 Large South Asia (2024)", INSTANT_VARIABLES, ACCUM_VARIABLES, REGIONS["south_asia"]
+    ),
+    "central_india_sampled": Dataset(
+        "ERA5 Consistent Slice (464 MB)", SAMPLED_INSTANT_VARIABLES, SAMPLED_ACCUM_VARIABLES, REGIONS["central_india"]
+    ),
+}
+
 # --- End of fixed values ----------------------------------------------------
 
 

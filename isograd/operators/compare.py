@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isograd.functions.units import nan_to_null
 from isograd.operators.align import common, pair_on_time
 
 
@@ -20,8 +21,8 @@ def paired_long(a: DataFrame, b: DataFrame, columns: Sequence[str], key: str, na
     rows = [
         F.struct(
             F.lit(c).alias(name),
-            F.col(c + "_a").cast("double").alias("a"),
-            F.col(c + "_b").cast("double").alias("b"),
+            nan_to_null(F.col(c + "_a").cast("double")).alias("a"),
+            nan_to_null(F.col(c + "_b").cast("double")).alias("b"),
         )
         for c in columns
     ]

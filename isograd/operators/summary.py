@@ -115,6 +115,7 @@ def _annual(daily: DataFrame) -> DataFrame:
         F.count_if(F.col("frac_above_35c") > 0).alias("days35"),
         F.count_if(F.col("frac_above_40c") > 0).alias("days40"),
         F.max("frac_above_35c").alias("peak35"),
+        F.count(F.lit(1)).alias("days"),
     )
 
     def mean(c: str) -> Column:
@@ -124,6 +125,7 @@ def _annual(daily: DataFrame) -> DataFrame:
         return month_label(first_best(F.col("month"), F.try_divide(F.col(c + "_sum"), F.col(c + "_n"))))
 
     return months.agg(
+        F.coalesce(F.sum("days"), F.lit(0)).alias("rows_daily"),
         mean("t2m_c").alias("annual_mean_c"),
         F.max("t2m_c_max").alias("annual_max_c"),
         F.min("t2m_c_min").alias("annual_min_c"),
@@ -162,7 +164,7 @@ SUMMARY_DIGITS = {
 
 
 def region_summary(daily: DataFrame, rounded: bool = True) -> DataFrame:
-    """Nested summary of a region-year: temperature, energy budget, cloud cover."""
+    """Summary of a region-year: number of days, then nested temperature, energy budget, cloud cover."""
 
     def shown(name: str) -> Column:
         value = F.col(name)
@@ -171,7 +173,7 @@ def region_summary(daily: DataFrame, rounded: bool = True) -> DataFrame:
         return value.alias(name)
 
     return _annual(daily).select(
-        *[F.struct(*[shown(n) for n in names]).alias(part) for part, names in SUMMARY_PARTS.items()]
+        "rows_daily", *[F.struct(*[shown(n) for n in names]).alias(part) for part, names in SUMMARY_PARTS.items()]
     )
 
 

@@ -350,7 +350,7 @@ def _oracles() -> dict[str, str]:
         )
 
     q["region_summary"] = _with(*_DAILY_HEAT) + (
-        "SELECT round(avg(t2m_c), 8) AS annual_mean_c, round(max(t2m_c_max), 8) AS annual_max_c,"
+        "SELECT count(*) AS rows_daily, round(avg(t2m_c), 8) AS annual_mean_c, round(max(t2m_c_max), 8) AS annual_max_c,"
         " round(min(t2m_c_min), 8) AS annual_min_c,"
         " count(*) FILTER (WHERE frac_above_35c > 0) AS days_with_any_area_above_35c,"
         " count(*) FILTER (WHERE frac_above_40c > 0) AS days_with_any_area_above_40c,"

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from isograd.catalog import (
     ACCUM_VARIABLES,
+    DATASETS,
     GLOBAL_2024,
     INSTANT_VARIABLES,
     REGIONS,
-    SAMPLED_ACCUM_VARIABLES,
-    SAMPLED_INSTANT_VARIABLES,
     TIME,
     VARIABLES,
+    Dataset,
     Region,
 )
 from isograd.functions import units
@@ -45,9 +45,9 @@ def _with_region(df: DataFrame, dataset: str, region: Region) -> DataFrame:
     return df.select(F.lit(dataset).alias("dataset"), box.alias("region"), "*")
 
 
-def _shape_of(grid: DataFrame, *names: str) -> DataFrame:
-    shape = summary.grid_shape(grid)
-    return shape.select(F.struct(*[F.col(n) for n in names]).alias("grid_shape"))
+def _shape(facts: DataFrame, **names: str) -> DataFrame:
+    """Shape facts as one struct, under the names the summary uses."""
+    return facts.select(F.struct(*[F.col(c).alias(shown) for shown, c in names.items()]).alias("grid_shape"))
 
 
 def region_year(
@@ -55,19 +55,27 @@ def region_year(
     instant_path: str,
     accum_path: str,
     out: str,
-    region: Region = REGIONS["south_asia"],
-    dataset: str = "2024 regional analysis",
+    region: Region | None = None,
+    dataset: Dataset = DATASETS["south_asia_2024"],
     days: int = 0,
     step_seconds: int = units.STEP_SECONDS_6H,
     recompute: bool = False,
+    tile: layout.Layout | None = None,
 ) -> DataFrame:
-    """Daily metrics, heat extremes, climatology, anomalies, figure tables and summary of a region."""
+    """Daily metrics, heat extremes, climatology, anomalies, figure tables and summary of a region.
+
+    The shape of the region's grid is counted when the daily table is computed
+    and kept beside it.
+    """
+    box = region or dataset.region
 
     def compute() -> DataFrame:
-        instant = read_grid(spark, instant_path, INSTANT_VARIABLES)
-        require_nonempty(select.in_region(instant, region).select(TIME), f"region {region.name}")
-        accum = read_grid(spark, accum_path, ACCUM_VARIABLES)
-        return regional_daily(instant, accum, region, days, step_seconds, with_heat=True, gaps=True)
+        cells = select.in_region(read_grid(spark, instant_path, dataset.instant), box)
+        require_nonempty(cells.select(TIME), f"region {box.name}")
+        write_table(summary.grid_shape(cells), f"{out}/grid_shape", digits=None, format="parquet")
+        instant = read_grid(spark, instant_path, dataset.instant, tile)
+        accum = read_grid(spark, accum_path, dataset.accum, tile)
+        return regional_daily(instant, accum, box, days, step_seconds, with_heat=True, gaps=True)
 
     daily = daily_or_cached(spark, f"{out}/daily_kept", compute, recompute)
     require_columns(daily, temporal.HEAT_COLUMNS, "kept daily table")
@@ -83,7 +91,12 @@ def region_year(
     write_table(figures.anomaly_series(anomaly), f"{out}/anomaly_series", sort="time")
     write_table(figures.anomaly_relations(anomaly), f"{out}/anomaly_relations", sort="time")
     write_table(figures.monthly_anomaly(anomaly), f"{out}/monthly_anomaly", digits=6, sort="month")
-    write_summary(_with_region(summary.region_summary(daily), dataset, region), f"{out}/summary")
+
+    shape = _shape(
+        spark.read.parquet(f"{out}/grid_shape"), time_steps="time_steps", lat_points="latitudes", lon_points="longitudes"
+    )
+    document = windows.with_scalar(summary.region_summary(daily), shape, "grid_shape")
+    write_summary(_with_region(document, dataset.name, box), f"{out}/summary")
     return daily
 
 
@@ -92,17 +105,19 @@ def sampled_region(
     instant_path: str,
     accum_path: str,
     out: str,
-    region: Region = REGIONS["central_india"],
-    dataset: str = "sampled regional analysis",
+    region: Region | None = None,
+    dataset: Dataset = DATASETS["central_india_sampled"],
     recompute: bool = False,
 ) -> DataFrame:
     """Daily metrics, seasonal cycle, season comparison, first-year timeline and summary of a sampled region."""
-    instant = select.in_region(read_grid(spark, instant_path, SAMPLED_INSTANT_VARIABLES), region)
-    accum = select.in_region(read_grid(spark, accum_path, SAMPLED_ACCUM_VARIABLES), region)
+    box = region or dataset.region
+    instant = select.in_region(read_grid(spark, instant_path, dataset.instant), box)
+    accum = select.in_region(read_grid(spark, accum_path, dataset.accum), box)
 
     def compute() -> DataFrame:
-        require_nonempty(instant.select(TIME), f"region {region.name}")
-        return sampled_regional_daily(instant, accum, region)
+        require_nonempty(instant.select(TIME), f"region {box.name}")
+        write_table(summary.grid_shape(instant), f"{out}/grid_shape", digits=None, format="parquet")
+        return sampled_regional_daily(instant, accum, box)
 
     daily = daily_or_cached(spark, f"{out}/daily_kept", compute, recompute)
     write_table(daily, f"{out}/daily", digits=None, sort="date")
@@ -111,9 +126,12 @@ def sampled_region(
     write_table(summary.season_compare(daily), f"{out}/season", digits=None)
     write_table(windows.month_ticks(select.first_year(daily)), f"{out}/first_year", digits=None, sort="date")
 
-    shape = _shape_of(instant, "rows", "time_steps", "latitudes", "longitudes")
+    shape = _shape(
+        spark.read.parquet(f"{out}/grid_shape"),
+        rows="rows", time_steps="time_steps", latitude="latitudes", longitude="longitudes",
+    )
     document = windows.with_scalar(summary.sampled_summary(daily), shape, "grid_shape")
-    write_summary(_with_region(document, dataset, region), f"{out}/summary")
+    write_summary(_with_region(document, dataset.name, box), f"{out}/summary")
     return daily
 
 

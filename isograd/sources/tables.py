@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isograd.functions.columns import round_columns
+from isograd.functions.units import nan_to_null
 from isograd.sources.guards import require_nonempty
 
 log = logging.getLogger(__name__)
@@ -42,7 +43,7 @@ def read_time_table(
     first, rest = raw.columns[0], raw.columns[1:]
     table = raw.select(
         _KEYS[key_type](F.col(first)).alias(key),
-        *[F.col(c) if c in text else F.col(c).cast("double").alias(c) for c in rest],
+        *[F.col(c) if c in text else nan_to_null(F.col(c).cast("double")).alias(c) for c in rest],
     )
     return require_nonempty(table, f"table {path}")
 
@@ -110,4 +111,7 @@ def daily_or_cached(
             raise
         log.warning("computing failed (%s); using the table kept at %s", problem, path)
         return kept
-    return _stored(spark, path)
+    written = _stored(spark, path)
+    if written is None:
+        raise ValueError(f"nothing was computed for {path}")
+    return written

@@ -16,6 +16,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("isograd-tests", 8)
+    session.conf.set("spark.sql.shuffle.partitions", "8")
     yield session
     session.stop()
 

@@ -53,6 +53,7 @@ def test_region_year(spark, stored, tmp_path):
                 assert abs(got[c] - full[c]) <= 0.5e-4 + 1e-9
     doc = document(f"{out}/summary")
     assert doc["region"]["north"] == 35.0
+    assert doc["grid_shape"] == {"time_steps": 40, "lat_points": 3, "lon_points": 4} and doc["rows_daily"] == 15
     temps = [r["t2m_c"] for r in want if r["t2m_c"] is not None]
     assert doc["temperature"]["annual_mean_c"] == pytest.approx(sum(temps) / len(temps), abs=0.0051)
     assert doc["temperature"]["hottest_month"] == "Jan"
@@ -61,6 +62,15 @@ def test_region_year(spark, stored, tmp_path):
     assert spark.read.csv(f"{out}/monthly_energy", header=True).count() == 12
 
 
+def test_blocks_do_not_change_the_tables(spark, stored, tmp_path):
+    out = str(tmp_path)
+    common = ["region-year", "--instant", f"{stored}/instant", "--accum", f"{stored}/accum"]
+    main([*common, "--out", f"{out}/a", "--sample-days", "4"])
+    main([*common, "--out", f"{out}/b", "--sample-days", "4", "--blocks", "24", "30", "30"])
+    a, b = (tables.read_time_table(spark, f"{out}/{run}/daily") for run in "ab")
+    assert a.count() == 5 and a.exceptAll(b).isEmpty()
+
+
 def test_sample_days_end_inclusive(spark):
     daily = regional_daily(grids.instant(spark, SMALL), grids.accum(spark, SMALL), days=2)
     assert daily.count() == 3
@@ -76,7 +86,8 @@ def test_sampled_region(spark, stored, tmp_path):
     assert near(doc["precipitation_summary"]["total_tp_mm"], one[1])
     assert near(doc["correlations"]["temp_pressure"], one[2], 1e-6)
     assert doc["grid_shape"]["rows"] == 561
-    assert (doc["grid_shape"]["latitudes"], doc["grid_shape"]["longitudes"]) == (3, 3)
+    assert (doc["grid_shape"]["latitude"], doc["grid_shape"]["longitude"]) == (3, 3)
+    assert doc["dataset"] == "ERA5 Consistent Slice (464 MB)"
     seasons = spark.read.csv(f"{out}/season", header=True).collect()
     assert [r["season"] for r in seasons] == ["Monsoon sampled days", "Other sampled days"]
     assert [r["day_count"] for r in seasons] == ["0", "11"]

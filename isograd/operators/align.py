@@ -66,16 +66,19 @@ def merge_on_keys(
         *[F.min(c).alias("_min_" + c) for c in shared],
     )
 
-    unique = reduce(lambda a, b: a & b, [F.col(c) <= 1 for c in counts])
-    checked = grouped.where(F.assert_true(unique, "a key occurs more than once in one table").isNull())
+    def every(conditions):
+        return reduce(lambda a, b: a & b, conditions)
+
+    unique = every(F.col(c) <= 1 for c in counts)
+    keep = F.assert_true(unique, "a key occurs more than once in one table").isNull()
     if shared:
-        agree = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_min_" + c)) for c in shared])
-        checked = checked.where(F.assert_true(agree, "tables disagree on a shared variable").isNull())
+        agree = every(F.col(c).eqNullSafe(F.col("_min_" + c)) for c in shared)
+        keep = keep & F.assert_true(agree, "tables disagree on a shared variable").isNull()
     if how == "inner":
-        checked = checked.where(reduce(lambda a, b: a & b, [F.col(c) == 1 for c in counts]))
+        keep = keep & every(F.col(c) == 1 for c in counts)
     elif how == "left":
-        checked = checked.where(F.col(counts[0]) == 1)
-    return checked.select(*keys, *holders)
+        keep = keep & (F.col(counts[0]) == 1)
+    return grouped.where(keep).select(*keys, *holders)
 
 
 def _cells(grid: DataFrame) -> DataFrame:

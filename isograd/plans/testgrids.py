@@ -1,6 +1,7 @@
 """Grids derived from the test tables, for the registered queries.
 
 No row of a table is left out: every event or order becomes one grid cell.
+Schemas are stated, so that planning a query opens no file.
 """
 
 from __future__ import annotations
@@ -44,7 +45,12 @@ def _sampled_coords(k: Column) -> list[Column]:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    schema = "event_id BIGINT, event_type STRING, value DOUBLE"
+    return spark.read.schema(schema).parquet(f"{sf_dir}/events.parquet")
+
+
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema("o_orderkey BIGINT, o_totalprice DOUBLE").parquet(f"{sf_dir}/orders.parquet")
 
 
 def instant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +77,7 @@ def instant_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense accumulated grid in J m⁻²."""
     p = F.col("o_totalprice")
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    return orders(spark, sf_dir).select(
         *_dense_coords(F.col("o_orderkey")),
         (2.0 * p).alias("ssr"),
         (-p / 2.0).alias("str"),

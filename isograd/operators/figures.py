@@ -1,4 +1,4 @@
-"""The tables behind the reference figures."""
+"""The tables behind the published figures."""
 
 from __future__ import annotations
 

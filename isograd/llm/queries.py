@@ -7,9 +7,18 @@ table and derives the result columns from the operator's output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from isograd.llm import decontaminate as dc
+from isograd.llm import language as lg
+from isograd.llm import lines as ln
+from isograd.llm import minhash as mh
+from isograd.llm import packing as pk
 from isograd.llm import quality as ql
+from isograd.llm import urls as ur
+
+#: Rules for URLs by host and path.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +35,55 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dc.decontaminate(docs.select("doc_id", "text"), items).select("doc_id", *[f"overlap.{c}" for c in columns])
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = F.coalesce(lg.held_out(F.col("doc_id")), F.lit(False))
+    samples = lg.sample(docs.where(~out), "doc_id", "text", "lang")
+    judged = lg.identify(docs.select("doc_id", "text"), samples)
+    return judged.select(
+        "doc_id", out.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.bits_per_byte"
+    )
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ln.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    taken = F.aggregate("dedup.removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    kept = F.coalesce(F.col("dedup.kept_text"), F.lit(""))
+    return found.select(
+        "doc_id", "dedup.n_units", "dedup.n_removed", taken.alias("removed_bytes"), F.sha2(kept, 256).alias("kept_sha256")
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pk.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return ur.filter_urls(pages, URL_RULES, ur.train(ur.labelled(spark))).select("page_id", "judged.*")
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mh.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_packing": op6_packing,
+    "op7_url_filter": op7_url_filter,
+    "op9_minhash": op9_minhash,
 }
 
 LLM_ORACLES: dict[str, str] = {}

@@ -10,10 +10,13 @@ a band are candidates.
 Links are exact: the Jaccard similarity of the distinct shingles is computed
 for candidate pairs and must reach ``similarity``.  Equal texts are gathered
 first, so that only different texts are compared.  In each bucket all members
-meet the least one.  Members that it does not link, and that are still in other
-components, meet the bucket's other members, except pairs that the triangle
-inequality of the Jaccard distance rules out.  No link between members of a
-bucket is lost, and a bucket of copies costs no more than its size.
+meet one, the member with the smallest share of shingles that no other
+candidate has, which in a group of copies is the closest to their origin.
+Members of other components then meet each other.  Both steps leave out pairs
+that the shingles of their own (found in no other candidate) keep below the
+similarity, and members for which that holds with any partner of the bucket.
+No link between members of a bucket is lost, and a bucket of copies costs no
+more than its size.
 
 Texts without a word, and rows without an id, are never linked.  A text of
 fewer words than a shingle has one shingle.  Rows that share an id are one
@@ -140,11 +143,36 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("k", "t").mapInArrow(run, schema)
 
 
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """``id``, ``n`` and ``q``: shingles of each text, and how many of them no other id of ``sets`` has (null: several texts)."""
+    schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("id", T.LongType())])
+
+    def run(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                held = [_unpacked(x.as_py()) for x in part.column(1)]
+                identity = np.repeat(part.column(0).to_numpy(), [len(x) for x in held])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), pa.array(identity)], names=["token", "id"])
+
+    tokens = sets.select("id", "s").mapInArrow(run, schema)
+    alone = tokens.groupBy("token").agg(F.min("id").alias("id"), F.max("id").alias("most")).where("id = most")
+    q = alone.groupBy("id").agg(F.count("*").alias("q"))
+    n = sets.groupBy("id").agg(F.when(F.count("*") == 1, F.max(F.octet_length("s") / 6).cast("long")).alias("n"))
+    return n.join(q, "id", "left").select("id", "n", F.coalesce("q", F.lit(0)).alias("q"))
+
+
+def _possible(n1, q1, n2, q2, similarity: float):
+    """Whether sets of ``n`` shingles, ``q`` of them nobody else's, can be as similar."""
+    common = F.least(n1 - q1, n2 - q2)
+    known = n1.isNotNull() & n2.isNotNull()
+    return ~known | (common + 1e-6 >= similarity * (n1 + n2 - common))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a``, ``b`` and the Jaccard similarity of their sets."""
-    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("t")), "b").join(
-        sets.select(F.col("id").alias("a"), "s"), "a"
-    )
+    both = pairs.hint("merge").join(sets.select(F.col("id").alias("b"), F.col("s").alias("t")), "b").hint("merge")
+    both = both.join(sets.select(F.col("id").alias("a"), "s"), "a")
 
     def run(batches):
         for batch in batches:
@@ -173,34 +201,43 @@ def classes(
     marked = stored(_banded(own, width, bands, rows), "bands")
 
     distinct = marked.where("k IS NOT NULL AND bands IS NOT NULL").groupBy("d").agg(F.min("k").alias("id"), F.first("bands").alias("bands"))
-    member = stored(distinct.select(F.explode("bands").alias("band"), "id").distinct(), "members")
-    centre = member.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("other")).where("a < other").select("band", "a")
-    bucket = stored(member.join(centre, "band").where("id <> a").select("band", "a", F.col("id").alias("b")), "buckets")
-    star = stored(bucket.select("a", "b").distinct(), "stars")
-    wanted = star.select(F.col("a").alias("k")).unionAll(star.select("b")).distinct()
-    # One row for each different text of an id; the rows of equal texts but the first have no part in a pair.
-    sets = stored(_sets(own.join(wanted, "k", "left_semi").dropDuplicates(["k", "d"]), width), "sets")
-    linked = stored(_verified(star, sets).groupBy("a", "b").agg(F.max("sim").alias("sim")), "linked")
-    links = linked.where(F.col("sim") >= similarity).select("a", "b")
+    member = distinct.select(F.explode("bands").alias("band"), "id")
+    shared_bands = member.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("band")
+    bucket = stored(member.join(shared_bands, "band").distinct(), "buckets")
+    wanted = bucket.select(F.col("id").alias("k")).distinct()
+    # One row for each different text of an id.
+    sets = stored(_sets(own.join(wanted.hint("merge"), "k", "left_semi").dropDuplicates(["k", "d"]), width), "sets")
+    known = stored(_own_shingles(sets), "shingles")
+    sized = stored(bucket.join(known, "id"), "sized")
+
+    middle = sized.groupBy("band").agg(F.min_by(F.struct("id", "n", "q"), F.struct(F.col("q") / F.col("n"), "id")).alias("m"))
+    star = sized.join(middle, "band").where(
+        (F.col("id") != F.col("m.id")) & _possible(F.col("n"), F.col("q"), F.col("m.n"), F.col("m.q"), similarity)
+    )
+    star = star.select(F.least("id", "m.id").alias("a"), F.greatest("id", "m.id").alias("b")).distinct()
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        found = _verified(stored(pairs, name), sets).where(F.col("sim") >= similarity)
+        return stored(found.select("a", "b").distinct(), f"{name}-links")
+
+    links = linked(star, "star")
     found = components(links)
 
-    # What the least member of a bucket does not link meets the others, unless the distances rule it out.
-    scored = bucket.join(linked, ["a", "b"]).select("band", "b", (1 - F.col("sim")).alias("far"))
-    apart = scored.where(F.col("far") > 1 - similarity)
-    far = 1 - similarity + 1e-9
-    left = apart.select("band", F.col("b").alias("x"), F.col("far").alias("fx"))
-    right = scored.select("band", F.col("b").alias("y"), F.col("far").alias("fy"))
-    rest = (
-        left.join(right, "band")
-        .where((F.col("x") != F.col("y")) & (F.abs(F.col("fx") - F.col("fy")) <= far))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
-    of = found.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    at = found.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    open_ = rest.join(of, "a", "left").join(at, "b", "left").where(~F.col("ca").eqNullSafe(F.col("cb")) | F.col("ca").isNull())
-    more = _verified(stored(open_.select("a", "b"), "open"), sets).where(F.col("sim") >= similarity)
-    more = stored(more.select("a", "b").distinct(), "more")
+    # Members that some partner of their bucket could match, where they are of several components.
+    least = sized.groupBy("band").agg(F.min("n").alias("least"))
+    common = F.col("n") - F.col("q")
+    could = common + 1e-6 >= similarity * (F.col("n") + F.greatest("least", common) - common)
+    able = sized.join(least, "band").where(F.coalesce(could, F.lit(True)))
+    able = able.join(found, "id", "left").select("band", "id", "n", "q", F.coalesce("component", "id").alias("component"))
+    mixed = able.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+    able = stored(able.join(mixed, "band"), "able")
+    x, y = able.alias("x"), able.alias("y")
+    rest = x.join(
+        y,
+        (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+        & _possible(F.col("x.n"), F.col("x.q"), F.col("y.n"), F.col("y.q"), similarity),
+    )
+    more = linked(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "rest")
     if not more.isEmpty():
         found = components(links.unionAll(more))
 

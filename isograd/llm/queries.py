@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from isograd.llm import decontaminate as dc
 from isograd.llm import language as lg
+from isograd.llm import licences as lc
 from isograd.llm import lines as ln
+from isograd.llm import lm
 from isograd.llm import minhash as mh
 from isograd.llm import packing as pk
 from isograd.llm import quality as ql
+from isograd.llm import suffix as sx
 from isograd.llm import urls as ur
 
 #: Rules for URLs by host and path.
@@ -45,6 +48,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sx.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ln.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
     taken = F.aggregate("dedup.removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
@@ -65,10 +73,25 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ur.filter_urls(pages, URL_RULES, ur.train(ur.labelled(spark))).select("page_id", "judged.*")
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lc.scan_licences(docs, lc.background(docs))
+    best = F.array_max(F.transform("licences.notices", lambda n: n["probability"]))
+    return found.select(
+        "doc_id", "licences.n_paragraphs", "licences.n_notices", F.array_join("licences.families", ",").alias("families"),
+        F.coalesce(best, F.lit(0.0)).alias("probability"),
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mh.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, lm.held_out(F.col("doc_id")))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a vocabulary file of the installed public tokenizers."""
     import public_tokenizers
@@ -80,10 +103,51 @@ LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
+    "op8_licences": op8_licences,
     "op9_minhash": op9_minhash,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The other queries rest on a trained model, a tokenizer or an iterative search; tests hold them against brute force.
+LLM_ORACLES: dict[str, str] = {
+    "op3_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        item AS (
+            SELECT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS g
+            FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT DISTINCT n FROM item),
+        run AS (
+            SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+            FROM (SELECT d.*, s.n, unnest(generate_series(1, len(w) - s.n + 1)) AS i FROM d JOIN sizes s ON len(d.w) >= s.n)
+        ),
+        hit AS (SELECT r.doc_id, r.n, r.i, t.item_id FROM run r JOIN item t ON r.n = t.n AND r.g = t.g),
+        place AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+            FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+            sha256(coalesce(n.items, '')) AS items_sha256,
+            coalesce(p.n_hit, 0) > 0 AND 20 * coalesce(p.n_hit, 0) >= coalesce(len(d.w), 0) AS contaminated
+        FROM d LEFT JOIN place p USING (doc_id) LEFT JOIN named n USING (doc_id)
+    """,
+    "op5_line_dedup": rf"""
+        WITH line AS (
+            SELECT doc_id, p, l, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS u
+            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents)
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY doc_id, p) AS r FROM line)
+        SELECT doc_id, count(*) FILTER (WHERE u <> '') AS n_units, count(*) FILTER (WHERE u <> '' AND r > 1) AS n_removed,
+            CAST(coalesce(sum(strlen(l)) FILTER (WHERE u <> '' AND r > 1), 0) AS BIGINT) AS removed_bytes,
+            sha256(coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (WHERE u = '' OR r = 1), '')) AS kept_sha256
+        FROM ranked GROUP BY doc_id
+    """,
+}

@@ -44,7 +44,9 @@ def parser() -> argparse.ArgumentParser:
 
     p = add("experiment", "regional pipeline under several block shapes", "instant", "accum", "out")
 
-    p = add("global-mean", "global and regional mean of one variable", "variable", "out")
+    p = add("global-mean", "global and regional mean of variables", "out")
+    p.add_argument("--variable", nargs="+", required=True)
+    p.add_argument("--disjoint", action="store_true", help="files of the same variables hold different times")
     p.add_argument("--grid", nargs="+", required=True)
     p.add_argument("--step-seconds", type=int, default=units.STEP_SECONDS_1H, help="divisor of accumulated variables")
 
@@ -83,12 +85,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.analysis == "experiment":
         pipelines.run_experiment(spark, args.instant, args.accum, args.out).show(truncate=False)
     elif args.analysis == "global-mean":
-        known = VARIABLES.get(args.variable)
-        if known is not None and known.convert is units.accum_to_flux:
-            convert = lambda c: units.accum_to_flux(c, args.step_seconds)
-        else:
-            convert = units.unchanged if known is None else known.convert
-        pipelines.region_and_global(spark, args.grid, args.variable, args.out, convert=convert)
+        convert = {v: VARIABLES[v].convert for v in args.variable if v in VARIABLES}
+        fluxes = {v for v, f in convert.items() if f is units.accum_to_flux}
+        convert |= {v: partial(units.accum_to_flux, seconds=args.step_seconds) for v in fluxes}
+        pipelines.region_and_global(spark, args.grid, args.variable, args.out, convert=convert, disjoint=args.disjoint)
     elif args.analysis == "validate":
         pipelines.validate(spark, args.reference, args.candidate, args.out, args.atol, args.rtol).show(truncate=False)
     elif args.analysis == "consistency":

@@ -111,9 +111,13 @@ def measure_layouts(
     layouts: Mapping[str, Layout],
     reduce_fn: Callable[..., DataFrame],
     value: Column | None = None,
+    keep: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Run a reduction of one or several grids once per layout; a small table of what each run needed.
 
+    ``keep`` stores a result by the name of its layout and returns the stored
+    table, from which the facts are then taken.
+
     Columns are the layout's ``name``, the ``partitions`` its rows came in, the
     ``elapsed_s``, the number of result ``rows`` and, with ``value``, an
     aggregate of the result (say, its mean temperature) by which runs can be
@@ -130,7 +134,8 @@ def measure_layouts(
             tiled.append(numbered.observe(observation, F.max("_partition").alias("last")).drop("_partition"))
             seen.append(observation)
         started = clock.perf_counter()
-        result = reduce_fn(*tiled).agg(F.count(F.lit(1)).alias("rows"), what.alias("value")).first()
+        table = reduce_fn(*tiled)
+        result = (keep(name, table) if keep else table).agg(F.count(F.lit(1)).alias("rows"), what.alias("value")).first()
         elapsed = clock.perf_counter() - started
         partitions = sum(1 + o.get["last"] for o in seen if o.get["last"] is not None)
         runs.append((name, partitions, elapsed, result["rows"], result["value"]))

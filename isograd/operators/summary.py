@@ -62,24 +62,12 @@ def table_stats(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _axis(df: DataFrame, coord: str) -> DataFrame:
-    """One row on one axis: rows, distinct coordinates, extent."""
-    values = df.groupBy(coord).agg(F.count(F.lit(1)).alias("rows"))
-    return values.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.count(coord).alias("distinct"),
-        F.min(coord).alias("min"),
-        F.max(coord).alias("max"),
-    ).select(F.struct("rows", "distinct", "min", "max").alias(coord))
-
-
 def grid_shape(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Row count, number of steps, latitudes and longitudes, and extents.
 
-    Each axis is counted by itself, which reads its own column only and shuffles
-    nothing but distinct coordinates; distinct counts of several columns in one
-    aggregation would multiply every row instead.  ``approximate`` reads the
-    three columns in one pass with sketches of fixed size.
+    The grid is read once: a grouping by each axis alone sends one row per task
+    and distinct coordinate, and these few rows are counted.  ``approximate``
+    uses sketches of fixed size instead.
     """
     names = {TIME: "time_steps", LATITUDE: "latitudes", LONGITUDE: "longitudes"}
     extents = [(c, end) for c in COORDS for end in ("min", "max")]
@@ -89,13 +77,15 @@ def grid_shape(df: DataFrame, approximate: bool = False) -> DataFrame:
             *[F.approx_count_distinct(c).alias(n) for c, n in names.items()],
             *[(F.min if end == "min" else F.max)(c).alias(f"{c}_{end}") for c, end in extents],
         )
-    one = _axis(df, TIME)
-    for c in (LATITUDE, LONGITUDE):
-        one = one.withColumn(c, _axis(df, c).scalar())
-    return one.select(
-        F.col(f"{TIME}.rows").alias("rows"),
-        *[F.col(f"{c}.distinct").alias(n) for c, n in names.items()],
-        *[F.col(f"{c}.{end}").alias(f"{c}_{end}") for c, end in extents],
+    # Which axis a grouped row belongs to, also where the coordinate itself is missing.
+    axes = {c: F.grouping(c) == 0 for c in COORDS}
+    per_value = df.groupingSets([[F.col(c)] for c in COORDS], *COORDS).agg(
+        F.count(F.lit(1)).alias("_rows"), *[on.alias("_on_" + c) for c, on in axes.items()]
+    )
+    return per_value.agg(
+        F.coalesce(F.sum(F.when(F.col("_on_" + TIME), F.col("_rows"))), F.lit(0)).alias("rows"),
+        *[F.count(F.when(F.col("_on_" + c), F.col(c))).alias(n) for c, n in names.items()],
+        *[(F.min if end == "min" else F.max)(F.when(F.col("_on_" + c), F.col(c))).alias(f"{c}_{end}") for c, end in extents],
     )
 
 

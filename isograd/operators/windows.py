@@ -21,20 +21,23 @@ def anomaly(
 ) -> DataFrame:
     """Deviation of each value from the mean of its month of the year, ``<column>_anom``.
 
-    The means are an aggregation with map-side partials, joined back: a month
-    may hold any share of the rows without one task sorting it, as a window
-    over months would.  The mean table has twelve rows (per ``partition`` key).
-    Both sides of the join need the same columns, so the input is computed
-    once and its shuffle used twice.
+    The means are an aggregation with map-side partials: a month may hold any
+    share of the rows without one task sorting it, as a window over months
+    would.  Without ``partition`` they are at most thirteen rows (twelve months
+    and the missing time), which are broadcast, so no row of the table is
+    shuffled by its month.  With ``partition`` (say, one climate per cell) the
+    rows are dealt once, by partition and month, to meet their means; a hot
+    cell is split there as a skewed join.  Rows whose partition is missing
+    have no climate and stay null.
     """
     names = numeric_columns(df, exclude=[time, "month", "year", *partition]) if columns is None else list(columns)
-    keys = {"_month": F.month(time), **{p: F.col(p) for p in partition}}
     kept = df.select(time, *partition, *names)
-    means = kept.groupBy(*[e.alias("_of_" + k) for k, e in keys.items()]).agg(
+    month = F.coalesce(F.month(time), F.lit(0))  # 0: the time is missing
+    means = kept.groupBy(*[F.col(p).alias("_of_" + p) for p in partition], month.alias("_of_month")).agg(
         *[F.avg(c).alias("_mean_" + c) for c in names]
     )
-    same = [e.eqNullSafe(F.col("_of_" + k)) for k, e in keys.items()]
-    return kept.join(means, same, "left").select(
+    same = [F.col(p) == F.col("_of_" + p) for p in partition] + [month == F.col("_of_month")]
+    return kept.join(means if partition else F.broadcast(means), same, "left").select(
         time, *partition, *[(F.col(c) - F.col("_mean_" + c)).alias(c + "_anom") for c in names]
     )
 
@@ -45,27 +48,38 @@ def month_index(time: Column | str) -> Column:
 
 
 def with_ordinal(
-    df: DataFrame, order: str, bucket: Callable[[Column], Column] = month_index, name: str = "ordinal"
+    df: DataFrame,
+    order: str,
+    bucket: Callable[[Column], Column] = month_index,
+    name: str = "ordinal",
+    partition: Sequence[str] = (),
 ) -> DataFrame:
-    """Dense row number from 0 along a unique ``order`` without sorting the table in one task.
+    """Row number from 0 along a unique ``order``, in each ``partition``, without sorting a series in one task.
 
     ``bucket`` turns the order into a coarse key that grows with it, calendar
     months by default.  Rows are numbered inside their bucket; the running
-    total of the bucket sizes, a table of one row per calendar month, gives
+    total of the bucket sizes, one row per series and calendar month, gives
     each bucket its start.  Sizes are counted over whole rows (the last row of
-    a bucket names it) for the reason given in ``temporal.key_range``.
+    a bucket names it) for the reason given in ``temporal.key_range``.  An
+    order that repeats in a series is an error.
     """
-    row = F.struct(order, *[c for c in df.columns if c != order])
-    sizes = df.groupBy(bucket(F.col(order))).agg(F.count(F.lit(1)).alias("_n"), F.max(row).alias("_last"))
-    sizes = sizes.select(bucket(F.col(f"_last.{order}")).alias("_bucket"), "_n")
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     own = bucket(F.col(order))
-    numbered = df.withColumn("_row", F.row_number().over(W.partitionBy(own).orderBy(order)))
+    row = F.struct(order, *[c for c in df.columns if c != order])
+    sizes = df.groupBy(*partition, own).agg(F.count(F.lit(1)).alias("_n"), F.max(row).alias("_last"))
+    sizes = sizes.select(*partition, bucket(F.col(f"_last.{order}")).alias("_bucket"), "_n")
+    before = W.partitionBy(*partition).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(
+        *[F.col(p).alias("_of_" + p) for p in partition], "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    inside = W.partitionBy(*partition, own).orderBy(order)
+    numbered = df.withColumns({"_row": F.row_number().over(inside), "_same": F.lag(order).over(inside).eqNullSafe(F.col(order))})
+    once = F.assert_true(~F.col("_same") | (F.col("_row") == 1), f"{order} occurs more than once in one series").isNull()
+    match = [F.col(p).eqNullSafe(F.col("_of_" + p)) for p in partition] + [own.eqNullSafe(F.col("_bucket"))]
     return (
-        numbered.join(starts, own.eqNullSafe(F.col("_bucket")), "left")
+        numbered.where(once)
+        .join(starts, match, "left")
         .withColumn(name, F.col("_start") + F.col("_row") - 1)
-        .drop("_bucket", "_row", "_start")
+        .drop("_bucket", "_row", "_same", "_start", *["_of_" + p for p in partition])
     )
 
 
@@ -87,21 +101,19 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean over the rows ``-before .. +after``, null where fewer than ``min_periods`` are present.
 
-    ``columns`` maps input to output names.  With ``partition`` (say, one
-    series per cell) this is an ordinary window.  A single series has no
-    natural partition: its rows are numbered, cut into blocks of
-    ``block_rows``, and each block is given copies of the few neighbouring
-    rows its edge windows need, so that blocks are computed independently.
+    ``columns`` maps input to output names.  Rows are numbered, within each
+    ``partition`` if one is given (say, one series per cell), cut into blocks
+    of ``block_rows``, and each block is given copies of the few neighbouring
+    rows its edge windows need, so that blocks are computed independently and
+    no task sorts a whole series.  An order that repeats in a series is an
+    error.
     """
-    if partition:
-        w = W.partitionBy(*partition).orderBy(order).rowsBetween(-before, after)
-        return df.withColumns({out: _guarded_mean(c, w, min_periods) for c, out in columns.items()})
-
     o, size = F.col("_ordinal"), F.lit(block_rows)
     first = F.floor(F.greatest(o - after, F.lit(0)) / size)
     last = F.floor((o + before) / size)
-    spread = with_ordinal(df, order, bucket, "_ordinal").withColumn("_block", F.explode(F.sequence(first, last)))
-    w = W.partitionBy("_block").orderBy("_ordinal").rowsBetween(-before, after)
+    numbered = with_ordinal(df, order, bucket, "_ordinal", partition)
+    spread = numbered.withColumn("_block", F.explode(F.sequence(first, last)))
+    w = W.partitionBy(*partition, "_block").orderBy("_ordinal").rowsBetween(-before, after)
     rolled = spread.withColumns({out: _guarded_mean(c, w, min_periods) for c, out in columns.items()})
     return rolled.where(F.col("_block") == F.floor(o / size)).drop("_block", "_ordinal")
 

@@ -211,6 +211,10 @@ def _oracles() -> dict[str, str]:
     q["region_filter"] = _with(GI) + (
         f"SELECT valid_time, latitude, longitude, {_r('t2m', 'tcc')} FROM gi WHERE {SA}"
     )
+    q["stored_grid"] = _with(GI) + (
+        f"SELECT valid_time, latitude, longitude, round(t2m, 8) AS t2m FROM gi WHERE {SA}"
+        " AND valid_time BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00'"
+    )
     q["time_window"] = _with(GI) + (
         f"SELECT valid_time, latitude, longitude, {_r('t2m', 'tcc')} FROM gi"
         " WHERE valid_time <= (SELECT min(valid_time) FROM gi) + INTERVAL 5 DAY"
@@ -275,6 +279,15 @@ def _oracles() -> dict[str, str]:
             )
             + f" FROM gn WHERE {SA} GROUP BY 1"
         )
+    def both(table: str, variables: tuple[str, ...]) -> str:
+        means = ", ".join(f"avg({v}) AS {v}_global, avg({v}) FILTER (WHERE {SA}) AS {v}_region" for v in variables)
+        return f"SELECT valid_time, {means} FROM {table} GROUP BY 1"
+
+    names = [f"{v}_{part}" for v in ("t2m", "tcc", "tsr", "ttr") for part in ("global", "region")]
+    q["both_steps_means"] = _with(GN, GA) + (
+        f"SELECT coalesce(a.valid_time, b.valid_time) AS valid_time, {_r(*names)}"
+        f" FROM ({both('gn', ('t2m', 'tcc'))}) a FULL JOIN ({both('ga', ('tsr', 'ttr'))}) b ON a.valid_time = b.valid_time"
+    )
     q["region_vs_global"] = _with(GN) + (
         "SELECT valid_time, "
         + ", ".join(
@@ -294,6 +307,7 @@ def _oracles() -> dict[str, str]:
 
     # Days and months
     q["daily_metrics"] = _with(*_DAILY) + f"SELECT time, {_r(*_METRICS)} FROM daily"
+    q["kept_daily"] = q["daily_metrics"]
     q["daily_metrics_gaps"] = _with(GN, GA, _steps("gn"), _days("daily", "steps", heat=True)) + (
         f"SELECT time, {_r(*_METRICS, *_HEAT)} FROM daily"
     )
@@ -385,6 +399,10 @@ def _oracles() -> dict[str, str]:
     q["cell_rolling"] = _with(GI) + (
         f"SELECT valid_time, latitude, longitude, round(t2m, 8) AS t2m, round({by_cell}, 8) AS t2m_rolling FROM gi"
     )
+    q["cell_anomaly"] = _with(GI) + (
+        "SELECT valid_time, latitude, longitude,"
+        " round(t2m - avg(t2m) OVER (PARTITION BY latitude, longitude, month(valid_time)), 8) + 0.0 AS t2m_anom FROM gi"
+    )
     q["month_ticks"] = _with(
         *_CENTRAL, "fy AS (SELECT * FROM central WHERE year = (SELECT min(year) FROM central))"
     ) + (

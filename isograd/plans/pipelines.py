@@ -1,12 +1,14 @@
 """End-to-end analyses: read stored grids, write result tables and summaries.
 
-These functions run jobs.  The daily table is kept first and every later table
-is derived from what was kept, so the grid is read once.
+These functions run jobs.  The daily table and the shape of the grid are kept
+first, and every later table is derived from what was kept.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +28,12 @@ from isograd.catalog import (
 from isograd.functions import units
 from isograd.operators import align, compare, figures, layout, select, spatial, summary, temporal, windows
 from isograd.operators.align import stack
-from isograd.plans.regional import regional_daily, sampled_regional_daily
-from isograd.sources.grid import read_grid
+from isograd.plans.regional import region_and_global_means, regional_daily, sampled_regional_daily
+from isograd.sources.grid import read_grid, read_grid_multi
 from isograd.sources.guards import available, require_columns, require_nonempty
-from isograd.sources.tables import daily_or_cached, read_time_table, write_summary, write_table
+from isograd.sources.tables import Kept, kept_tables, read_time_table, unreadable, write_summary, write_table
+
+log = logging.getLogger(__name__)
 
 CONSISTENCY_COLUMNS = ("t2m_c", "tcc", "ssr", "str_nlw", "net_rad")
 VALIDATION_TABLES = {
@@ -64,20 +68,27 @@ def region_year(
 ) -> DataFrame:
     """Daily metrics, heat extremes, climatology, anomalies, figure tables and summary of a region.
 
-    The shape of the region's grid is counted when the daily table is computed
-    and kept beside it.
+    The daily table and the shape of the grid it came from, both of the region
+    and the first ``days`` days only, are kept under all these parameters.
     """
     box = region or dataset.region
 
-    def compute() -> DataFrame:
-        cells = select.in_region(read_grid(spark, instant_path, dataset.instant), box)
+    def compute() -> dict[str, DataFrame]:
+        instant = read_grid(spark, instant_path, dataset.instant)
+        accum = read_grid(spark, accum_path, dataset.accum)
+        cells = select.in_region(instant, box)
         require_nonempty(cells.select(TIME), f"region {box.name}")
-        write_table(summary.grid_shape(cells), f"{out}/grid_shape", digits=None, format="parquet")
-        instant = read_grid(spark, instant_path, dataset.instant, tile)
-        accum = read_grid(spark, accum_path, dataset.accum, tile)
-        return regional_daily(instant, accum, box, days, step_seconds, with_heat=True, gaps=True)
-
-    daily = daily_or_cached(spark, f"{out}/daily_kept", compute, recompute)
+        if days > 0:
+            cells = select.time_window(cells, days, select.first_time(cells, select.in_region(accum, box)))
+        if tile:
+            instant, accum = tile(instant), tile(accum)
+        daily = regional_daily(instant, accum, box, days, step_seconds, with_heat=True, gaps=True)
+        return {"daily": daily, "grid_shape": summary.grid_shape(cells)}
+
+    identity = {"analysis": "region-year", "region": box, "dataset": dataset, "days": max(days, 0), "step_seconds": step_seconds,
+                "instant": instant_path, "accum": accum_path}
+    kept = kept_tables(spark, f"{out}/kept", identity, compute, recompute)
+    daily = kept.tables["daily"]
     require_columns(daily, temporal.HEAT_COLUMNS, "kept daily table")
     metrics = daily.select("time", *temporal.DAILY_METRICS)
     anomaly = windows.anomaly(metrics)
@@ -92,14 +103,30 @@ def region_year(
     write_table(figures.anomaly_relations(anomaly), f"{out}/anomaly_relations", sort="time")
     write_table(figures.monthly_anomaly(anomaly), f"{out}/monthly_anomaly", digits=6, sort="month")
 
-    shape = _shape(
-        spark.read.parquet(f"{out}/grid_shape"), time_steps="time_steps", lat_points="latitudes", lon_points="longitudes"
-    )
+    shape = _shape(kept.tables["grid_shape"], time_steps="time_steps", lat_points="latitudes", lon_points="longitudes")
     document = windows.with_scalar(summary.region_summary(daily), shape, "grid_shape")
-    write_summary(_with_region(document, dataset.name, box), f"{out}/summary")
+    if days > 0:
+        document = windows.with_scalar(document, _sample(daily, days), "sample")
+    write_summary(_with_region(_with_source(document, kept), dataset.name, box), f"{out}/summary")
     return daily
 
 
+def _sample(daily: DataFrame, days: int) -> DataFrame:
+    """Rows, days asked for, and temperature of a sample run, as one struct."""
+    t = F.col("t2m_c")
+    return daily.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("rows"), F.lit(days).alias("sample_days"), F.round(F.avg(t), 4).alias("mean_c"),
+            F.round(F.max(t), 4).alias("max_c"), F.round(F.min(t), 4).alias("min_c"),
+        ).alias("sample")
+    )
+
+
+def _with_source(document: DataFrame, kept: Kept) -> DataFrame:
+    """Which stored run the summary is of, and whether it was computed just now."""
+    return document.withColumn("daily_table", F.struct(F.lit(kept.source).alias("source"), F.lit(kept.run).alias("run")))
+
+
 def sampled_region(
     spark: SparkSession,
     instant_path: str,
@@ -111,27 +138,25 @@ def sampled_region(
 ) -> DataFrame:
     """Daily metrics, seasonal cycle, season comparison, first-year timeline and summary of a sampled region."""
     box = region or dataset.region
-    instant = select.in_region(read_grid(spark, instant_path, dataset.instant), box)
-    accum = select.in_region(read_grid(spark, accum_path, dataset.accum), box)
 
-    def compute() -> DataFrame:
+    def compute() -> dict[str, DataFrame]:
+        instant = select.in_region(read_grid(spark, instant_path, dataset.instant), box)
+        accum = select.in_region(read_grid(spark, accum_path, dataset.accum), box)
         require_nonempty(instant.select(TIME), f"region {box.name}")
-        write_table(summary.grid_shape(instant), f"{out}/grid_shape", digits=None, format="parquet")
-        return sampled_regional_daily(instant, accum, box)
+        return {"daily": sampled_regional_daily(instant, accum, box), "grid_shape": summary.grid_shape(instant)}
 
-    daily = daily_or_cached(spark, f"{out}/daily_kept", compute, recompute)
+    identity = {"analysis": "sampled-region", "region": box, "dataset": dataset, "instant": instant_path, "accum": accum_path}
+    kept = kept_tables(spark, f"{out}/kept", identity, compute, recompute)
+    daily = kept.tables["daily"]
     write_table(daily, f"{out}/daily", digits=None, sort="date")
     monthly = temporal.monthly_climatology(daily, "date")
     write_table(temporal.month_spine(monthly), f"{out}/monthly", digits=None, sort="month")
     write_table(summary.season_compare(daily), f"{out}/season", digits=None)
     write_table(windows.month_ticks(select.first_year(daily)), f"{out}/first_year", digits=None, sort="date")
 
-    shape = _shape(
-        spark.read.parquet(f"{out}/grid_shape"),
-        rows="rows", time_steps="time_steps", latitude="latitudes", longitude="longitudes",
-    )
+    shape = _shape(kept.tables["grid_shape"], rows="rows", time_steps="time_steps", latitude="latitudes", longitude="longitudes")
     document = windows.with_scalar(summary.sampled_summary(daily), shape, "grid_shape")
-    write_summary(_with_region(document, dataset.name, box), f"{out}/summary")
+    write_summary(_with_region(_with_source(document, kept), dataset.name, box), f"{out}/summary")
     return daily
 
 
@@ -178,13 +203,15 @@ def monthly_layout_study(
             raise ValueError(f"grid {path} has no known variable")
 
     results = {}
-    for name, tile in chosen.items():
-        months = calendar_months(*[tile(g) for g in grids])
+
+    def keep(name: str, months: DataFrame) -> DataFrame:
         write_table(months, f"{out}/{name}_monthly", digits=None, format="parquet")
         results[name] = spark.read.parquet(f"{out}/{name}_monthly")
-        write_table(results[name], f"{out}/{name}_monthly_csv", digits=None, sort=TIME)
+        return results[name]
 
-    runs = layout.measure_layouts(grids, chosen, calendar_months)
+    runs = layout.measure_layouts(grids, chosen, calendar_months, keep=keep)
+    for name, months in results.items():
+        write_table(months, f"{out}/{name}_monthly_csv", digits=None, sort=TIME)
     write_table(runs, f"{out}/benchmark", digits=2)
     ends = compare.best_worst(runs)
     write_table(ends, f"{out}/best_worst", digits=3)
@@ -203,6 +230,8 @@ def monthly_layout_study(
     if len(radiation) >= 2:
         matrix = figures.radiation_matrix(best.withColumnsRenamed(radiation), list(radiation.values()))
         write_table(matrix, f"{out}/radiation", digits=None, sort="variable")
+    else:
+        log.warning("no radiation table: the grids hold %d of at least 2 radiation variables", len(radiation))
     return runs
 
 
@@ -238,14 +267,21 @@ def validate(
     rtol: float = 1e-3,
     tables: Mapping[str, tuple[str, str]] = VALIDATION_TABLES,
 ) -> DataFrame:
-    """Compare the result tables of two runs; tables missing on either side are skipped."""
-    reports = []
+    """Compare the result tables of two runs.
+
+    Tables missing on either side are skipped and listed in the summary; any
+    other failure is raised.
+    """
+    reports, skipped = [], []
     for label, (name, key) in tables.items():
         key_type = "int" if key == "month" else "date"
         try:
-            a = read_time_table(spark, f"{reference_dir}/{name}", key, key_type)
-            b = read_time_table(spark, f"{candidate_dir}/{name}", key, key_type)
-        except AnalysisException:
+            a = read_time_table(spark, f"{reference_dir}/{name}", key, key_type, sort=False)
+            b = read_time_table(spark, f"{candidate_dir}/{name}", key, key_type, sort=False)
+        except AnalysisException as problem:
+            if not unreadable(problem):
+                raise
+            skipped.append(label)
             continue
         require_nonempty(align.common_keys(a, b, key), f"overlap of {label}")
         reports.append(compare.compare_tables(a, b, key, atol, rtol, label))
@@ -255,13 +291,14 @@ def validate(
     write_table(report.orderBy("table", "column"), f"{out}/validation", digits=None)
     kept = spark.read.csv(f"{out}/validation", header=True, schema=report.schema)
     tolerances = F.struct(F.lit(atol).alias("atol"), F.lit(rtol).alias("rtol")).alias("tolerances")
-    write_summary(compare.validation_rollup(kept).select(tolerances, "*"), f"{out}/validation_summary")
+    left_out = F.array(*[F.lit(name) for name in skipped]).cast("array<string>").alias("skipped")
+    write_summary(compare.validation_rollup(kept).select(tolerances, "*", left_out), f"{out}/validation_summary")
     return kept
 
 
 def check_consistency(spark: SparkSession, a_dir: str, b_dir: str, out: str) -> tuple[DataFrame, DataFrame]:
     """Largest and mean differences of two runs' daily tables and of their anomalies."""
-    a, b = read_time_table(spark, f"{a_dir}/daily"), read_time_table(spark, f"{b_dir}/daily")
+    a, b = (read_time_table(spark, f"{d}/daily", sort=False) for d in (a_dir, b_dir))
     daily = compare.consistency(a, b, CONSISTENCY_COLUMNS)
     names = [c for c in CONSISTENCY_COLUMNS if c in a.columns and c in b.columns]
     anomalies = compare.consistency(
@@ -275,16 +312,31 @@ def check_consistency(spark: SparkSession, a_dir: str, b_dir: str, out: str) ->
 def region_and_global(
     spark: SparkSession,
     paths: Sequence[str],
-    variable: str,
+    variables: Sequence[str],
     out: str,
     region: Region = REGIONS["south_asia"],
-    convert: Callable = units.unchanged,
+    convert: Mapping[str, Callable] = MappingProxyType({}),
+    disjoint: bool = False,
 ) -> DataFrame:
-    """Global and regional mean series of one variable with their 24-row rolling means."""
-    grid = stack([read_grid(spark, p, [variable]) for p in paths])
-    means = spatial.region_vs_global(grid, [variable], region)
-    names = [f"{variable}_global", f"{variable}_region"]
-    means.select(TIME, *[convert(F.col(n)).alias(n) for n in names]).write.mode("overwrite").parquet(f"{out}/series")
+    """Global and regional mean series of variables with their 24-row rolling means.
+
+    Files with the same variables are opened as one grid; each such grid, say
+    each step type, is read once for all its variables, and the step means
+    meet by time.  ``disjoint`` says that files of one grid hold different
+    times.
+    """
+    held: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        names = tuple(available(spark.read.parquet(path), variables))
+        if names:
+            held.setdefault(names, []).append(path)
+    missing = set(variables) - {v for names in held for v in names}
+    if missing:
+        raise ValueError(f"no grid holds the variables {sorted(missing)}")
+    grids = [(read_grid_multi(spark, files, names, disjoint or len(files) == 1), names) for names, files in held.items()]
+    series = region_and_global_means(grids, region)
+    columns = {f"{v}_{part}": convert.get(v, units.unchanged) for v in variables for part in ("global", "region")}
+    series.select(TIME, *[f(F.col(n)).alias(n) for n, f in columns.items()]).write.mode("overwrite").parquet(f"{out}/series")
     kept = spark.read.parquet(f"{out}/series")
-    write_table(windows.rolling24(kept, {n: n + "_rolling24" for n in names}), f"{out}/rolling24", digits=None, sort=TIME)
+    write_table(windows.rolling24(kept, {n: n + "_rolling24" for n in columns}), f"{out}/rolling24", digits=None, sort=TIME)
     return kept

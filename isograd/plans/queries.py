@@ -16,7 +16,7 @@ from isograd.functions.calendar import epoch_to_ts, with_calendar
 from isograd.functions.columns import round_columns
 from isograd.operators import align, compare, figures, layout, select, spatial, summary, temporal, windows
 from isograd.plans import testgrids as grids
-from isograd.plans.regional import regional_daily, sampled_regional_daily
+from isograd.plans.regional import region_and_global_means, regional_daily, sampled_regional_daily
 from isograd.session import shared_folder
 from isograd.sources import grid as source
 from isograd.sources import tables
@@ -110,6 +110,28 @@ def csv_roundtrip(spark, sf):
     return report(tables.read_time_table(spark, path))
 
 
+def stored_grid(spark, sf):
+    path = scratch(spark, "grid")
+    source.write_grid(grids.instant(spark, sf), path)
+    box = select.in_region(source.read_grid(spark, path, ["t2m"]), SOUTH_ASIA)
+    return report(select.time_between(box, "2024-01-03 00:00:00", "2024-01-20 12:00:00").drop("year", "month"))
+
+
+def kept_daily(spark, sf):
+    """The kept table of the full span, with that of a sample beside it under other parameters."""
+    path, inputs = scratch(spark, "kept"), {"instant": f"{sf}/events", "accum": f"{sf}/orders"}
+
+    def keep(days: int) -> tables.Kept:
+        def compute():
+            return {"daily": regional_daily(grids.instant(spark, sf), grids.accum(spark, sf), days=days, with_heat=False)}
+
+        return tables.kept_tables(spark, path, {**inputs, "region": SOUTH_ASIA, "days": days}, compute)
+
+    keep(2)
+    keep(0)
+    return report(keep(0).tables["daily"])
+
+
 # --- Filters, units, calendar ------------------------------------------------
 
 
@@ -200,6 +222,11 @@ def region_vs_global(spark, sf):
     return report(spatial.region_vs_global(cells, ["t2m", "tcc"], SOUTH_ASIA))
 
 
+def both_steps_means(spark, sf):
+    both = [(grids.instant_with_gaps(spark, sf), ["t2m", "tcc"]), (grids.accum(spark, sf), ["tsr", "ttr"])]
+    return report(region_and_global_means(both, SOUTH_ASIA))
+
+
 def regional_step_series(spark, sf):
     return report(series(spark, sf))
 
@@ -284,6 +311,11 @@ def daily_anomaly(spark, sf):
     return report(windows.anomaly(daily(spark, sf)))
 
 
+def cell_anomaly(spark, sf):
+    cells = grids.instant(spark, sf).select(*COORDS, "t2m")
+    return report(windows.anomaly(cells, ["t2m"], TIME, partition=[LATITUDE, LONGITUDE]))
+
+
 def rolling15(spark, sf):
     return report(windows.rolling15(daily(spark, sf).select("time", "t2m_c"), "t2m_c", "t2m_c_rolling15"))
 
@@ -434,15 +466,15 @@ def layout_overlay(spark, sf):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        grid_scan, multi_open, unpack_scale_offset, explode_grid, epoch_decode, csv_roundtrip,
+        grid_scan, multi_open, unpack_scale_offset, explode_grid, epoch_decode, csv_roundtrip, stored_grid, kept_daily,
         region_filter, time_window, unit_convert, calendar_keys, first_year, grid_preview,
         merge_steps_outer, merge_steps_inner, daily_with_heat, common_keys, month_spine, daily_gap_filled,
         spatial_mean, weighted_mean, heat_fraction, heat_fraction_present,
-        region_vs_global, regional_step_series, grid_shape,
+        region_vs_global, both_steps_means, regional_step_series, grid_shape,
         daily_metrics, daily_metrics_gaps, daily_heat, daily_precip, central_daily, monthly_climatology,
         central_climatology, calendar_month, calendar_month_sum, season_compare, temp_pressure_corr,
         argmax_month, table_stats, region_summary, sampled_summary,
-        daily_anomaly, rolling15, rolling24, cell_rolling, month_ticks, month_vs_annual, minmax_scale,
+        daily_anomaly, cell_anomaly, rolling15, rolling24, cell_rolling, month_ticks, month_vs_annual, minmax_scale,
         annual_cycle, monthly_energy, anomaly_relations, anomaly_sign_bands, monthly_anomaly, radiation_heatmap,
         paired_on_time, consistency_daily, consistency_anomaly, validation_metrics, validation_rollup, melted_daily,
         layout_time_first, layout_balanced, layout_space_first, layout_invariance, layout_overlay,

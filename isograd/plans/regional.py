@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
-from isograd.catalog import REGIONS, Region
+from isograd.catalog import REGIONS, TIME, Region
 from isograd.functions import units
+from isograd.operators.align import merge_on_keys
 from isograd.operators.select import first_time, in_region, time_window
-from isograd.operators.spatial import regional_series, sampled_series
+from isograd.operators.spatial import region_vs_global, regional_series, sampled_series
 from isograd.operators.temporal import daily_metrics, fill_calendar, sampled_daily
 
 
@@ -40,3 +43,12 @@ def sampled_regional_daily(
     """Daily table of the sampled region: temperature, pressure, precipitation."""
     rain = None if accum is None else in_region(accum, region)
     return sampled_daily(sampled_series(in_region(instant, region), rain))
+
+
+def region_and_global_means(grids: Sequence[tuple[DataFrame, Sequence[str]]], region: Region) -> DataFrame:
+    """Global and regional step means of variables held by several grids, say one of each step type.
+
+    Each grid is read once for all its variables; only the step means meet.
+    """
+    means = [region_vs_global(grid, variables, region) for grid, variables in grids]
+    return merge_on_keys(means, [TIME]) if len(means) > 1 else means[0]

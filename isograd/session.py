@@ -33,10 +33,13 @@ def local_session(app: str = "isograd", cpus: int | str | None = None) -> SparkS
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can see, named by ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (tests on one machine) a folder of the
-    warehouse directory stands in for it.
+    Only a session on one machine (``local[...]``) may leave the setting out;
+    a folder of the warehouse directory then stands in for it.  On a cluster
+    a missing setting is an error: a local folder would lose tables.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/isograd-shared"

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
-from collections.abc import Callable, Collection
+import uuid
+from collections.abc import Callable, Collection, Mapping
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +36,14 @@ def read_time_table(
     key: str = "time",
     key_type: str = "date",
     text: Collection[str] = TEXT_COLUMNS,
+    sort: bool = True,
 ) -> DataFrame:
     """Read a result table whose first column is the key, whatever it is called.
 
     The key is read as ``date``, ``timestamp`` or ``int``; every other column
     is a double unless named in ``text``.  Only the header is inspected, no
-    pass over the rows infers types.  An empty table is an error.
+    pass over the rows infers types.  Rows come in the order of the key unless
+    ``sort`` is off.  An empty table is an error.
     """
     raw = spark.read.csv(path, header=True)
     first, rest = raw.columns[0], raw.columns[1:]
@@ -45,7 +51,8 @@ def read_time_table(
         _KEYS[key_type](F.col(first)).alias(key),
         *[F.col(c) if c in text else nan_to_null(F.col(c).cast("double")).alias(c) for c in rest],
     )
-    return require_nonempty(table, f"table {path}")
+    require_nonempty(table, f"table {path}")
+    return table.orderBy(key) if sort else table
 
 
 def write_table(
@@ -74,44 +81,74 @@ def write_summary(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.coalesce(1).write.mode(mode).json(path, ignoreNullFields=False)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest complete run of a kept table, or nothing."""
+#: Conditions under which the input of a computation could not be read.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE")
+
+
+@dataclass(frozen=True)
+class Kept:
+    """Tables of one complete run, read back from storage."""
+
+    tables: dict[str, DataFrame]
+    run: str
+    source: str  # "computed", "kept", or "kept, inputs unreadable"
+
+
+def unreadable(problem: BaseException) -> bool:
+    """Whether an input was missing or could not be opened, as opposed to a failed check or a bug."""
+    if isinstance(problem, OSError):
+        return True
+    condition = problem.getCondition() if isinstance(problem, PySparkException) else None
+    return condition is not None and condition.startswith(UNREADABLE)
+
+
+def _newest(spark: SparkSession, folder: str, source: str) -> Kept | None:
     try:
-        kept = spark.read.parquet(path)
-    except AnalysisException:
+        marks = spark.read.schema("run STRING, finished TIMESTAMP, names ARRAY<STRING>").parquet(f"{folder}/complete")
+    except AnalysisException as problem:
+        if not unreadable(problem):
+            raise
+        return None
+    last = marks.agg(F.max_by(F.struct("run", "names"), F.struct("finished", "run")).alias("last")).first()["last"]
+    if last is None:
         return None
-    newest = kept.agg(F.max("run").alias("run")).scalar()
-    return kept.where(F.col("run") == newest).drop("run")
+    return Kept({n: spark.read.parquet(f"{folder}/{last['run']}/{n}") for n in last["names"]}, last["run"], source)
 
 
-def daily_or_cached(
+def kept_tables(
     spark: SparkSession,
     path: str,
-    compute: Callable[[], DataFrame],
+    identity: Mapping[str, object],
+    compute: Callable[[], Mapping[str, DataFrame]],
     recompute: bool = False,
-) -> DataFrame:
-    """The kept table at ``path``, or a freshly computed one that is then kept.
-
-    Every computation appends a new ``run``; readers take the newest, so a
-    failed job leaves the earlier table in place, and that table is also the
-    fallback when the raw data cannot be read.  What is returned is read back
-    from storage: later steps do not repeat the computation, even when
-    executors are lost.
+) -> Kept:
+    """The tables kept at ``path`` for these parameters and inputs, or freshly computed ones that are then kept.
+
+    ``identity`` names everything the tables depend on; another identity has a
+    folder of its own.  Each computation writes a run of its own, and a mark
+    when all its tables are written; readers take the newest marked run, so
+    neither a lost driver nor a second job at the same time leaves parts in it.
+    If the inputs cannot be read, an older run of the same identity stands in
+    and ``source`` says so; any other failure is raised.
     """
-    kept = _stored(spark, path)
-    if kept is not None and not recompute:
-        return kept
-    try:
-        run = 0
+    told = json.dumps(identity, sort_keys=True, default=str)
+    folder = f"{path}/{hashlib.sha256(told.encode()).hexdigest()[:16]}"
+    if not recompute:
+        kept = _newest(spark, folder, "kept")
         if kept is not None:
-            run = spark.read.parquet(path).agg(F.max("run")).first()[0] + 1
-        compute().withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)
+            return kept
+    run = uuid.uuid4().hex
+    try:
+        tables = dict(compute())
+        for name, table in tables.items():
+            table.write.parquet(f"{folder}/{run}/{name}")
     except Exception as problem:
+        kept = _newest(spark, folder, "kept, inputs unreadable") if unreadable(problem) else None
         if kept is None:
             raise
-        log.warning("computing failed (%s); using the table kept at %s", problem, path)
+        log.warning("the inputs cannot be read (%s); using run %s kept at %s", problem, kept.run, folder)
         return kept
-    written = _stored(spark, path)
-    if written is None:
-        raise ValueError(f"nothing was computed for {path}")
-    return written
+    names = F.array(*[F.lit(n) for n in tables])
+    mark = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("finished"), names.alias("names"))
+    mark.coalesce(1).write.mode("append").parquet(f"{folder}/complete")
+    return Kept({n: spark.read.parquet(f"{folder}/{run}/{n}") for n in tables}, run, "computed")

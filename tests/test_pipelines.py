@@ -6,6 +6,7 @@ import json
 import glob
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from isograd.__main__ import main
@@ -15,7 +16,7 @@ from isograd.plans import pipelines
 from isograd.plans import testgrids as grids
 from isograd.plans.regional import regional_daily, sampled_regional_daily
 from isograd.sources import tables
-from isograd.sources.grid import read_grid, read_grid_multi, write_grid
+from isograd.sources.grid import as_grid, read_grid, read_grid_multi, write_grid
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -99,30 +100,68 @@ def test_empty_region_is_an_error(spark, stored, tmp_path):
         pipelines.region_year(spark, f"{stored}/instant", f"{stored}/accum", str(tmp_path), far)
 
 
-def test_kept_table_is_used_refreshed_and_falls_back(spark, tmp_path):
+def test_kept_tables_are_used_refreshed_and_fall_back(spark, tmp_path):
     path = str(tmp_path / "kept")
     calls = []
 
     def compute(value):
         def run():
             calls.append(value)
-            return spark.range(2).withColumn("v", F.lit(value))
+            return {"t": spark.range(2).withColumn("v", F.lit(value))}
 
         return run
 
-    def broken():
-        raise OSError("raw data unreadable")
+    def missing():
+        return {"t": spark.read.parquet(str(tmp_path / "nowhere"))}
 
-    with pytest.raises(OSError):
-        tables.daily_or_cached(spark, path, broken)
-    first = tables.daily_or_cached(spark, path, compute(1))
-    again = tables.daily_or_cached(spark, path, compute(2))
-    assert calls == [1]
-    assert {r["v"] for r in first.collect()} == {r["v"] for r in again.collect()} == {1}
-    fresh = tables.daily_or_cached(spark, path, compute(3), recompute=True)
-    assert {r["v"] for r in fresh.collect()} == {3} and fresh.count() == 2
-    kept = tables.daily_or_cached(spark, path, broken, recompute=True)
-    assert {r["v"] for r in kept.collect()} == {3}
+    def wrong():
+        raise ValueError("a key occurs twice")
+
+    def values(kept):
+        return [r["v"] for r in kept.tables["t"].collect()]
+
+    def keep(identity, how, **kw):
+        return tables.kept_tables(spark, path, identity, how, **kw)
+
+    with pytest.raises(AnalysisException):
+        keep({"a": 1}, missing)
+    first, again = keep({"a": 1}, compute(1)), keep({"a": 1}, compute(2))
+    assert calls == [1] and values(first) == values(again) == [1, 1]
+    assert (first.source, again.source, again.run) == ("computed", "kept", first.run)
+    assert values(keep({"a": 2}, compute(5))) == [5, 5]  # other parameters, another table
+    fresh = keep({"a": 1}, compute(3), recompute=True)
+    assert values(fresh) == [3, 3] and fresh.run != first.run
+    old = keep({"a": 1}, missing, recompute=True)
+    assert values(old) == [3, 3] and (old.source, old.run) == ("kept, inputs unreadable", fresh.run)
+    with pytest.raises(ValueError, match="twice"):
+        keep({"a": 1}, wrong, recompute=True)
+
+    def half():
+        spark.range(1).write.parquet(f"{path}/half")
+        return {"t": spark.range(3).withColumn("v", F.lit(9)), "u": spark.read.parquet(str(tmp_path / "nowhere"))}
+
+    assert values(keep({"a": 1}, half, recompute=True)) == [3, 3]  # a run without its mark is not read
+
+
+def test_kept_daily_table_follows_its_parameters(spark, stored, tmp_path):
+    run = ["region-year", "--instant", f"{stored}/instant", "--accum", f"{stored}/accum", "--out", str(tmp_path)]
+
+    def days():
+        return tables.read_time_table(spark, f"{tmp_path}/daily").count(), document(f"{tmp_path}/summary")
+
+    main([*run, "--sample-days", "2"])
+    rows, doc = days()
+    assert rows == 3 and doc["grid_shape"]["time_steps"] == 9 and doc["sample"]["rows"] == 3 and doc["sample"]["sample_days"] == 2
+    main(run)
+    rows, doc = days()
+    assert rows == 15 and doc["grid_shape"]["time_steps"] == 40 and doc["daily_table"]["source"] == "computed" and "sample" not in doc
+    main(run)
+    assert days()[1]["daily_table"]["source"] == "kept"
+    whole = tables.read_time_table(spark, f"{tmp_path}/daily").collect()
+    main([*run, "--region", "central_india"])
+    rows, doc = days()
+    assert doc["region"]["name"] == REGIONS["central_india"].name
+    assert tables.read_time_table(spark, f"{tmp_path}/daily").collect() != whole
 
 
 def test_stored_grid_prunes_columns_files_and_rows(spark, stored):
@@ -183,6 +222,12 @@ def test_validation_and_consistency_of_two_runs(spark, stored, tmp_path):
     doc = document(f"{out}/v/validation_summary")
     assert doc["tables"] == ["daily_regional_means", "heat_extremes", "monthly_climatology", "temperature_anomalies"]
     assert doc["all_passed"] is True and doc["checks"] == len(report)
+    assert doc["skipped"] == []
+    import shutil
+
+    shutil.copytree(f"{out}/b", f"{out}/part", ignore=shutil.ignore_patterns("heat"))
+    pipelines.validate(spark, f"{out}/a", f"{out}/part", f"{out}/p")
+    assert document(f"{out}/p/validation_summary")["skipped"] == ["heat_extremes"]
     daily, anomalies = pipelines.check_consistency(spark, f"{out}/a", f"{out}/b", f"{out}/c")
     assert {r["metric"] for r in daily.collect()} == set(pipelines.CONSISTENCY_COLUMNS)
     assert all(r["max_abs_diff"] == 0.0 for r in anomalies.collect())
@@ -196,3 +241,39 @@ def test_global_mean_command(spark, stored, tmp_path):
     rows = spark.read.csv(f"{out}/rolling24", header=True, inferSchema=True).orderBy(TIME).collect()
     assert len(rows) == 60
     assert [r["ttr_global_rolling24"] is not None for r in rows] == [12 <= i <= 60 - 12 for i in range(60)]
+
+
+def test_global_means_of_both_step_types(spark, stored, tmp_path):
+    out = str(tmp_path)
+    main(["global-mean", "--variable", "t2m", "ttr", "--grid", f"{stored}/instant", f"{stored}/accum", "--out", out])
+    got = spark.read.parquet(f"{out}/series")
+    assert got.columns == [TIME, "t2m_global", "t2m_region", "ttr_global", "ttr_region"] and got.count() == 60
+    want = grids.instant(spark, SMALL).agg(F.avg("t2m")).first()[0] - 273.15
+    assert got.where("t2m_global IS NOT NULL").agg(F.avg("t2m_global")).first()[0] == pytest.approx(want, abs=0.2)
+    with pytest.raises(ValueError, match="sst"):
+        pipelines.region_and_global(spark, [f"{stored}/instant"], ["sst"], out)
+
+
+def test_times_are_read_in_utc_whatever_the_session(spark, tmp_path):
+    spark.range(3).selectExpr(
+        "timestamp_seconds(1704067200 + id * 21600) AS valid_time", "1704067200 + id * 21600 AS s", "10.0 AS latitude", "70.0 AS longitude", "id AS v"
+    ).write.parquet(str(tmp_path / "g"))
+    stored_rows = spark.read.parquet(str(tmp_path / "g"))
+    seconds = stored_rows.drop("valid_time").withColumnRenamed("s", "valid_time")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            for df in (stored_rows.drop("s"), seconds):
+                got = [str(r[TIME]) for r in as_grid(df).orderBy(TIME).collect()]
+                assert got == ["2024-01-01 00:00:00", "2024-01-01 06:00:00", "2024-01-01 12:00:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    with pytest.raises(ValueError, match="string"):
+        as_grid(seconds.withColumn("valid_time", F.lit("2024")))
+
+
+def test_keyed_tables_are_sorted(spark, tmp_path):
+    rows = [(f"2024-01-{d:02d}", float(d)) for d in (3, 1, 2)]
+    tables.write_table(spark.createDataFrame(rows, "time string, v double").repartition(3), str(tmp_path / "t"))
+    assert [r["v"] for r in tables.read_time_table(spark, str(tmp_path / "t")).collect()] == [1.0, 2.0, 3.0]

@@ -6,14 +6,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from isograd.catalog import ACCUM_VARIABLES, INSTANT_VARIABLES, REGIONS
 from isograd.operators import align, select
 from isograd.plans import testgrids as grids
+from isograd.plans.queries import QUERIES
 from isograd.plans.regional import regional_daily
 from isograd.sources.grid import read_grid
 
-QUERIES = entry_points.queries()
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -26,7 +25,7 @@ def final(df):
     return initial(df).split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"csv_roundtrip"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"csv_roundtrip", "stored_grid", "kept_daily"}))
 def test_no_pair_join_and_no_python(name, spark):
     plan = initial(QUERIES[name](spark, SMALL))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "CollectLimit"):
@@ -48,6 +47,8 @@ def test_no_pair_join_and_no_python(name, spark):
         ("radiation_heatmap", 1),
         ("region_summary", 2),
         ("region_vs_global", 1),
+        ("both_steps_means", 2),
+        ("grid_shape", 1),
         ("season_compare", 1),
     ],
 )
@@ -106,3 +107,29 @@ def test_region_filter_passes_through_merging(spark):
     plan = select.in_region(merged, REGIONS["south_asia"])._jdf.queryExecution().optimizedPlan().toString()
     union = plan.index("Union")
     assert plan.count("35.0", union) == 2 and "35.0" not in plan[:union]
+
+
+def test_anomalies_move_no_row_by_its_month(spark):
+    """Above the broadcast limit too: twelve means travel, not the rows."""
+    from isograd.catalog import LATITUDE, LONGITUDE, TIME
+    from isograd.operators import windows
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        cells = grids.instant(spark, SMALL).select(TIME, LATITUDE, LONGITUDE, "t2m")
+        plan = initial(windows.anomaly(cells, ["t2m"], TIME))
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+        assert plan.count("Exchange hashpartitioning") == 1  # the partial means
+        # Per cell the partial means and the means travel, and the rows once.
+        split = initial(windows.anomaly(cells, ["t2m"], TIME, partition=[LATITUDE, LONGITUDE]))
+        assert "Window" not in split and split.count("Exchange hashpartitioning") == 3 and split.count("SortMergeJoin") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stored_grid_filters_reach_the_files(spark):
+    plan = initial(QUERIES["stored_grid"](spark, SMALL))
+    (partitions,) = re.findall(r"PartitionFilters: (.*?)PushedFilters", plan.replace("\n", " "))
+    assert "year" in partitions
+    assert "GreaterThanOrEqual(latitude" in plan

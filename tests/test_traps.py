@@ -398,6 +398,36 @@ def test_packed_grid_is_flattened_row_by_row(spark):
     assert got == [(20.0, 1.0, 0.0), (20.0, 2.0, 1.0), (20.0, 3.0, 2.0), (10.0, 1.0, 3.0), (10.0, 2.0, None), (10.0, 3.0, 5.0)]
 
 
+def test_packed_steps_lose_nothing_silently(spark):
+    schema = "valid_time timestamp_ntz, latitudes array<float>, longitudes array<float>, values array<float>"
+    step = ts("2024-01-01T00:00:00")
+    empty = spark.createDataFrame([(step, [20.0, 10.0], [1.0], None)], schema)
+    assert [(r.latitude, r.longitude, r.t2m) for r in explode_grid(empty, "t2m").collect()] == [(20.0, 1.0, None), (10.0, 1.0, None)]
+    for row in (
+        (step, [20.0], [1.0], [1.0, 2.0]), (step, [20.0, 10.0], [1.0], [1.0]), (step, None, [1.0], [1.0]), (step, None, [1.0], None),
+    ):
+        with pytest.raises(Exception, match="different size"):
+            explode_grid(spark.createDataFrame([row], schema), "t2m").collect()
+
+
+def test_a_repeated_order_is_an_error_in_rolling_means(spark):
+    rows = [(ts("2024-01-01T00:00:00"), 1.0), (ts("2024-01-01T00:00:00"), 2.0)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, v double")
+    with pytest.raises(Exception, match="more than once"):
+        windows.rolling15(df, "v", "m").collect()
+
+
+def test_hot_cell_is_rolled_in_blocks(spark):
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), c, float((h * 7 + c) % 11)) for c, n in ((0, 4000), (1, 30)) for h in range(n)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, cell int, v double")
+    got = windows.rolling_mean(df, {"v": "m"}, 12, 11, 24, "time", partition=["cell"], block_rows=100)
+    for cell, n in ((0, 4000), (1, 30)):
+        v = [r[2] for r in rows if r[1] == cell]
+        want = [sum(v[i - 12 : i + 12]) / 24 if i >= 12 and i + 12 <= n else None for i in range(n)]
+        have = [r.m for r in got.where(F.col("cell") == cell).orderBy("time").collect()]
+        assert have == [None if x is None else pytest.approx(x) for x in want]
+
+
 def test_unpack_honours_fill(spark):
     df = spark.createDataFrame([(-5,), (100,), (None,)], "raw int")
     assert [r.v for r in df.select(units.unpack(F.col("raw"), 0.5, 10.0, -5).alias("v")).collect()] == [None, 60.0, None]

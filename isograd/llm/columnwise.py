@@ -1,13 +1,15 @@
-"""Column-wise construction of the Burrows-Wheeler transform of many strings, with common prefixes.
-
-All strings are extended by one symbol at a time, from their ends: round j
-inserts the suffixes of length j.  The transform of the collection tells where
-a suffix goes: behind as many suffixes as its symbol, and smaller ones, occur
-in the transform before its own place.  The common prefix with either
-neighbour is one longer than the least common prefix between the two places
-it came from.  The transform and the common prefixes are files that each round
-reads and writes once from front to back; only one of them is in memory at a
-time.
+"""Column-wise construction of the Burrows-Wheeler transform of many strings.
+
+All strings grow by one symbol at a time, from their ends: round j inserts the
+suffixes of j symbols.  The transform is a file with one segment for each
+symbol: the places, in the order of all suffixes so far, before which the
+symbol stands.  The rank of a place in that file is where the longer suffix
+goes; a round reads the file once from front to back, moves the places behind
+the new suffixes, merges the symbols before these, and writes it again.
+
+A symbol is a run of ``q`` bytes, so that rounds are few; each string then
+takes part ``q`` times, once for each distance of its runs from its end.
+Common prefixes of neighbours are extended symbol by symbol.
 """
 
 from __future__ import annotations
@@ -18,117 +20,112 @@ import tempfile
 import numpy as np
 
 
-class _Column:
-    """An array kept in a file between rounds."""
+class _File:
+    """The transform between rounds."""
 
-    def __init__(self, folder: str, name: str, values: np.ndarray):
-        self.paths = [os.path.join(folder, f"{name}{i}") for i in (0, 1)]
-        self.kind = values.dtype
-        values.tofile(self.paths[0])
+    def __init__(self, folder: str):
+        self.paths = [os.path.join(folder, f"transform{i}") for i in (0, 1)]
 
     def read(self) -> np.ndarray:
-        return np.fromfile(self.paths[0], dtype=self.kind)
-
-    def insert(self, old: np.ndarray, stays: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-        new = np.empty(len(stays), dtype=self.kind)
-        new[stays] = old
-        new[at] = values
-        return new
+        return np.fromfile(self.paths[0], dtype=np.uint64)
 
     def write(self, values: np.ndarray) -> None:
         values.tofile(self.paths[1])
         self.paths.reverse()
 
 
-def _order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places by symbol, and for each place its rank in that order."""
-    order = np.argsort(symbols, kind="stable")
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
-    return order, rank
-
+def symbols(data: np.ndarray, q: int) -> np.ndarray:
+    """The ``q`` bytes from every place on as one number, most significant first."""
+    total = np.zeros(max(0, len(data) - q + 1), dtype=np.uint64)
+    for i in range(q):
+        total = (total << np.uint64(8)) | data[i : len(data) - q + 1 + i]
+    return total
 
-def _least(prefixes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Least of ``prefixes[begin:end]`` for many ranges that are not empty; ``prefixes`` has one value to spare."""
-    if not len(begin):
-        return np.zeros(0, dtype=prefixes.dtype)
-    return np.minimum.reduceat(prefixes, np.stack([begin, end], axis=1).reshape(-1))[::2]
 
+def sorted_suffixes(symbol: np.ndarray, end: np.ndarray, size: np.ndarray, q: int = 1, folder: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """String and length, in symbols, of every suffix in sorted order.
 
-def construct(data: np.ndarray, offsets: np.ndarray, folder: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """String and start of every suffix in sorted order, and its common prefix with the one before.
-
-    Equal suffixes follow each other in the order of their strings.  Empty
-    suffixes are included.
+    String i ends at byte ``end[i]`` and has ``size[i]`` symbols of ``q``
+    bytes.  Equal suffixes follow each other in the order of their strings;
+    empty suffixes are included.
     """
-    count = len(offsets) - 1
-    size = np.diff(offsets)
-    wide = np.uint16 if len(data) and int(data.max()) == 255 else np.uint8
-    end_mark = np.iinfo(wide).max  # stands before a whole string; sorts behind all symbols
-    text = np.concatenate([data.astype(wide), np.array([end_mark], dtype=wide)])
-
-    def before(strings: np.ndarray, length: int) -> np.ndarray:
-        """The symbol before the suffix of that length."""
-        at = offsets[strings + 1] - length - 1
-        return np.where(size[strings] > length, text[at], end_mark).astype(wide)
-
-    with tempfile.TemporaryDirectory(dir=folder) as place:
-        everyone = np.arange(count)
-        transform = _Column(place, "transform", before(everyone, 0))
-        prefix = _Column(place, "prefix", np.zeros(count, dtype=np.uint16))
-        at, strings, length = everyone.copy(), everyone, 0
-        while True:
-            growing = size[strings] > length
-            strings, at = strings[growing], at[growing]
-            if not len(strings):
-                break
-            length += 1
-            symbols = transform.read()
-            order, rank = _order(symbols)
-            total = count + int((symbols != end_mark).sum())
-            to = rank[at]
-            new = count + to
-
-            # Neighbours that begin with the same symbol: where they came from, with a range of common prefixes between.
-            low, high = order[np.maximum(to - 1, 0)], order[np.minimum(to + 1, len(order) - 1)]
-            has_low = (to > 0) & (symbols[low] == symbols[at])
-            has_high = (to + 1 < len(order)) & (symbols[high] == symbols[at])
-            stays = np.ones(total, dtype=bool)
-            stays[new] = False
-            transform.write(transform.insert(symbols, stays, new, before(strings, length)))
-            del symbols, order, rank
-
-            old = prefix.read()
-            spare = np.concatenate([old, np.zeros(1, dtype=old.dtype)])
-            mine = np.zeros(len(new), dtype=np.uint16)
-            mine[has_low] = 1 + np.minimum(_least(spare, low[has_low] + 1, at[has_low] + 1), 65534)
-            theirs = 1 + np.minimum(_least(spare, at[has_high] + 1, high[has_high] + 1), 65534)
-            merged = prefix.insert(old, stays, new, mine)
-            merged[new[has_high] + 1] = theirs
-            prefix.write(merged)
-            at = new
-
-        # Walk every string once from its end to name the suffixes.
-        symbols, prefixes = transform.read(), prefix.read()
-        _, rank = _order(symbols)
-        of, start = np.empty(len(symbols), dtype=np.int64), np.empty(len(symbols), dtype=np.int64)
-        at, strings, length = everyone.copy(), everyone, 0
+    count, total = len(end), len(end) + int(size.sum())
+    bits = np.uint64(max(1, total.bit_length()))
+    if 8 * q + int(bits) > 64:
+        raise ValueError(f"{total} suffixes do not fit beside symbols of {q} bytes")
+    low = (np.uint64(1) << bits) - np.uint64(1)
+
+    def before(strings: np.ndarray, length: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted entries for the symbols before suffixes of that length at those places, and their strings."""
+        more = size[strings] > length
+        strings = strings[more]
+        entry = (symbol[end[strings] - (length + 1) * q] << bits) | place[more].astype(np.uint64)
+        order = np.argsort(entry)
+        return entry[order], strings[order]
+
+    with tempfile.TemporaryDirectory(dir=folder) as held:
+        file = _File(held)
+        entry, strings = before(np.arange(count), 0, np.arange(count))
+        file.write(entry)
+        rank, length, before_round = np.arange(len(entry)), 0, count
         while len(strings):
-            of[at] = strings
-            start[at] = size[strings] - length
-            growing = size[strings] > length
-            strings, at = strings[growing], count + rank[at[growing]]
             length += 1
-    return of, start, prefixes
+            transform = file.read()
+            new = count + rank
+            stays = np.ones(count + len(transform), dtype=bool)
+            stays[new] = False
+            moved = np.flatnonzero(stays).astype(np.uint64)
+            assert len(moved) == before_round
+            transform = (transform & ~low) | moved[(transform & low).astype(np.int64)]
+            before_round = len(stays)
+            entry, strings = before(strings, length, new)
+            at = np.searchsorted(transform, entry)
+            file.write(np.insert(transform, at, entry))
+            rank = at + np.arange(len(at))
+        transform = file.read()
+
+    # Walk every string once from its end to name the suffixes.
+    longer = np.zeros(total, dtype=np.int64)
+    longer[(transform & low).astype(np.int64)] = count + np.arange(len(transform))
+    of, symbols_in = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int64)
+    at, strings, length = np.arange(count), np.arange(count), 0
+    while len(strings):
+        of[at], symbols_in[at] = strings, length
+        more = size[strings] > length
+        strings, at = strings[more], longer[at[more]]
+        length += 1
+    return of, symbols_in
+
+
+def common_prefixes(symbol: np.ndarray, first: np.ndarray, second: np.ndarray, most: int, q: int = 1) -> np.ndarray:
+    """Symbols that the texts from ``first`` and from ``second`` on have in common, counted up to ``most``."""
+    out = np.zeros(len(first), dtype=np.int64)
+    same = np.arange(len(first))
+    for i in range(most):
+        same = same[symbol[first[same] + i * q] == symbol[second[same] + i * q]]
+        out[same] = i + 1
+    return out
 
 
 def later_copies(data: np.ndarray, offsets: np.ndarray, width: int, folder: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """String and start of every ``width``-byte run that also occurs in an earlier string, or earlier in its own."""
-    of, start, prefixes = construct(data, offsets, folder)
-    group = np.cumsum(prefixes < width)
-    long = np.diff(offsets)[of] - start >= width
-    of, start, group = of[long], start[long], group[long]
-    order = np.lexsort((start, of, group))
-    of, start, group = of[order], start[order], group[order]
-    later = np.concatenate([[False], group[1:] == group[:-1]]) if len(group) else np.zeros(0, dtype=bool)
-    return of[later], start[later]
+    size = np.diff(offsets)
+    suffixes = int(size.sum()) + 6 * len(size)
+    q = max(q for q in range(1, 7) if width % q == 0 and (q == 1 or 8 * q + suffixes.bit_length() <= 64))
+    symbol = symbols(data, q)
+    # One string for each distance of its runs from the end; those shorter than a run are of no use.
+    string = np.repeat(np.arange(len(size)), q)
+    end = offsets[1:][string] - np.tile(np.arange(q), len(size))
+    count = np.maximum(end - offsets[:-1][string], 0) // q
+    use = count * q >= width
+    string, end, count = string[use], end[use], count[use]
+    of, length = sorted_suffixes(symbol, end, count, q, folder)
+    long = length * q >= width
+    start, of = end[of[long]] - length[long] * q, string[of[long]]
+    prefix = common_prefixes(symbol, start[:-1], start[1:], width // q, q)
+    group = np.concatenate([[0], np.cumsum(prefix * q < width)]) if len(start) else start
+    order = np.lexsort((start, group))
+    later = np.zeros(len(order), dtype=bool)
+    later[1:] = group[order][1:] == group[order][:-1]
+    picked = order[later]
+    return of[picked], start[picked] - offsets[of[picked]]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from isograd.llm import suffix
-from isograd.llm.columnwise import construct, later_copies
+from isograd.llm.columnwise import common_prefixes, later_copies, sorted_suffixes, symbols
 
 
 def joined(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -28,20 +28,26 @@ def test_construction_sorts_all_suffixes(seed):
     letters = bytes([97, 98]) if seed % 2 else bytes([0, 97, 255])
     strings = [bytes(rng.choice(letters) for _ in range(rng.randrange(0, 14))) for _ in range(9)]
     strings.append(strings[0])
-    of, start, prefixes = construct(*joined(strings))
-    suffixes = [(strings[o][s:], o) for o, s in zip(of, start, strict=True)]
+    data, offsets = joined(strings)
+    size, symbol = np.diff(offsets), symbols(data, 1)
+    of, length = sorted_suffixes(symbol, offsets[1:], size)
+    suffixes = [(strings[o][len(strings[o]) - n :], o) for o, n in zip(of, length, strict=True)]
     assert suffixes == sorted((s[i:], o) for o, s in enumerate(strings) for i in range(len(s) + 1))
-    assert [int(x) for x in prefixes[1:]] == [common(a, b) for (a, _), (b, _) in zip(suffixes, suffixes[1:], strict=False)]
+    long = length >= 3
+    start = offsets[1:][of[long]] - length[long]
+    held = [data[a:].tobytes() for a in start]
+    assert common_prefixes(symbol, start[:-1], start[1:], 3).tolist() == [min(3, common(a, b)) for a, b in zip(held, held[1:], strict=False)]
 
 
-def test_later_copies_match_brute_force():
+@pytest.mark.parametrize("width", [6, 7, 10])
+def test_later_copies_match_brute_force(width):
     rng = random.Random(5)
-    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 30))) for _ in range(20)]
+    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 60))) for _ in range(20)]
     seen, expected = set(), set()
     for o, s in enumerate(strings):
-        for i in range(len(s) - 5):
-            (expected.add((o, i)) if s[i : i + 6] in seen else seen.add(s[i : i + 6]))
-    of, start = later_copies(*joined(strings), 6)
+        for i in range(len(s) - width + 1):
+            (expected.add((o, i)) if s[i : i + width] in seen else seen.add(s[i : i + width]))
+    of, start = later_copies(*joined(strings), width)
     assert set(zip(of.tolist(), start.tolist(), strict=True)) == expected
 
 

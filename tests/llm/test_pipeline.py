@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
 from test_minhash import plain_classes
 from test_rules import plain_overlap, plain_quality, plain_share
 from test_suffix import brute
@@ -66,7 +67,7 @@ def test_every_stage_matches_brute_force(spark, tmp_path):
 
 def test_an_empty_table_and_extra_columns(spark, tmp_path):
     sf, _ = fixture(spark, tmp_path / "sf")
-    docs = table(spark, sf, "documents").withColumn("kept", table(spark, sf, "documents")["lang"])
+    docs = table(spark, sf, "documents").withColumn("kept", F.col("lang"))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf).columns == docs.columns
         assert stage(spark, docs.limit(0), sf).collect() == []

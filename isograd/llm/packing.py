@@ -14,6 +14,7 @@ windows.  Equal rows are packed once each.  Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -25,60 +26,134 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isograd.llm.storage import stored
-from isograd.llm.text import pieces
+from isograd.llm.text import SPACE, Spans, pieces
 
 WINDOW = 2048
 END_ID = 1
-CACHE = 400_000
+CACHE = 3_000_000
+_PIECE = 2 << 20
 
-#: A word with the blank before it, or white space; tokens of byte-level vocabularies never cross these.
-_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: Byte-level vocabularies write printable bytes as themselves and number the others from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_CHARACTER = {b: chr(b) for b in _SHOWN} | {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+#: White space beyond ASCII; texts with it are encoded in one piece.
+_WIDE_BLANK = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_WIDE_BYTES = [c.encode()[:2] for c in "\x85\xa0\u1680\u2000\u2028\u205f\u3000"]
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Starts of the units of all texts: a word with the blank before it, or a run of white space up to there.
+
+    Tokens of byte-level vocabularies never cross the border of a unit.
+    """
+    space = SPACE[data]
+    begins = np.zeros(len(data), dtype=bool)
+    opens = offsets[:-1][np.diff(offsets) > 0]
+    begins[opens] = True
+    turn = np.flatnonzero(space[1:] != space[:-1]) + 1  # words and runs of white space
+    turn = turn[~begins[turn]]
+    word = turn[~space[turn]]
+    begins[word - 1] = True
+    begins[word[data[word - 1] != 32]] = True
+    begins[turn[space[turn]]] = True
+    return np.flatnonzero(begins)
 
 
 class Encoder:
-    """Token ids of whole texts; words seen before are looked up."""
+    """Token ids of whole texts; the ids of units seen before are found by their 64-bit hash.
+
+    Known units are sorted arrays, emptied when more than ``cache`` are held.
+    A unit of letters only is one word to a byte-level tokenizer, which is then
+    asked for the word at once; a comma or stop behind it is another.
+    """
 
     def __init__(self, path: str, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Texts with these are encoded in one piece: special tokens, and blanks that libraries disagree on.
-        self.whole = re.compile("|".join([*special, "[\x1c-\x1f\x85]"]))
-        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        split = made.get("pre_tokenizer") or {}
+        self.by_unit = (
+            made.get("normalizer") is None and made["model"]["type"] == "BPE" and split.get("type") == "ByteLevel"
+            and not split.get("add_prefix_space") and split.get("use_regex", True)
+        )
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = cache
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, units: list[str]) -> None:
-        blank = [u for u in units if u.isspace()]
-        self.known.update(zip(blank, self._ids(blank), strict=True))
-        rest = [u for u in units if not u.isspace()]
-        if not rest:
-            return
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(rest)], add_special_tokens=False)[0].ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == self.line[0])
-        if len(self.line) != 1 or len(cuts) != len(rest) - 1:  # a vocabulary that joins line breaks to words
-            self.known.update(zip(rest, self._ids(rest), strict=True))
-            return
-        begins, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
-        held = ids.tobytes()
-        self.known.update((u, held[4 * a : 4 * b]) for u, a, b in zip(rest, begins.tolist(), ends.tolist(), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [None if self.whole.search(t) else _UNIT.findall(t) for t in texts]
-        new = set().union(*(s for s in split if s)) - self.known.keys()
-        if len(self.known) + len(new) > self.cache:
-            self.known.clear()
-            new = set().union(*(s for s in split if s))
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [self._ids([t])[0] if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, unit: str) -> list[int]:
+        shown = unit.replace(" ", "\u0120") if unit.isascii() else unit.encode().decode("latin-1").translate(_CHARACTER)
+        return [t.id for t in self.tokenizer.model.tokenize(shown)]
+
+    def _learn(self, keys: np.ndarray, bodies: list[str]) -> None:
+        found, rest = [], []
+        for i, unit in enumerate(bodies):
+            bare = unit[1:] if unit[0] == " " else unit
+            if bare.isalpha():
+                found.append(self._word(unit))
+            elif unit[-1] in ",." and bare[:-1].isalpha():
+                found.append(self._word(unit[:-1]) + self._word(unit[-1]))
+            else:
+                found.append([])
+                rest.append(i)
+        for i, ids in zip(rest, self._whole([bodies[i] for i in rest]), strict=True):
+            found[i] = ids
+        size = np.array([len(x) for x in found], dtype=np.int64)
+        begin = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, np.array([t for x in found for t in x], dtype="<u4")])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.begin, self.size = (np.insert(x, at, y) for x, y in ((self.keys, keys), (self.begin, begin), (self.size, size)))
+
+    def _by_unit(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        start = units(data, offsets)
+        end = np.concatenate([start[1:], [len(data)]]) if len(start) else start
+        distinct, first, which = np.unique(Spans(data).hash(start, end), return_index=True, return_inverse=True)
+        if len(self.keys) + len(distinct) > self.cache:
+            self._forget()
+        at = np.searchsorted(self.keys, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != distinct[inside]
+        if new.any():
+            held = data.tobytes()
+            ends = end[first[new]].tolist()
+            self._learn(distinct[new], [held[a:b].decode("utf-8", "replace") for a, b in zip(start[first[new]].tolist(), ends, strict=True)])
+            at = np.searchsorted(self.keys, distinct)
+        place = at[which]
+        size = self.size[place]
+        total = np.concatenate([[0], np.cumsum(size)])
+        flat = self.ids[np.repeat(self.begin[place] - total[:-1], size) + np.arange(total[-1])].tobytes()
+        cuts = 4 * total[np.searchsorted(start, offsets)]
+        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of a buffer."""
+        held, edges = data.tobytes(), offsets.tolist()
+        odd = set(range(len(edges) - 1)) if not self.by_unit else set()
+        if self.by_unit and any(x in held for x in [*self.special, *_WIDE_BYTES]):
+            for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                body = held[a:b]
+                if any(x in body for x in self.special) or _WIDE_BLANK.search(body.decode("utf-8", "replace")):
+                    odd.add(i)
+        if not odd:
+            return self._by_unit(data, offsets)
+        usual = [i for i in range(len(edges) - 1) if i not in odd]
+        out = [b""] * (len(edges) - 1)
+        if usual:
+            parts = [data[edges[i] : edges[i + 1]] for i in usual]
+            for i, ids in zip(usual, self._by_unit(np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])), strict=True):
+                out[i] = ids
+        for i, ids in zip(sorted(odd), self._whole([held[edges[i] : edges[i + 1]].decode("utf-8", "replace") for i in sorted(odd)]), strict=True):
+            out[i] = np.array(ids, dtype="<u4").tobytes()
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -110,10 +185,8 @@ def tokenised(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     def run(batches):
         machine, part, place = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows, data, offsets in pieces(batch, text):
-                held, edges = data.tobytes(), offsets.tolist()
-                texts = [held[a:b].decode("utf-8", "replace") for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                ids = [x + tail for x in machine.encode(texts)]
+            for rows, data, offsets in pieces(batch, text, _PIECE):
+                ids = [x + tail for x in machine.encode(data, offsets)]
                 count = np.array([len(x) // 4 for x in ids], dtype=np.int64)
                 begin = place + np.cumsum(count) - count
                 place += int(count.sum())

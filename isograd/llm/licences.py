@@ -158,7 +158,7 @@ def variations(notice: str) -> list[str]:
 class Classifier:
     """Weights of n-grams for every family, in ascending order of their hash, and the templates."""
 
-    def __init__(self, background: list[str], steps: int = 300, rate: float = 0.5, decay: float = 1e-4):
+    def __init__(self, background: list[str], steps: int = 120, rate: float = 0.5, decay: float = 1e-4):
         self.families = [*TEMPLATES, UNKNOWN]
         train, check = [], []
         for label, notices in enumerate(TEMPLATES.values()):
@@ -169,7 +169,8 @@ class Classifier:
         for i, text in enumerate(unknown):
             (check if i % 5 == 4 else train).append((text, len(self.families) - 1))
         grams = _grams_of([t for t, _ in train])
-        self.keys = np.unique(np.concatenate(grams))
+        seen, times = np.unique(np.concatenate(grams), return_counts=True)
+        self.keys = seen[times > 1]  # n-grams of one text only tell nothing about others
         x, y = self._matrix(grams), np.array([label for _, label in train])
         # Every family counts as much as the unknown text does.
         share = 1 / np.bincount(y, minlength=len(self.families))[y]
@@ -196,7 +197,7 @@ class Classifier:
         return e / e.sum(axis=1, keepdims=True)
 
     def _matrix(self, grams: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(grams), len(self.keys) + 1))
+        x = np.zeros((len(grams), len(self.keys) + 1), dtype=np.float32)
         x[:, -1] = 1
         for row, found in zip(x, grams, strict=True):
             row[np.flatnonzero(np.isin(self.keys, found))] = 1
@@ -206,7 +207,7 @@ class Classifier:
         """The temperature under which held-out text is most likely."""
         z = self._matrix(_grams_of([t for t, _ in check])) @ self.weights
         y = np.array([label for _, label in check])
-        tried = np.geomspace(0.25, 8, 41)
+        tried = np.geomspace(0.05, 8, 61)
         loss = [-np.log(self._softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in tried]
         return float(tried[int(np.argmin(loss))])
 

@@ -10,11 +10,11 @@ a band are candidates.
 Links are exact: the Jaccard similarity of the distinct shingles is computed
 for candidate pairs and must reach ``similarity``.  Equal texts are gathered
 first, so that only different texts are compared.  In each bucket all members
-meet one, the member with the smallest share of shingles that no other
-candidate has, which in a group of copies is the closest to their origin.
-Members of other components then meet each other.  Both steps leave out pairs
-that the shingles of their own (found in no other candidate) keep below the
-similarity, and members for which that holds with any partner of the bucket.
+meet one, the member with the smallest share of rare shingles, which in a
+group of copies is the closest to their origin.  Members of other components
+then meet each other.  Both steps leave out pairs that cannot be similar:
+shingles that no other candidate has are in no intersection, and rare ones,
+which at most ``FEW`` candidates have, only in that of pairs found by them.
 No link between members of a bucket is lost, and a bucket of copies costs no
 more than its size.
 
@@ -40,6 +40,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 28
 ROWS = 5
+FEW = 16
 
 _VALUE_BITS = 44
 _PIECE = 2 << 20
@@ -73,7 +74,7 @@ def signatures(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int
     round_ = 0
     while len(doc):
         round_ += 1
-        draw = mix(seed + np.uint64(round_) * np.uint64(0x9E3779B97F4A7C15))
+        draw = mix(seed + np.uint64(round_ * 0x9E3779B97F4A7C15 % (1 << 64)))
         time = time - np.log(((draw >> np.uint64(24)).astype(np.float64) + 0.5) * 2.0**-40) / weight
         early = time < latest[doc]
         doc, value, weight, seed, time, draw = doc[early], value[early], weight[early], seed[early], time[early], draw[early]
@@ -143,8 +144,8 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("k", "t").mapInArrow(run, schema)
 
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """``id``, ``n`` and ``q``: shingles of each text, and how many of them no other id of ``sets`` has (null: several texts)."""
+def _rare_shingles(sets: DataFrame) -> DataFrame:
+    """``token``, ``id`` and ``df`` of the shingles that at most ``FEW`` rows of ``sets`` have."""
     schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("id", T.LongType())])
 
     def run(batches):
@@ -156,15 +157,20 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), pa.array(identity)], names=["token", "id"])
 
     tokens = sets.select("id", "s").mapInArrow(run, schema)
-    alone = tokens.groupBy("token").agg(F.min("id").alias("id"), F.max("id").alias("most")).where("id = most")
-    q = alone.groupBy("id").agg(F.count("*").alias("q"))
+    rare = tokens.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") <= FEW)
+    return tokens.join(rare.hint("merge"), "token")
+
+
+def _counted(sets: DataFrame, rare: DataFrame) -> DataFrame:
+    """``id``, ``n``, ``q`` and ``low``: shingles of each text, those nobody else has, and the rare ones (null: several texts)."""
+    counts = rare.groupBy("id").agg(F.count_if(F.col("df") == 1).alias("q"), F.count("*").alias("low"))
     n = sets.groupBy("id").agg(F.when(F.count("*") == 1, F.max(F.octet_length("s") / 6).cast("long")).alias("n"))
-    return n.join(q, "id", "left").select("id", "n", F.coalesce("q", F.lit(0)).alias("q"))
+    return n.join(counts, "id", "left").select("id", "n", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("q", "low")])
 
 
-def _possible(n1, q1, n2, q2, similarity: float):
-    """Whether sets of ``n`` shingles, ``q`` of them nobody else's, can be as similar."""
-    common = F.least(n1 - q1, n2 - q2)
+def _possible(n1, q1, n2, q2, similarity: float, shared=0):
+    """Whether sets of ``n`` shingles can be as similar, if of ``q`` of each only ``shared`` can be common."""
+    common = F.least(n1 - q1, n2 - q2) + shared
     known = n1.isNotNull() & n2.isNotNull()
     return ~known | (common + 1e-6 >= similarity * (n1 + n2 - common))
 
@@ -207,10 +213,11 @@ def classes(
     wanted = bucket.select(F.col("id").alias("k")).distinct()
     # One row for each different text of an id.
     sets = stored(_sets(own.join(wanted.hint("merge"), "k", "left_semi").dropDuplicates(["k", "d"]), width), "sets")
-    known = stored(_own_shingles(sets), "shingles")
+    known = stored(_counted(sets, _rare_shingles(sets)), "shingles")
     sized = stored(bucket.join(known, "id"), "sized")
 
-    middle = sized.groupBy("band").agg(F.min_by(F.struct("id", "n", "q"), F.struct(F.col("q") / F.col("n"), "id")).alias("m"))
+    share = F.struct((F.col("low") / F.col("n")).alias("low"), (F.col("q") / F.col("n")).alias("q"), "id")
+    middle = sized.groupBy("band").agg(F.min_by(F.struct("id", "n", "q"), share).alias("m"))
     star = sized.join(middle, "band").where(
         (F.col("id") != F.col("m.id")) & _possible(F.col("n"), F.col("q"), F.col("m.n"), F.col("m.q"), similarity)
     )
@@ -228,16 +235,32 @@ def classes(
     common = F.col("n") - F.col("q")
     could = common + 1e-6 >= similarity * (F.col("n") + F.greatest("least", common) - common)
     able = sized.join(least, "band").where(F.coalesce(could, F.lit(True)))
-    able = able.join(found, "id", "left").select("band", "id", "n", "q", F.coalesce("component", "id").alias("component"))
+    able = able.join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
     mixed = able.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
     able = stored(able.join(mixed, "band"), "able")
-    x, y = able.alias("x"), able.alias("y")
-    rest = x.join(
+    # Shingles are counted anew among these; their rare ones give pairs, at most FEW members each.
+    some = sets.join(able.select("id").distinct().hint("merge"), "id", "left_semi")
+    rare = stored(_rare_shingles(some), "rare")
+    of = _counted(some, rare).join(able.groupBy("id").agg(F.min("component").alias("component"), F.collect_list("band").alias("bands")), "id")
+    of = stored(of, "of")
+    together = rare.where("df > 1").groupBy("token").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    pairs = together.select(F.posexplode("ids").alias("at", "a"), "ids").select("a", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("b"))
+    pairs = pairs.where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    x, y = (of.select("id", "n", "low", "component").alias(c) for c in "xy")
+    by_token = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(
+        (F.col("x.component") != F.col("y.component"))
+        & _possible(F.col("x.n"), F.col("x.low"), F.col("y.n"), F.col("y.low"), similarity, F.col("shared"))
+    )
+    member = able.select("band", "id").join(of, "id")
+    x, y = member.alias("x"), member.alias("y")
+    by_band = x.join(
         y,
         (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-        & _possible(F.col("x.n"), F.col("x.q"), F.col("y.n"), F.col("y.q"), similarity),
+        & _possible(F.col("x.n"), F.col("x.low"), F.col("y.n"), F.col("y.low"), similarity)
+        & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band")),  # each pair once
     )
-    more = linked(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "rest")
+    rest = by_band.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).unionAll(by_token.select("a", "b")).distinct()
+    more = linked(rest, "rest")
     if not more.isEmpty():
         found = components(links.unionAll(more))
 

@@ -24,9 +24,11 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 BUCKETS = 1 << 15
 LENGTHS = (3, 4, 5)
-STEPS = 30
-RATE = 16.0
-DECAY = 1e-5
+STEPS = 20
+RATE = 0.5
+DECAY = 1e-4
+#: Probability from which a URL is blocked; a wrongly blocked page is worse than one let through.
+LIMIT = 0.8
 
 # The labelled table.  Each term is combined with each pattern; neutral hosts are pairs of letter groups.
 BLOCK_TERMS = (
@@ -38,7 +40,8 @@ ALLOW_TERMS = (
     "news", "library", "museum", "school", "science", "weather", "garden", "recipes", "history", "music", "travel", "health", "city",
     "sports", "review", "forum", "archive", "journal", "docs", "wiki", "university", "research", "photo", "maps", "books", "art",
 )
-LETTER_GROUPS = ("th", "er", "an", "on", "re", "st", "in", "ti", "ble", "nd", "ou", "ha", "ly", "tion", "es", "at", "he", "ed", "en")
+LETTER_GROUPS = ("th", "er", "an", "on", "re", "st", "in", "ti", "ble", "nd", "ou", "ha", "ly", "tion", "es", "at", "he", "ed", "en", "nt", "wh", "sh",
+                 "or", "ea", "al")
 PATTERNS = (
     "http://{}.example.com/en/1", "https://www.{}.example.org/fr/27.html", "http://m.{}.example.net/de/305/", "https://blog.{}.example.com/es/4118",
 )
@@ -60,7 +63,7 @@ def labelled(spark: SparkSession) -> DataFrame:
     return (
         kind(F.array(*map(F.lit, BLOCK_TERMS)), PATTERNS + COMPOUND_PATTERNS, 1.0)
         .unionAll(kind(F.array(*map(F.lit, ALLOW_TERMS)), PATTERNS + COMPOUND_PATTERNS, 0.0))
-        .unionAll(kind(pairs, PATTERNS, 0.0))
+        .unionAll(kind(pairs, PATTERNS[:2], 0.0))
     )
 
 
@@ -106,26 +109,29 @@ def _margin(at: Column, weights: Sequence[float]) -> Column:
 def train(
     table: DataFrame, buckets: int = BUCKETS, lengths: Sequence[int] = LENGTHS, steps: int = STEPS, rate: float = RATE, decay: float = DECAY
 ) -> list[float]:
-    """Weights of the buckets and the intercept, by accelerated gradient descent over ``table`` (``url``, ``bad``)."""
+    """Weights of the buckets and the intercept, over ``table`` (``url``, ``bad``), in which both kinds count alike.
+
+    Each weight descends with a rate of its own, by the slopes it has seen.
+    """
     featured = table.select("bad", ngram_buckets(host(F.col("url")), path(F.col("url")), buckets, lengths).alias("at"))
     rows = stored(featured.coalesce(1), "url-training").coalesce(1)  # small by its parameter: one task, no shuffle
-    size = rows.count()
-    now, ahead = [0.0] * (buckets + 1), [0.0] * (buckets + 1)
-    for step in range(steps if size else 0):
-        error = F.lit(1.0) / (F.lit(1.0) + F.exp(-_margin(F.col("at"), ahead))) - F.col("bad")
-        judged = rows.select("at", error.alias("error"))
-        each = judged.select(
+    size = {r["bad"]: r["n"] for r in rows.groupBy("bad").agg(F.count("*").alias("n")).collect()}
+    share = F.when(F.col("bad") == 1.0, 1.0 / max(1, size.get(1.0, 0))).otherwise(1.0 / max(1, size.get(0.0, 0)))
+    weights, seen = [0.0] * (buckets + 1), [1e-10] * (buckets + 1)
+    for _ in range(steps if size else 0):
+        error = (F.lit(1.0) / (F.lit(1.0) + F.exp(-_margin(F.col("at"), weights))) - F.col("bad")) * share
+        each = rows.select(
             F.explode(F.concat("at", F.array(F.lit(buckets)))).alias("bucket"),
-            F.col("error"),
+            error.alias("error"),
             F.sqrt(F.greatest(F.size("at"), F.lit(1)).cast("double")).alias("norm"),
         )
         part = F.when(F.col("bucket") == buckets, F.col("error")).otherwise(F.col("error") / F.col("norm"))
-        slope = {r["bucket"]: r["slope"] for r in each.groupBy("bucket").agg(F.sum(part).alias("slope")).collect()}
-        then = [w - rate * (slope.get(b, 0.0) / size + decay * w) for b, w in enumerate(ahead)]
-        pull = step / (step + 3)
-        ahead = [t + pull * (t - n) for t, n in zip(then, now, strict=True)]
-        now = then
-    return now
+        for r in each.groupBy("bucket").agg(F.sum(part).alias("slope")).collect():
+            b = r["bucket"]
+            slope = r["slope"] + decay * weights[b]
+            seen[b] += slope * slope
+            weights[b] -= rate * slope / seen[b] ** 0.5
+    return weights
 
 
 def rule_fits(host: Column, path: Column, rule: str) -> Column:
@@ -141,7 +147,7 @@ def filter_urls(
     url: str = "url",
     into: str = "judged",
     lengths: Sequence[int] = LENGTHS,
-    limit: float = 0.5,
+    limit: float = LIMIT,
 ) -> DataFrame:
     """``pages`` with a struct: ``host``, ``path``, ``rule``, ``verdict``, ``score``.
 

@@ -21,9 +21,10 @@ rank or before in the same one, marks its bytes for removal.
 Hashes have 64 bits; pieces are taken as equal if the hashes of both anchor
 and piece are.  Matches do not cross documents.
 
-Null texts are empty.  Null ids rank last.  Rows that repeat an id and a text
-are one document and get equal results; rows that share an id only are ranked
-by a hash of their text.  Other columns pass through.
+Null texts are empty.  Null ids rank last.  Rows that repeat an id and a text,
+and rows without an id that repeat a text, are one document: they are ranked
+once and get equal results.  Rows that share an id only are ranked by a hash of
+their text.  Other columns pass through.
 """
 
 from __future__ import annotations
@@ -91,12 +92,14 @@ def cut(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int = G
 
 
 def _firsts(columns: list[np.ndarray], keys: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of rows in order of key and rank, and whether each is the first of its key (``keys`` leading columns)."""
+    """Places of different rows in order of key and rank, and whether each is the first of its key (``keys`` leading columns)."""
     order = np.lexsort(columns[::-1])
-    first = np.ones(len(order), dtype=bool)
+    changes = [c[order][1:] != c[order][:-1] for c in columns]
     if len(order):
-        first[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns[:keys]], axis=0)
-    return order, first
+        new = np.concatenate([[True], np.any(changes, axis=0)])  # a repeated row has no place of its own
+        first = np.concatenate([[True], np.any(changes[:keys], axis=0)])[new]
+        return order[new], first
+    return order, np.ones(0, dtype=bool)
 
 
 def _sent(own: DataFrame, width: int, gram: int, shards: int) -> DataFrame:
@@ -122,7 +125,8 @@ def _sent(own: DataFrame, width: int, gram: int, shards: int) -> DataFrame:
         order, first = _firsts([c[at] for c in columns[:5]], 2)
         copies = at[order[~first]]
         keep = np.ones(len(anchor), dtype=bool)
-        keep[copies] = False
+        keep[at] = False
+        keep[at[order[first]]] = True
         yield from packed([c[keep] for c in columns], (anchor[keep] % np.uint64(shards)).astype(np.int32), 0)
         yield from packed([c[copies] for c in columns], (mix(k[copies].astype(np.uint64)) % np.uint64(shards)).astype(np.int32), 1)
 
@@ -201,15 +205,24 @@ def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: i
         return batch_of(bucket, columns[1][order], columns[2][order], columns[3][order], np.ones(len(order), np.int64), bodies)
 
     def run(batches):
-        runs = []
+        runs, last = [], None
         for batch in batches:
             for rows, data, offsets in pieces(batch, text):
                 asked_ = rows.column(rows.num_columns - 1)
                 number = asked_.value_lengths().to_numpy()
                 flat = asked_.flatten()
-                p, n, bucket = (flat.field(c).to_numpy() for c in ("p", "n", "bucket"))
+                names = [rows.column(rows.num_columns - c).to_numpy() for c in (3, 2)]
+                # Of repeated rows one is sent; the comparison drops those of other runs of rows.
+                at, _ = _firsts(names, 2)
+                once = np.zeros(len(number), dtype=bool)
+                once[at] = True
+                once &= np.array([name != last for name in zip(*names, strict=True)])
+                last = (names[0][-1], names[1][-1])
                 doc = np.repeat(np.arange(len(number)), number)
-                k, h = (rows.column(rows.num_columns - c).to_numpy()[doc] for c in (3, 2))
+                sent = once[doc]
+                doc = doc[sent]
+                p, n, bucket = (flat.field(c).to_numpy()[sent] for c in ("p", "n", "bucket"))
+                k, h = (name[doc] for name in names)
                 begin = offsets[doc] + p
                 end = begin + n - 1 + width
                 held = data.tobytes()
@@ -238,7 +251,7 @@ def _compared(found: DataFrame, width: int) -> DataFrame:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         named = group["body"].isna()
         marks = group.loc[named, ["k", "h", "p", "n"]]
-        strings = group[~named].sort_values(["k", "h", "p"])
+        strings = group[~named].drop_duplicates(["k", "h", "p"]).sort_values(["k", "h", "p"])
         if len(strings):
             data = np.frombuffer(b"".join(strings["body"]), dtype=np.uint8)
             offsets = np.concatenate([[0], np.cumsum(strings["body"].map(len).to_numpy(np.int64))])

@@ -94,6 +94,23 @@ def test_documents_match_brute_force(spark, hot):
     assert got == sorted(((r[0] is None, r[0] or 0, r[1] or ""), expected[r]) for r in rows)
 
 
+@pytest.mark.parametrize("hot", [suffix.HOT, 1])
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_repeated_rows_are_one_document(spark, hot, partitions):
+    rows = corpus(4)[:30]
+    first, last, other = (" ".join(f"{letter}é{i * i}" for i in range(70)) for letter in "flo")
+    near = first[:150] + "#" + first[150:]
+    # Texts that occur nowhere earlier, in rows with and without an id, and later documents that share a part of them.
+    rows += [(50, first)] * 3 + [(51, near)] * 2 + [(60, "x" + first[40:])] + [(None, last)] * 3 + [(None, other + near)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    order = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    found = suffix.dedup_substrings(docs, hot=hot).collect()
+    got = sorted(((r.doc_id, r.text, r.dedup.n_bytes, r.dedup.n_removed, r.dedup.n_spans, bytes(r.dedup.kept)) for r in found), key=order)
+    expected = brute(rows, suffix.WIDTH)
+    assert got == sorted(((*r, *expected[r]) for r in rows), key=order)
+    assert [r[3] for r in got if r[1] in (first, last)] == [0] * 6
+
+
 def test_spans_name_the_removed_bytes_and_characters_stay_whole(spark):
     rows = corpus(2)
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -6,7 +6,10 @@ family with rule-made variations, and from paragraphs of the documents as
 unknown text, at most ``background`` of them.  A temperature fitted on notices
 held out from training calibrates its probabilities.  A prediction counts only
 if a template of the predicted family confirms it: enough of the template's
-word pairs occur in the paragraph.
+word pairs occur in the paragraph, at least two of them.  Paragraphs that
+reserve all rights or forbid copying are notices too; as they grant no licence,
+they are listed as ``restrictions``, not among ``families``.  A line that only
+names an owner and a year is none.
 
 A paragraph is a line of a text.  Only n-grams seen in training have weights;
 they are found by hash, so a batch of megabytes is judged by numpy at once.
@@ -86,13 +89,25 @@ TEMPLATES = {
         "Dedicated to the public domain under CC0 1.0 Universal",
         "The author has waived all copyright and related rights under the CC0 public domain dedication",
     ],
+    "Proprietary": [
+        "All rights reserved",
+        "Copyright (c) 2020 the company. All rights reserved",
+        "Proprietary and confidential",
+        "This document is proprietary and confidential and may not be disclosed",
+        "Unauthorized copying of this file, via any medium, is strictly prohibited",
+        "No part of this publication may be reproduced or distributed in any form without prior written permission",
+    ],
 }
+#: Families that grant nothing; they are listed apart from the licences, and a licence in the same paragraph goes first.
+RESTRICTIONS = {"Proprietary"}
 #: Text that shares words with notices but is none.
 NEAR_MISSES = [
     "The driver lost the license after the second offence", "Students at MIT released the results of the public survey",
     "The Apache helicopter is under repair", "General conditions of public transport are under review", "He is a licensed plumber in the city",
     "The version 2.0 of the plan was released", "This work is under way in the public library", "The terms of the peace were published by the foundation",
     "CC the manager by email", "A copy of the file is free of charge", "The license plate was stolen", "Software and documentation files are stored in the archive",
+    "Copyright 2020 the authors", "The rights of all citizens were restored", "All rights of way lead to the river", "All seats were reserved",
+    "The report on the talks is confidential", "No part of the town was without water", "A proprietary blend of herbs and spices",
 ]
 _BEFORE = ("", "This file is ", "Copyright 2020 the authors. ", "Note: ")
 _AFTER = ("", ". All rights reserved.", ". See the file for details.")
@@ -102,6 +117,7 @@ FIELDS = T.StructType(
         T.StructField("n_paragraphs", T.LongType()),
         T.StructField("n_notices", T.LongType()),
         T.StructField("families", T.ArrayType(T.StringType())),
+        T.StructField("restrictions", T.ArrayType(T.StringType())),
         T.StructField(
             "notices",
             T.ArrayType(
@@ -228,8 +244,8 @@ class Classifier:
             two, of = found[1]
             for i in np.flatnonzero(label < len(self.families) - 1).tolist():
                 mine = two[of == asked[i]]
-                close = max((np.isin(t, mine).mean() for at, t in self.templates if at == label[i] and len(t)), default=0.0)
-                if close >= confirm:
+                shared = [(int(np.isin(t, mine).sum()), len(t)) for at, t in self.templates if at == label[i] and len(t)]
+                if any(n >= max(confirm * size, min(2, size)) for n, size in shared):  # one pair of a short template is not enough
                     a = int(begin[asked[i]])
                     d = int(doc[asked[i]])
                     line = data[a : offsets[d + 1]]
@@ -240,7 +256,9 @@ class Classifier:
                         {"start": a, "end": a + size, "family": self.families[label[i]], "probability": float(chance[i, label[i]])}
                     )
         out["n_notices"] = [len(x) for x in out["notices"]]
-        out["families"] = [sorted({n["family"] for n in x}) for x in out["notices"]]
+        named = [sorted({n["family"] for n in x}) for x in out["notices"]]
+        out["families"] = [[f for f in x if f not in RESTRICTIONS] for x in named]
+        out["restrictions"] = [[f for f in x if f in RESTRICTIONS] for x in named]
         return out
 
 
@@ -251,7 +269,7 @@ def background(docs: DataFrame, key: str = "doc_id", text: str = "text", count:
     if not total:
         return []
     draw = F.pmod(F.xxhash64(key, F.lit("background")), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    speaks = F.lower(F.substring(text, 1, excerpt)).rlike("licen[cs]e|copyright|public domain")
+    speaks = F.lower(F.substring(text, 1, excerpt)).rlike("licen[cs]e|copyright|public domain|rights reserved|proprietary|confidential|unauthori[sz]ed|written permission")
     drawn = rows.where(draw < min(1.0, 1.5 * count / total + 20 / total)).where(~speaks)
     found = drawn.select(draw.alias("draw"), F.substring(text, 1, excerpt).alias("part")).collect()
     return [r["part"] for r in sorted(found)[:count]]
@@ -259,7 +277,7 @@ def background(docs: DataFrame, key: str = "doc_id", text: str = "text", count:
 
 
 def scan_licences(docs: DataFrame, unknown: list[str], text: str = "text", into: str = "licences", confirm: float = CONFIRM) -> DataFrame:
-    """``docs`` with a struct: paragraphs, confirmed notices with their spans in bytes, and their families."""
+    """``docs`` with a struct: paragraphs, confirmed notices with their spans in bytes, and their families: licences and restrictions."""
     model = docs.sparkSession.sparkContext.broadcast(Classifier(unknown))
 
     def measure():

@@ -79,7 +79,7 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = F.array_max(F.transform("licences.notices", lambda n: n["probability"]))
     return found.select(
         "doc_id", "licences.n_paragraphs", "licences.n_notices", F.array_join("licences.families", ",").alias("families"),
-        F.coalesce(best, F.lit(0.0)).alias("probability"),
+        F.coalesce(best, F.lit(0.0)).alias("probability"), F.array_join("licences.restrictions", ",").alias("restrictions"),
     )
 
 

@@ -161,6 +161,25 @@ def test_licence_notices_are_found(spark, sf_dir):
     assert {i: f for i, f in got.items() if f != ",".join(expected[i])} == {}
 
 
+def test_reserved_rights_are_found(spark, sf_dir):
+    expected = {r.doc_id: "All rights reserved." in (r.text or "").split("\n") for r in table(spark, sf_dir, "documents").collect()}
+    got = {r.doc_id: (r.restrictions, r.n_notices > 0) for r in LLM_QUERIES["op8_licences"](spark, sf_dir).collect()}
+    assert len(got) == len(expected) and any(expected.values())
+    assert {i: g for i, g in got.items() if g[0] != ("Proprietary" if expected[i] else "") or expected[i] > g[1]} == {}
+
+
+def test_restrictions_and_licences_of_lines(spark):
+    none = ["Copyright 2020 the authors", "All rights of the farmers were restored", "All tables are reserved for the guests", "The letters were kept confidential"]
+    closed = ["All rights reserved.", "Copyright (c) 2024 Example Corp. All rights reserved.", "PROPRIETARY AND CONFIDENTIAL", "© 2019 Jane Doe, all rights reserved",
+              "Unauthorized copying of this file is strictly prohibited."]
+    given = ["Released under the MIT License. All rights reserved.", "Copyright 2020 the authors. Licensed under the BSD 3-Clause License. All rights reserved."]
+    lines = none + closed + given
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.text: (list(r.licences.families), list(r.licences.restrictions)) for r in lc.scan_licences(docs, lc.background(docs)).collect()}
+    expected = [([], [])] * len(none) + [([], ["Proprietary"])] * len(closed) + [(["MIT"], []), (["BSD"], [])]
+    assert found == dict(zip(lines, expected, strict=True))
+
+
 def test_licences_of_awkward_rows(spark):
     rows, schema = awkward("families")
     notice = "This file is Licensed under the Mozilla Public License 2.0, see LICENSE"

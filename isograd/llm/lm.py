@@ -3,9 +3,10 @@
 States are the n-grams of the training texts, without bound on their number.
 An arc reads a word that followed the state's words in training; where there
 is none, a failure arc leads to the state that is one word shorter and costs
-the weight that smoothing leaves to it.  A text is read once from left to
-right; its state is the longest known run of last words, and the logarithms
-on its way add up to the probability of the text.
+the weight that smoothing leaves to it.  The state before a word is the
+longest known run of the words before it.  These words alone decide it, so it
+is not carried along: every place of a text is judged by itself, and the
+logarithms add up to the probability of the text, as if read left to right.
 
 Smoothing is by a Dirichlet prior: after words h, a word w has probability
 ``(c(hw) + strength * p(w after the shorter h)) / (c(h) + strength)``; without

@@ -12,8 +12,10 @@ time.  Texts are parsed whole, in blocks of ``BLOCK`` bytes: a phrase also
 ends where its block ends.
 
 Only the sample is gathered, at most ``docs_per_language`` excerpts of
-``excerpt`` bytes for each of at most ``MAX_LANGUAGES`` languages; more
-languages are an error.  Judging is one pass without a shuffle.
+``excerpt`` bytes for each language.  A table holds at most ``MAX_LANGUAGES``
+automata; of more languages each group has a table of its own, mapped from a
+temporary file, and a text takes the best of all.  Judging is one pass over the
+rows without a shuffle.
 
 Null texts and texts without a letter are ``und``; without any learned
 language so is every text.  Ties go to the first language by name.  Equal
@@ -23,6 +25,7 @@ rows get equal results; other columns pass through.
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Sequence
 
 import numpy as np
@@ -144,6 +147,10 @@ class Model:
         count += state != self.roots[:, None]
         return np.stack([np.bincount(doc, weights=c, minlength=len(size)) for c in count]) if len(count) else np.zeros((0, len(size)))
 
+    def bits_per_byte(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Cross-entropy of every text against every language."""
+        return self.phrases(data, offsets) * np.array(self.bits)[:, None] / np.maximum(np.diff(offsets), 1)
+
     def judge(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, list]:
         docs = len(offsets) - 1
         lettered = np.bincount(document_of(np.flatnonzero(_LETTER[data]), offsets), minlength=docs) > 0
@@ -151,7 +158,7 @@ class Model:
             lettered[i] = any(c.isalpha() for c in data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace"))
         if not self.languages:
             return {"lang": ["und"] * docs, "score": [0.0] * docs, "bits_per_byte": [None] * docs}
-        bits = self.phrases(data, offsets) * np.array(self.bits)[:, None] / np.maximum(np.diff(offsets), 1)
+        bits = self.bits_per_byte(data, offsets)
         best = bits.argmin(axis=0)
         least = bits[best, np.arange(docs)]
         bits[best, np.arange(docs)] = np.inf
@@ -164,15 +171,12 @@ class Model:
 def sample(docs: DataFrame, key: str, text: str, lang: str, per_language: int = DOCS_PER_LANGUAGE, excerpt: int = EXCERPT) -> dict[str, list[bytes]]:
     """At most ``per_language`` excerpts of each language, chosen by a hash of the key."""
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0))
-    counts = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(F.count("*").alias("n")).orderBy(lang).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages; a table for every task is built for at most that many")
+    counts = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     draw = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col(lang) == name, F.lit(min(1.0, 1.5 * per_language / n + 20 / n))).otherwise(share)
+    shares = [F.lit(min(1.0, 1.5 * per_language / n + 20 / n)) for n in counts.values()]
+    share = F.try_element_at(F.map_from_arrays(F.array(*map(F.lit, counts)), F.array(*shares)), F.col(lang))
     place = F.pmod(F.xxhash64(key, F.lit("place")), F.greatest(F.lit(1), F.length(text) - excerpt)).cast("int") + 1
     drawn = rows.where(draw < share).select(lang, draw.alias("draw"), F.substring(F.col(text), place, F.lit(excerpt)).alias("part"))
     found: dict[str, list[tuple]] = {}
@@ -187,6 +191,23 @@ def identify(docs: DataFrame, samples: dict[str, list[bytes]], text: str = "text
     return annotate(docs, text, into, FIELDS, lambda: _model(shared.value).judge)
 
 
+class Models(Model):
+    """Groups of at most ``most`` languages, each with a table of its own in a temporary file."""
+
+    def __init__(self, samples: dict[str, list[bytes]], most: int = MAX_LANGUAGES):
+        self.languages = sorted(lang for lang, texts in samples.items() if any(texts))
+        self.folder, self.groups = tempfile.TemporaryDirectory(), []
+        for i in range(0, len(self.languages), most):
+            group = Model({lang: samples[lang] for lang in self.languages[i : i + most]})
+            path = f"{self.folder.name}/{i}.npy"
+            np.save(path, group.table)
+            group.table = np.load(path, mmap_mode="r")
+            self.groups.append(group)
+
+    def bits_per_byte(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return np.concatenate([group.bits_per_byte(data, offsets) for group in self.groups])
+
+
 _models: dict[str, Model] = {}
 
 
@@ -195,7 +216,7 @@ def _model(samples: dict[str, list[bytes]]) -> Model:
     name = hashlib.sha256(repr(sorted(samples.items())).encode()).hexdigest()
     if name not in _models:
         _models.clear()
-        _models[name] = Model(samples)
+        _models[name] = (Model if len(samples) <= MAX_LANGUAGES else Models)(samples)
     return _models[name]
 
 

@@ -64,6 +64,21 @@ def test_language_of_awkward_rows(spark):
     assert lg.identify(docs.limit(0), samples).collect() == [] and lg.sample(docs.limit(0), "doc_id", "text", "lang") == {}
 
 
+def test_more_languages_than_one_table_holds(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i, j: letters[i % 26] + letters[(i * 7 + j) % 26] + letters[(i // 26 * 5 + j * 3) % 26]
+    texts = {f"l{i:02}": " ".join(word(i, j) for j in range(40)) for i in range(lg.MAX_LANGUAGES + 7)}
+    docs = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
+    samples = lg.sample(docs, "doc_id", "text", "lang")
+    assert sorted(samples) == sorted(texts)
+    found = {r.lang: r.language.lang for r in lg.identify(docs, samples).collect()}
+    assert found == {x: x for x in texts}
+    held = [t.encode() for t in texts.values()] + [b"", b"the cat", b"123"]
+    data, offsets = np.frombuffer(b"".join(held), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in held])])
+    one, several = lg.Model(samples).judge(data, offsets), lg.Models(samples, 5).judge(data, offsets)
+    assert all(list(one[c]) == list(several[c]) for c in one)
+
+
 def plain_scores(rows: list[tuple], order: int, strength: float) -> dict:
     """Probabilities by the recursive definition, from counters."""
     split = lambda t: ["<s>", *WORD.findall((t or "").translate(LOWER)), "</s>"]

@@ -140,14 +140,22 @@ LLM_ORACLES: dict[str, str] = {
         FROM d LEFT JOIN place p USING (doc_id) LEFT JOIN named n USING (doc_id)
     """,
     "op5_line_dedup": rf"""
-        WITH line AS (
-            SELECT doc_id, p, l, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS u
-            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents)
+        WITH whole AS (
+            SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\n]*?(?:\n|[.!?][ \t]+|[\x{{3002}}\x{{FF01}}\x{{FF1F}}]|\z)'), lambda u: u <> '') AS us
+            FROM documents
         ),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY doc_id, p) AS r FROM line)
-        SELECT doc_id, count(*) FILTER (WHERE u <> '') AS n_units, count(*) FILTER (WHERE u <> '' AND r > 1) AS n_removed,
-            CAST(coalesce(sum(strlen(l)) FILTER (WHERE u <> '' AND r > 1), 0) AS BIGINT) AS removed_bytes,
-            sha256(coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (WHERE u = '' OR r = 1), '')) AS kept_sha256
-        FROM ranked GROUP BY doc_id
+        unit AS (
+            SELECT doc_id, p, l, w, len(w) AS n, {_LOWER.replace("text", "array_to_string(w, ' ')")} AS u
+            FROM (SELECT *, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS w FROM (SELECT doc_id, unnest(us) AS l, generate_subscripts(us, 1) AS p FROM whole))
+        ),
+        worded AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY doc_id, p) > 1 AS again FROM unit WHERE n > 0),
+        turns AS (SELECT *, coalesce(again <> lag(again) OVER (PARTITION BY doc_id ORDER BY p), true) AS turn FROM worded),
+        runs AS (SELECT *, sum(turn::INT) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS run FROM turns),
+        gone AS (SELECT doc_id, p FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id, run) AS total FROM runs) WHERE again AND total >= {ln.MIN_WORDS}),
+        judged AS (SELECT unit.*, gone.p IS NOT NULL AS removed FROM unit LEFT JOIN gone USING (doc_id, p))
+        SELECT doc_id, count(*) FILTER (WHERE n > 0) AS n_units, count(*) FILTER (WHERE removed) AS n_removed,
+            CAST(coalesce(sum(strlen(l)) FILTER (WHERE removed), 0) AS BIGINT) AS removed_bytes,
+            sha256(coalesce(string_agg(l, '' ORDER BY p) FILTER (WHERE NOT coalesce(removed, false)), '')) AS kept_sha256
+        FROM documents LEFT JOIN judged USING (doc_id) GROUP BY doc_id
     """,
 }

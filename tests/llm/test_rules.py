@@ -9,7 +9,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from cases import awkward
+from cases import LONG, awkward
+from pyspark.sql import functions as F
 
 from isograd.llm import decontaminate as dc
 from isograd.llm import lines as ln
@@ -113,25 +114,68 @@ def test_overlap_with_items(spark):
         dc.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), max_bytes=10)
 
 
-@pytest.mark.parametrize("unit", ["line", "paragraph"])
-def test_units_keep_the_first(spark, unit):
-    gap = "\n" if unit == "line" else "\n \n"
-    texts = [("A b", "c d", "a  B "), ("c d", "", "new"), ("new", "e"), ("e",), ("e", "e")]
-    rows = [(i, gap.join(t), "k") for i, t in enumerate(texts)] + [(50, None, "k"), (51, "", "k"), (4, gap.join(texts[4]), "k"), (None, "e", "k")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_text string").repartition(3)
-    got = ln.dedup_units(docs, unit=unit)
-    assert got.columns == [*docs.columns, "dedup"]
-    kept = {(r.doc_id, r.text): r.dedup.kept_text for r in got.collect()}
-    assert got.count() == len(rows)
-    assert kept[(0, gap.join(texts[0]))] == gap.join(["A b", "c d"])
-    assert kept[(1, gap.join(texts[1]))].strip() == "new"
-    assert kept[(2, gap.join(texts[2]))] == "" and kept[(3, "e")] == "" and kept[(4, gap.join(texts[4]))] == ""
-    assert kept[(None, "e")] == "e"  # a null id ranks first
-    assert kept[(50, None)] is None and kept[(51, "")] == ""
-    for r in got.collect():
-        for s in r.dedup.removed:
-            assert (r.text.encode()[s.start : s.end]).strip()
-    assert ln.dedup_units(docs.limit(0)).collect() == []
+CUT = {"line": re.compile(r"\n"), "paragraph": re.compile(r"[\x20\x09-\x0D]*\n[\x20\x09\x0B-\x0D]*\n[\x20\x09-\x0D]*"), "sentence": re.compile(r"\n|[.!?][ \t]+|[。！？]")}
+
+
+def plain_units(text: str, unit: str) -> list[str]:
+    """Units with the breaks behind them."""
+    ends = [m.end() for m in CUT[unit].finditer(text)]
+    return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True) if a < b]
+
+
+def plain_dedup(rows: list[tuple], unit: str, min_words: int) -> dict[tuple, tuple]:
+    """(number of units, kept text) by (id, text): repeated units in long runs of repeated units go."""
+    first: dict = {}
+    held = {(k, t): [(u, " ".join(WORD.findall(u)).translate(LOWER)) for u in plain_units(t or "", unit)] for k, t in rows}
+    for (k, t), us in held.items():
+        for p, (_, plain) in enumerate(us):
+            place = (-1 if k is None else k, p)
+            first[plain] = min(first.get(plain, place), place)
+    out = {}
+    for (k, t), us in held.items():
+        runs, gone = [[]], set()
+        for p, (_, plain) in enumerate(us):
+            if plain and first[plain] < (-1 if k is None else k, p):
+                runs[-1].append(p)
+            elif plain:
+                runs.append([])
+        for run in runs:
+            if sum(len(us[p][1].split(" ")) for p in run) >= min_words:
+                gone |= set(run)
+        out[k, t] = (sum(1 for _, plain in us if plain), len(gone), None if t is None else "".join(u for p, (u, _) in enumerate(us) if p not in gone))
+    return out
+
+
+@pytest.mark.parametrize("unit", ["sentence", "line", "paragraph"])
+@pytest.mark.parametrize("min_words", [1, 8])
+def test_units_keep_the_first(spark, unit, min_words):
+    rng = random.Random(5)
+    said = ["A b. ", "a  B. ", "c d\n", "One two three four! ", "five six?\t", "日本。", "seven eight nine ten eleven\n\n", "\n \n", " . ", "x", "twelve 3.5 e\u0301\r\n"]
+    texts = ["".join(rng.choice(said) for _ in range(rng.randrange(1, 14))) for _ in range(60)] + [LONG, LONG[:-50] + " end. tail"]
+    rows = [(i, t, "k") for i, t in enumerate(texts)] + [(90, None, "k"), (91, "", "k"), (4, texts[4], "k"), (None, texts[7], "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, dedup string").withColumns({"row": F.lit(1), "gone": F.lit(2), "h": F.lit(3)})
+    got = ln.dedup_units(docs.repartition(3), unit=unit, min_words=min_words)
+    assert got.columns == ["doc_id", "text", "row", "gone", "h", "dedup"]
+    want = plain_dedup([r[:2] for r in rows], unit, min_words)
+    found = got.collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r.dedup.n_units, r.dedup.n_removed, r.dedup.kept_text) == want[r.doc_id, r.text]
+        cut = sorted((s.start, s.end) for s in r.dedup.removed)
+        body, at, left = (r.text or "").encode(), 0, b""
+        for a, b in cut:
+            left, at = left + body[at:a], b
+        assert (left + body[at:]).decode() == (r.dedup.kept_text or "") and len(cut) == r.dedup.n_removed
+    assert ln.dedup_units(docs.limit(0), unit=unit).collect() == []
+
+
+def test_a_short_shared_line_stays_and_a_shared_passage_goes(spark):
+    said = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    passage = ". ".join(said(i, 9) for i in range(7)) + "."
+    rows = [(1, f"{said(90, 20)} {passage} Read more\n{said(91, 20)}"), (2, f"{said(92, 20)}. {passage} {said(93, 10)}.\nRead more"), (3, f"{said(94, 30)}\nread  more\n")]
+    kept = {r.doc_id: r.dedup.kept_text for r in ln.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept[1] == rows[0][1] and kept[3] == rows[2][1]
+    assert kept[2] == f"{said(92, 20)}. {said(0, 9)}. {said(93, 10)}.\nRead more"  # its first sentence shared a line with other words
 
 
 def test_packing_is_an_exact_round_trip(spark):

@@ -6,10 +6,11 @@ table and derives the result columns from the operator's output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isograd.llm import decontaminate as dc
+from isograd.llm import fingerprints as fp
 from isograd.llm import language as lg
 from isograd.llm import licences as lc
 from isograd.llm import lines as ln
@@ -17,7 +18,9 @@ from isograd.llm import lm
 from isograd.llm import minhash as mh
 from isograd.llm import packing as pk
 from isograd.llm import quality as ql
+from isograd.llm import runs as rn
 from isograd.llm import suffix as sx
+from isograd.llm import trie as tr
 from isograd.llm import urls as ur
 
 #: Rules for URLs by host and path.
@@ -92,6 +95,59 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, lm.held_out(F.col("doc_id")))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp.compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def crc(column: str) -> Column:
+    """Unsigned CRC-32 of a number in decimal."""
+    return F.crc32(F.col(column).cast("string"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Every text; of one in ten, by the id, the words from a chosen one on repeat with a chosen period."""
+    h = F.coalesce(crc("doc_id"), F.lit(1))
+    said = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(rn.WORD), 0)).alias("w"))
+    said = said.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    said = said.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    again = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("w", source(i))), " ")
+    return said.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rn.periodic_runs(with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    runs = F.col("periodic.runs")
+    best = F.array_min(F.transform(runs, lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform(runs, lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    said = F.concat(F.array_join(lines, "\n"), F.when(F.size(runs) > 0, "\n").otherwise(""))
+    held = found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("b"), said.alias("said"), "periodic.n_words", "periodic.collapsed")
+    return held.select(
+        "doc_id", "n_runs", F.col("b.s").alias("start"), (-F.col("b.l")).alias("length"), F.col("b.p").alias("period"),
+        F.floor(-1000 * F.col("b.l") / F.col("b.p")).cast("long").alias("exponent_milli"),
+        F.sha2("said", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns of conversations that begin like the first of their twenty, and all conversations."""
+    parts = turns.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("conv_id").agg(F.sum("n").alias("n"))
+    heads = sizes.select(F.col("conv_id").alias("base"), F.least("n", F.lit(3)).alias("n_base"))
+    convs = sizes.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 20).alias("base"), (crc("conv_id") % 4).alias("h"))
+    asked = convs.join(heads, "base", "left").select("conv_id", "base", "h", F.least("h", F.coalesce("n_base", F.lit(0))).alias("taken"))
+    first = turns.where((F.col("conv_id") % 20 == 0) & (F.col("pos") < 3)).select(F.col("conv_id").alias("base"), "pos", "id", "words")
+    before = asked.join(first, "base").where(F.col("pos") < F.col("h")).select("conv_id", "pos", "id", "words")
+    own = turns.join(parts.join(asked, "conv_id").select("conv_id", "part", "h", "taken"), ["conv_id", "part"])
+    own = own.where(F.col("pos") >= F.col("h")).select("conv_id", (F.col("pos") - F.col("h") + F.col("taken")).alias("pos"), "id", "words")
+    return before.unionAll(own), sizes.select("conv_id")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = tr.numbered(tr.turn_ids(table(spark, sf_dir, "conversations")))
+    return tr.prefix_trie(*rebuilt(turns))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a vocabulary file of the installed public tokenizers."""
     import public_tokenizers
@@ -110,6 +166,9 @@ LLM_QUERIES = {
     "op8_licences": op8_licences,
     "op9_minhash": op9_minhash,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -158,4 +217,54 @@ LLM_ORACLES: dict[str, str] = {
             sha256(coalesce(string_agg(l, '' ORDER BY p) FILTER (WHERE NOT coalesce(removed, false)), '')) AS kept_sha256
         FROM documents LEFT JOIN judged USING (doc_id) GROUP BY doc_id
     """,
+    "op13_conversation_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        bits AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, CAST(conv_id AS VARCHAR) AS s FROM turns),
+        poly AS (  -- the 256 remainders of the CRC, by eight steps each
+            SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS r
+            FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS i)
+        ),
+        remainders AS (SELECT list(r ORDER BY i) AS t FROM poly),
+        hash AS (
+            SELECT conv_id, base,
+                xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(s, ''), lambda c: ascii(c)::BIGINT)),
+                    lambda c, b: xor(c // 256, t[1 + xor(c % 256, b)])), 4294967295) % 4 AS h
+            FROM bits, remainders
+        ),
+        firsts AS (SELECT h.conv_id, t.pos, t.role, t.text FROM hash h JOIN turns t ON t.conv_id = h.base AND t.pos < h.h),
+        taken AS (SELECT h.conv_id, h.h, count(f.pos) AS m FROM hash h LEFT JOIN firsts f USING (conv_id) GROUP BY ALL),
+        seq AS (
+            SELECT conv_id, pos, role, text FROM firsts
+            UNION ALL SELECT conv_id, t.pos - k.h + k.m, t.role, t.text FROM turns t JOIN taken k USING (conv_id) WHERE t.pos >= k.h
+        ),
+        conv AS (
+            SELECT k.conv_id, coalesce(s.k, []) AS k, coalesce(s.w, []) AS w
+            FROM taken k LEFT JOIN (
+                SELECT conv_id, list(md5(length(role) || ':' || role || text) ORDER BY pos) AS k, list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY pos) AS w
+                FROM seq GROUP BY conv_id
+            ) s USING (conv_id)
+        ),
+        path AS (
+            SELECT conv_id, d, array_to_string(k[1:d], '') AS node, array_to_string(k[1:d - 1], '') AS up, coalesce(w[d], 0) AS words, d = len(k) AS ends, k
+            FROM (SELECT *, unnest(generate_series(0, len(k))) AS d FROM conv)
+        ),
+        node AS (
+            SELECT d, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words, any_value(k) AS k,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+            FROM path GROUP BY d, node
+        ),
+        kids AS (SELECT d - 1 AS d, up AS node, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+        sized AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (d, node)),
+        sub AS (
+            SELECT e, array_to_string(k[1:e], '') AS node, sum((n - 1) * words) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+            FROM (SELECT *, unnest(generate_series(0, d)) AS e FROM sized) GROUP BY ALL
+        )
+        SELECT s.conv_id, s.d AS depth, p.conv_id AS parent_conv_id, s.n AS n_convs, s.n_children, b.leaves AS n_leaves,
+            CAST(b.saved AS BIGINT) AS saved_tokens, s.ends_sha256
+        FROM sized s JOIN sub b ON b.e = s.d AND b.node = s.node LEFT JOIN node p ON s.d > 0 AND p.d = s.d - 1 AND p.node = s.up
+    """,
 }

@@ -51,9 +51,20 @@ class Spans:
     """Hashes of any span of a byte buffer, from prefix sums of a polynomial."""
 
     def __init__(self, data: np.ndarray):
-        _grow(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(CODES[data] * _powers[0][: len(data)], out=self.sums[1:])
+        self._add(CODES[data])
+
+    @classmethod
+    def of(cls, values: np.ndarray) -> Spans:
+        """Hashes of any span of a sequence of random 64-bit values."""
+        spans = cls.__new__(cls)
+        spans._add(values)
+        return spans
+
+    def _add(self, values: np.ndarray) -> None:
+        n = len(values)
+        _grow(n + 1)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values * _powers[0][:n], out=self.sums[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * _powers[1][start] + (end - start).astype(np.uint64) * _STEP)

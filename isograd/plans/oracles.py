@@ -247,6 +247,23 @@ def _oracles() -> dict[str, str]:
     )
     q["merge_steps_outer"] = _with(GI, GA) + merged.format(how="FULL")
     q["merge_steps_inner"] = _with(GI, GA) + merged.format(how="INNER")
+    q["merge_packed"] = q["merge_steps_inner"]
+    fine = (
+        "SELECT {k} // 25 AS s, ({k} // 5) % 5 AS r, {k} % 5 AS c, {v} FROM {t}"
+    )
+    q["merge_steps_indexed"] = (
+        "SELECT TIMESTAMP '2024-01-01' + to_hours(CAST(6 * s AS BIGINT)) AS valid_time, round(50 - r * CAST(0.1 AS DOUBLE), 8) AS latitude,"
+        " round(60 + c * CAST(0.1 AS DOUBLE), 8) AS longitude, round(t2m, 8) AS t2m, round(ssr, 8) AS ssr FROM ("
+        + fine.format(k="event_id", v="293.15 + value / 10 AS t2m", t="events")
+        + ") FULL JOIN ("
+        + fine.format(k="o_orderkey", v="2 * o_totalprice AS ssr", t="orders")
+        + ") USING (s, r, c)"
+    )
+    q["pack_grid"] = _with(GI) + (
+        "SELECT valid_time, latitude, longitude, CASE WHEN event_type <> 'error' THEN round(t2m, 8) END AS t2m,"
+        f" CASE WHEN event_type <> 'error' THEN round(tcc, 8) END AS tcc FROM gi JOIN (SELECT {_K}, event_type FROM events)"
+        " USING (valid_time, latitude, longitude)"
+    )
     q["daily_with_heat"] = _with(*_DAILY, _HEAT_DAYS) + (
         f"SELECT daily.time, {_r(*_METRICS, *_HEAT)} FROM daily LEFT JOIN heat ON daily.time = heat.time"
     )
@@ -279,6 +296,27 @@ def _oracles() -> dict[str, str]:
             )
             + f" FROM gn WHERE {SA} GROUP BY 1"
         )
+    q["packed_means"] = q["weighted_mean"]
+    hot = ", ".join(f"round(avg(CASE WHEN t2m - 273.15 > {x} THEN 1.0 ELSE 0.0 END), 8) AS frac_above_{x}c" for x in (35, 40))
+    q["packed_heat"] = _with(GN) + (
+        f"SELECT valid_time, round(avg(t2m - 273.15), 8) AS t2m_c, round(avg(tcc), 8) AS tcc, {hot} FROM gn WHERE {SA} GROUP BY 1"
+    )
+
+    boxes = {"south_asia": SA, "central_india": CI, "north_west": "latitude BETWEEN 30 AND 50 AND longitude BETWEEN 60 AND 80", "globe": "true"}
+    shares = ", ".join(f"avg(CASE WHEN t2m - 273.15 > {x} THEN 1.0 ELSE 0.0 END) AS frac_above_{x}c" for x in (35, 40))
+    each = " UNION ALL ".join(
+        f"SELECT '{name}' AS region, valid_time, {_wmean('t2m - 273.15')} AS t2m_c, {_wmean('tcc')} AS tcc, {shares} FROM gn WHERE {box} GROUP BY valid_time"
+        for name, box in boxes.items()
+    )
+    day = ", ".join(f"round(avg({c}), 8) AS {c}, round(max({c}), 8) AS {c}_max, round(min({c}), 8) AS {c}_min" for c in ("t2m_c", "tcc"))
+    q["regions_daily"] = _with(GN, f"rs AS ({each})") + (
+        f"SELECT region, date_trunc('day', valid_time)::TIMESTAMP AS time, {day},"
+        " round(max(frac_above_35c), 8) AS frac_above_35c, round(max(frac_above_40c), 8) AS frac_above_40c FROM rs GROUP BY 1, 2"
+    )
+    q["kept_refresh"] = _with(
+        GI, f"si AS (SELECT valid_time, {_wmean('t2m - 273.15')} AS t2m_c, {_wmean('tcc')} AS tcc FROM gi WHERE {SA} GROUP BY 1)"
+    ) + f"SELECT date_trunc('day', valid_time)::TIMESTAMP AS time, {day} FROM si GROUP BY 1"
+
     def both(table: str, variables: tuple[str, ...]) -> str:
         means = ", ".join(f"avg({v}) AS {v}_global, avg({v}) FILTER (WHERE {SA}) AS {v}_region" for v in variables)
         return f"SELECT valid_time, {means} FROM {table} GROUP BY 1"

@@ -14,12 +14,13 @@ from isograd.catalog import COORDS, LATITUDE, LONGITUDE, REGIONS, TIME
 from isograd.functions import units
 from isograd.functions.calendar import epoch_to_ts, with_calendar
 from isograd.functions.columns import round_columns
-from isograd.operators import align, compare, figures, layout, select, spatial, summary, temporal, windows
+from isograd.operators import align, cells, compare, figures, layout, packed, partials, regions, select, spatial, summary, temporal, windows
 from isograd.plans import testgrids as grids
 from isograd.plans.regional import region_and_global_means, regional_daily, sampled_regional_daily
 from isograd.session import shared_folder
+from isograd.sources import cells as stored_cells
 from isograd.sources import grid as source
-from isograd.sources import tables
+from isograd.sources import refresh, tables
 
 SOUTH_ASIA, CENTRAL_INDIA = REGIONS["south_asia"], REGIONS["central_india"]
 COMPARED = ("t2m_c", "tcc", "ssr", "str_nlw", "net_rad")
@@ -132,6 +133,26 @@ def kept_daily(spark, sf):
     return report(keep(0).tables["daily"])
 
 
+def _refreshed(spark, path: str, out: str) -> refresh.Refreshed:
+    def days(cells: DataFrame) -> DataFrame:
+        steps = spatial.weighted_spatial_mean(spatial.instant_columns(select.in_region(cells, SOUTH_ASIA)), ["t2m_c", "tcc"])
+        return partials.daily_partials(steps, ["t2m_c", "tcc"])
+
+    return refresh.refresh_months(spark, path, out, days, {"analysis": "days", "region": SOUTH_ASIA})
+
+
+def kept_refresh(spark, sf):
+    """Days kept from a grid of which one month was wrong and later ones were missing, after both are mended."""
+    path, out = scratch(spark, "months"), scratch(spark, "days")
+    cells, t = grids.instant(spark, sf), F.col(TIME)
+    february, later = (F.year(t) == 2024) & (F.month(t) == 2), t >= F.lit("2024-04-01").cast("timestamp_ntz")
+    wrong = cells.where(~later).withColumn("t2m", F.when(february, F.col("t2m") + 1.0).otherwise(F.col("t2m")))
+    source.write_grid(wrong, path)
+    _refreshed(spark, path, out)
+    source.write_grid(cells.where(february | later), path, replace_months=True)
+    return report(partials.merge_partials(_refreshed(spark, path, out).partials, ["t2m_c", "tcc"]))
+
+
 # --- Filters, units, calendar ------------------------------------------------
 
 
@@ -176,6 +197,30 @@ def merge_steps_inner(spark, sf):
     return report(align.merge_steps(grids.instant(spark, sf), grids.accum(spark, sf), "inner"))
 
 
+def merge_steps_indexed(spark, sf):
+    """Float32 and double files of a tenth-degree grid, stored by position and merged without a shuffle."""
+    parts = []
+    for name, grid in (("instant", grids.fine_instant(spark, sf)), ("accum", grids.fine_accum(spark, sf))):
+        path = scratch(spark, f"cells-{name}")
+        stored_cells.write_cells(grid, grids.FINE_AXES, path, 8)
+        parts.append(stored_cells.read_cells(spark, path))
+    merged = cells.merge_indexed(parts[0].cells, parts[1].cells, checked=True)
+    return report(cells.unsnap(merged, parts[0].axes))
+
+
+def merge_packed(spark, sf):
+    instant = grids.packed_by_cell(grids.instant(spark, sf), ["t2m", "tcc"])
+    accum = grids.packed_by_cell(grids.accum(spark, sf), ["ssr", "str", "tisr", "tsr", "ttr"])
+    both = packed.merge_packed(instant, accum)
+    return report(packed.explode_packed(both, {c: packed.Packed(c) for c in ("t2m", "tcc", "ssr", "str", "tisr", "tsr", "ttr")}))
+
+
+def pack_grid(spark, sf):
+    """A grid with absent cells, packed in blocks of two rows and laid out again."""
+    held = packed.pack_grid(grids.sparse_instant(spark, sf), ["t2m", "tcc"], AXES, 5, 5, block_rows=2)
+    return report(packed.explode_packed(held, {c: packed.Packed(c) for c in ("t2m", "tcc")}))
+
+
 def daily_with_heat(spark, sf):
     inst = select.in_region(grids.instant(spark, sf), SOUTH_ASIA)
     heat = temporal.daily_heat(spatial.area_fraction(spatial.instant_columns(inst)))
@@ -207,6 +252,40 @@ def weighted_mean(spark, sf):
     return report(spatial.weighted_spatial_mean(spatial.instant_columns(inst), ["t2m_c", "tcc"]))
 
 
+PACKED_INSTANT = {
+    "t2m_c": packed.Packed("t2m", offset=-units.KELVIN_OFFSET, fill=grids.PACK_FILL),
+    "tcc": packed.Packed("tcc", fill=grids.PACK_FILL),
+}
+
+
+def packed_means(spark, sf):
+    held = grids.packed_by_cell(grids.instant_with_gaps(spark, sf), ["t2m", "tcc"], fill=float(grids.PACK_FILL))
+    return report(packed.packed_means(held, PACKED_INSTANT, SOUTH_ASIA))
+
+
+def packed_heat(spark, sf):
+    """Plain means and shares of hot cells of blocks of rows, whose sums are added for each step."""
+    held = packed.pack_grid(grids.instant_with_gaps(spark, sf), ["t2m", "tcc"], AXES, 5, 5, block_rows=2)
+    hot = {name: ("t2m_c", limit) for name, limit in spatial.HEAT_THRESHOLDS.items()}
+    return report(packed.packed_means(held, PACKED_INSTANT, SOUTH_ASIA, weighted=False, hot=hot))
+
+
+BOXES = {
+    "south_asia": SOUTH_ASIA,
+    "central_india": CENTRAL_INDIA,
+    "north_west": catalog.Region("North-west", north=50.0, south=30.0, west=60.0, east=80.0),
+    "globe": catalog.Region("Globe", north=90.0, south=-90.0, west=0.0, east=360.0),
+}
+
+
+def regions_daily(spark, sf):
+    """Days of four regions, three of which overlap the first, from one scan."""
+    gaps = grids.instant_with_gaps(spark, sf).withColumn("t2m_c", units.kelvin_to_c(F.col("t2m")))
+    hot = {name: ("t2m_c", limit) for name, limit in spatial.HEAT_THRESHOLDS.items()}
+    steps = regions.regions_series(gaps, AXES, BOXES, ["t2m_c", "tcc"], hot)
+    return report(regions.regions_daily(steps, ["t2m_c", "tcc"], list(hot)))
+
+
 def heat_fraction(spark, sf):
     inst = select.in_region(grids.instant_with_gaps(spark, sf), SOUTH_ASIA)
     return report(spatial.area_fraction(spatial.instant_columns(inst)))
@@ -466,11 +545,11 @@ def layout_overlay(spark, sf):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        grid_scan, multi_open, unpack_scale_offset, explode_grid, epoch_decode, csv_roundtrip, stored_grid, kept_daily,
+        grid_scan, multi_open, unpack_scale_offset, explode_grid, epoch_decode, csv_roundtrip, stored_grid, kept_daily, kept_refresh,
         region_filter, time_window, unit_convert, calendar_keys, first_year, grid_preview,
-        merge_steps_outer, merge_steps_inner, daily_with_heat, common_keys, month_spine, daily_gap_filled,
-        spatial_mean, weighted_mean, heat_fraction, heat_fraction_present,
-        region_vs_global, both_steps_means, regional_step_series, grid_shape,
+        merge_steps_outer, merge_steps_inner, merge_steps_indexed, merge_packed, pack_grid, daily_with_heat, common_keys, month_spine, daily_gap_filled,
+        spatial_mean, weighted_mean, packed_means, packed_heat, heat_fraction, heat_fraction_present,
+        regions_daily, region_vs_global, both_steps_means, regional_step_series, grid_shape,
         daily_metrics, daily_metrics_gaps, daily_heat, daily_precip, central_daily, monthly_climatology,
         central_climatology, calendar_month, calendar_month_sum, season_compare, temp_pressure_corr,
         argmax_month, table_stats, region_summary, sampled_summary,

@@ -16,6 +16,8 @@ DENSE_START_S = 1_704_067_200  # 2024-01-01
 SAMPLED_START_S = 1_609_459_200  # 2021-01-01
 DENSE_AXES = GridAxes("2024-01-01 00:00:00", 21_600, 50.0, 10.0, 60.0, 10.0)
 
+FINE_AXES = GridAxes("2024-01-01 00:00:00", 21_600, 50.0, 0.1, 60.0, 0.1)
+
 PACK_SCALE, PACK_OFFSET, PACK_FILL = 0.01, 273.15, -32_767
 
 
@@ -33,6 +35,16 @@ def _dense_coords(k: Column) -> list[Column]:
     ]
 
 
+def _fine_coords(k: Column, kind: str) -> list[Column]:
+    """5 x 5 cells a tenth of a degree apart, which neither float32 nor double holds exactly."""
+    time, _, _ = _dense_coords(k)
+    return [
+        time,
+        (F.lit(50.0) - F.lit(0.1) * (_div(k, 5) % 5)).cast(kind).alias(LATITUDE),
+        (F.lit(60.0) + F.lit(0.1) * (k % 5)).cast(kind).alias(LONGITUDE),
+    ]
+
+
 def _sampled_coords(k: Column) -> list[Column]:
     """4 x 4 cells, 4-hourly on every fourth day."""
     step = _div(k, 16)
@@ -119,6 +131,37 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fine_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenth-degree instant grid with float32 coordinates."""
+    v = F.col("value")
+    return events(spark, sf_dir).select(*_fine_coords(F.col("event_id"), "float"), (F.lit(293.15) + v / 10.0).alias("t2m"))
+
+
+def fine_accum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenth-degree accumulated grid with double coordinates."""
+    return orders(spark, sf_dir).select(*_fine_coords(F.col("o_orderkey"), "double"), (2.0 * F.col("o_totalprice")).alias("ssr"))
+
+
+def packed_by_cell(cells: DataFrame, variables: list[str], fill: float | None = None) -> DataFrame:
+    """One row per step, cells from north-west to south-east; missing values become ``fill``."""
+    held = [F.col(c) if fill is None else F.coalesce(F.col(c), F.lit(fill)) for c in variables]
+    cell = F.struct((-F.col(LATITUDE)).alias("south"), F.col(LONGITUDE).alias("east"), *[h.alias(c) for h, c in zip(held, variables, strict=True)])
+    steps = cells.groupBy(TIME).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return steps.select(
+        TIME,
+        F.array_distinct(F.transform("cells", lambda c: -c["south"])).alias("latitudes"),
+        F.array_distinct(F.transform("cells", lambda c: c["east"])).alias("longitudes"),
+        *[F.col(f"cells.{name}").alias(name) for name in variables],
+    )
+
+
+def sparse_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense instant grid without the cells whose event is an error."""
+    return events(spark, sf_dir).where("event_type <> 'error'").select(
+        *_dense_coords(F.col("event_id")), (F.lit(293.15) + F.col("value") / 10.0).alias("t2m"), ((F.col("value") % 100.0) / 100.0).alias("tcc")
+    )
+
+
 def raw_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event ids with the step time as Unix seconds."""
     return events(spark, sf_dir).select(

@@ -114,14 +114,20 @@ def explode_grid(packed: DataFrame, variable: str, values: str = "values") -> Da
     )
 
 
-def write_grid(df: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:
+def write_grid(
+    df: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None, replace_months: bool = False
+) -> None:
     """Store a grid so that time and region filters skip files and row groups.
 
     Rows are range-partitioned by their coordinates, which also splits a step
     larger than a partition, sorted inside each file, and filed by year and
-    month.
+    month.  With ``replace_months`` the months found in ``df`` take the place
+    of those stored, and other months stay.
     """
     keyed = df.withColumns({"year": F.year(TIME), "month": F.month(TIME)})
     order = ["year", "month", *COORDS]
     ranged = keyed.repartitionByRange(partitions, *order) if partitions else keyed.repartitionByRange(*order)
-    ranged.sortWithinPartitions(*order).write.mode(mode).partitionBy("year", "month").parquet(path)
+    writer = ranged.sortWithinPartitions(*order).write.mode("overwrite" if replace_months else mode)
+    if replace_months:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("year", "month").parquet(path)

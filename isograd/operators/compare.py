@@ -29,22 +29,35 @@ def paired_long(a: DataFrame, b: DataFrame, columns: Sequence[str], key: str, na
     return pair_on_time(a, b, columns, key).select(F.inline(F.array(*rows)))
 
 
+def side_by_side(df: DataFrame, columns: Sequence[str], name: str, suffix: str = "", **labels: str | float) -> DataFrame:
+    """The rows of ``paired_long`` from one table that holds both results, as ``<column>_a`` and ``<column>_b``.
+
+    ``suffix`` follows these names, ``labels`` are constant columns.
+    """
+    rows = [
+        F.struct(
+            F.lit(c).alias(name),
+            *[nan_to_null(F.col(f"{c}_{side}{suffix}").cast("double")).alias(side) for side in ("a", "b")],
+            *[F.lit(v).alias(k) for k, v in labels.items()],
+        )
+        for c in columns
+    ]
+    return df.select(F.inline(F.array(*rows)))
+
+
+def difference_report(pairs: DataFrame, name: str = "metric") -> DataFrame:
+    """Rows compared, largest and mean absolute difference, by the column ``name``."""
+    diff = F.abs(F.col("a") - F.col("b"))
+    return pairs.groupBy(name).agg(F.count(F.lit(1)).alias("rows_compared"), F.max(diff).alias("max_abs_diff"), F.avg(diff).alias("mean_abs_diff"))
+
+
 def consistency(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None, key: str = "time") -> DataFrame:
     """Rows compared, largest and mean absolute difference of every common column asked for."""
     _, _, shared = common(a, b, key)
     names = [c for c in (shared if columns is None else columns) if c in shared]
     if not names:
         raise ValueError("the two tables have no comparable column in common")
-    diff = F.abs(F.col("a") - F.col("b"))
-    return (
-        paired_long(a, b, names, key, "metric")
-        .groupBy("metric")
-        .agg(
-            F.count(F.lit(1)).alias("rows_compared"),
-            F.max(diff).alias("max_abs_diff"),
-            F.avg(diff).alias("mean_abs_diff"),
-        )
-    )
+    return difference_report(paired_long(a, b, names, key, "metric"))
 
 
 def compare_tables(
@@ -65,23 +78,24 @@ def compare_tables(
     _, _, names = common(reference, candidate, key)
     if not names:
         raise ValueError(f"no overlapping columns for {label}")
+    pairs = paired_long(reference, candidate, names, key, "column")
+    return tolerance_report(pairs.select("*", *[F.lit(v).alias(c) for c, v in (("table", label), ("atol", atol), ("rtol", rtol))]))
+
+
+def tolerance_report(pairs: DataFrame) -> DataFrame:
+    """Error measures by ``table`` and ``column`` of pairs ``a``, ``b`` with the tolerances ``atol`` and ``rtol``."""
     ref, cand = F.col("a"), F.col("b")
     diff = F.abs(cand - ref)
     relative = diff / F.greatest(F.abs(ref), F.lit(1e-12))
-    within = F.coalesce(ref.eqNullSafe(cand) | (diff <= F.lit(atol) + F.lit(rtol) * F.abs(ref)), F.lit(False))
-    return (
-        paired_long(reference, candidate, names, key, "column")
-        .groupBy("column")
-        .agg(
-            F.count(F.lit(1)).alias("rows_compared"),
-            F.avg(diff).alias("mae"),
-            F.max(diff).alias("max_abs"),
-            F.sqrt(F.avg(diff * diff)).alias("rmse"),
-            F.max(relative).alias("max_rel"),
-            F.avg(within.cast("double")).alias("pass_rate"),
-            F.bool_and(within).alias("passed"),
-        )
-        .select(F.lit(label).alias("table"), "*")
+    within = F.coalesce(ref.eqNullSafe(cand) | (diff <= F.col("atol") + F.col("rtol") * F.abs(ref)), F.lit(False))
+    return pairs.groupBy("table", "column").agg(
+        F.count(F.lit(1)).alias("rows_compared"),
+        F.avg(diff).alias("mae"),
+        F.max(diff).alias("max_abs"),
+        F.sqrt(F.avg(diff * diff)).alias("rmse"),
+        F.max(relative).alias("max_rel"),
+        F.avg(within.cast("double")).alias("pass_rate"),
+        F.bool_and(within).alias("passed"),
     )
 
 

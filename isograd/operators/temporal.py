@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isograd.catalog import TIME, VARIABLES, Variable
@@ -17,27 +17,24 @@ HEAT_COLUMNS = ("frac_above_35c", "frac_above_40c")
 DAILY_METRICS = (*SERIES_MEANS, "t2m_c_max", "t2m_c_min", "net_rad", "reflected_solar")
 
 
-def daily_metrics(series: DataFrame, with_heat: bool = False) -> DataFrame:
+def daily_metrics(series: DataFrame, with_heat: bool = False, suffixes: Sequence[str] = ("",)) -> DataFrame:
     """Daily table of a step series: means, extremes of the mean temperature, derived radiation.
 
     Maximum and minimum are those of the regional means, not of single cells.
     ``with_heat`` adds the daily peaks of the heat fractions in the same
-    aggregation.
+    aggregation.  With ``suffixes`` the series holds several results side by
+    side, and so does the daily table.
     """
-    heat = [F.max(c).alias(c) for c in HEAT_COLUMNS] if with_heat else []
-    daily = series.groupBy(day_of(F.col(TIME)).alias("time")).agg(
-        *[F.avg(c).alias(c) for c in SERIES_MEANS],
-        F.max("t2m_c").alias("t2m_c_max"),
-        F.min("t2m_c").alias("t2m_c_min"),
-        *heat,
-    )
-    derived = daily.withColumns(
-        {
-            "net_rad": units.net_radiation(F.col("ssr"), F.col("str_nlw")),
-            "reflected_solar": units.reflected_solar(F.col("tisr"), F.col("tsr")),
-        }
-    )
-    return derived.select("time", *DAILY_METRICS, *(HEAT_COLUMNS if with_heat else ()))
+    means, derived = [], {}
+    for x in suffixes:
+        means += [F.avg(c + x).alias(c + x) for c in SERIES_MEANS]
+        means += [F.max("t2m_c" + x).alias("t2m_c_max" + x), F.min("t2m_c" + x).alias("t2m_c_min" + x)]
+        means += [F.max(c + x).alias(c + x) for c in HEAT_COLUMNS] if with_heat else []
+        derived["net_rad" + x] = units.net_radiation(F.col("ssr" + x), F.col("str_nlw" + x))
+        derived["reflected_solar" + x] = units.reflected_solar(F.col("tisr" + x), F.col("tsr" + x))
+    daily = series.groupBy(day_of(F.col(TIME)).alias("time")).agg(*means).withColumns(derived)
+    shown = (*DAILY_METRICS, *(HEAT_COLUMNS if with_heat else ()))
+    return daily.select("time", *[c + x for x in suffixes for c in shown])
 
 
 def daily_heat(series: DataFrame, columns: Sequence[str] = HEAT_COLUMNS) -> DataFrame:
@@ -74,18 +71,18 @@ def month_spine(df: DataFrame, key: str = "month") -> DataFrame:
     return months.join(df.withColumn(key, F.col(key).cast("int")), key, "left")
 
 
-def key_range(df: DataFrame, key: str) -> DataFrame:
-    """First and last key of a reduced table.
+def _with_gaps(df: DataFrame, key: str, following: Column, first: Column) -> DataFrame:
+    """Every row, and rows of nulls for the keys that are missing before the next one.
 
-    The extremes are taken over whole rows, key first.  Looking at the key
-    alone would prune the other columns, and a table that is used twice, here
-    and by the caller, would then be computed twice; whole rows let Spark serve
-    both uses from one shuffle.
+    ``following`` gives the keys from a row's own to the one before the next
+    row's, whose key is in ``_next``.  Looking at the next row needs no second
+    pass over the table.  The window is not partitioned: a table has at most
+    one row for each day, or month, of the calendar.
     """
-    row = F.struct(key, *[c for c in df.columns if c != key])
-    return df.agg(F.min(row).alias("first"), F.max(row).alias("last")).select(
-        F.col(f"first.{key}").alias("lo"), F.col(f"last.{key}").alias("hi")
-    )
+    after = F.lead(key).over(Window.orderBy(key))
+    spread = df.where(F.col(key).isNotNull()).withColumn("_next", after).withColumn("_key", F.explode(following))
+    own = first.eqNullSafe(F.col("_key"))
+    return spread.select(F.col("_key").alias(key), *[F.when(own, F.col(c)).alias(c) for c in df.columns if c != key])
 
 
 def fill_calendar(df: DataFrame, key: str = "time", zero: Sequence[str] = ()) -> DataFrame:
@@ -93,8 +90,8 @@ def fill_calendar(df: DataFrame, key: str = "time", zero: Sequence[str] = ()) ->
 
     Resampling a series produces such days, grouping by day does not.
     """
-    days = key_range(df, key).select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("_day"))
-    filled = days.join(df, F.col("_day").eqNullSafe(df[key]), "left").withColumn(key, F.col("_day")).drop("_day")
+    days = F.when(F.col("_next") > F.col(key), F.sequence(F.col(key), F.date_sub("_next", 1), F.expr("interval 1 day")))
+    filled = _with_gaps(df, key, F.coalesce(days, F.array(key)), F.col(key))
     return filled.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in zero}) if zero else filled
 
 
@@ -113,10 +110,9 @@ def calendar_month_agg(
     grouped = series.groupBy(month_end(F.col(time)).alias(time)).agg(
         *[(F.sum(v.name) if v.aggregate == "sum" else F.avg(v.name)).alias(v.name) for v in present]
     )
-    span = key_range(grouped, time)
-    starts = F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("interval 1 month"))
-    months = span.select(F.explode(F.transform(starts, F.last_day)).alias("_month"))
-    filled = months.join(grouped, F.col("_month").eqNullSafe(grouped[time]), "left").withColumn(time, F.col("_month"))
+    until = F.add_months(F.trunc("_next", "month"), -1)
+    starts = F.when(F.col("_next").isNotNull(), F.sequence(F.trunc(time, "month"), until, F.expr("interval 1 month")))
+    filled = _with_gaps(grouped, time, F.coalesce(F.transform(starts, F.last_day), F.array(time)), F.col(time))
     columns = []
     for v in present:
         value = F.coalesce(F.col(v.name), F.lit(0.0)) if v.aggregate == "sum" else F.col(v.name)

@@ -53,20 +53,23 @@ def with_ordinal(
     bucket: Callable[[Column], Column] = month_index,
     name: str = "ordinal",
     partition: Sequence[str] = (),
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Row number from 0 along a unique ``order``, in each ``partition``, without sorting a series in one task.
 
     ``bucket`` turns the order into a coarse key that grows with it, calendar
     months by default.  Rows are numbered inside their bucket; the running
     total of the bucket sizes, one row per series and calendar month, gives
-    each bucket its start.  Sizes are counted over whole rows (the last row of
-    a bucket names it) for the reason given in ``temporal.key_range``.  An
+    each bucket its start.  Sizes that were stored with the table (see
+    ``bucket_sizes``) are taken as they are; else they are counted, for cells
+    over their keys alone, so that no other column is read for it.  A series
+    without ``partition`` is a reduced table and is counted over whole rows,
+    so that Spark serves both uses from the one shuffle that reduced it.  An
     order that repeats in a series is an error.
     """
     own = bucket(F.col(order))
-    row = F.struct(order, *[c for c in df.columns if c != order])
-    sizes = df.groupBy(*partition, own).agg(F.count(F.lit(1)).alias("_n"), F.max(row).alias("_last"))
-    sizes = sizes.select(*partition, bucket(F.col(f"_last.{order}")).alias("_bucket"), "_n")
+    if sizes is None:
+        sizes = bucket_sizes(df, order, bucket, partition, whole=not partition)
     before = W.partitionBy(*partition).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(
         *[F.col(p).alias("_of_" + p) for p in partition], "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
@@ -83,6 +86,17 @@ def with_ordinal(
     )
 
 
+def bucket_sizes(
+    df: DataFrame, order: str, bucket: Callable[[Column], Column] = month_index, partition: Sequence[str] = (), whole: bool = False
+) -> DataFrame:
+    """``_bucket`` and its number of rows ``_n`` for every series; small enough to be stored beside a grid.
+
+    ``whole`` keeps all columns of the table in the count, by a digest.
+    """
+    n, seen = F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns)).isNull()
+    return df.groupBy(*partition, bucket(F.col(order)).alias("_bucket")).agg((F.when(seen, F.lit(0)).otherwise(n) if whole else n).alias("_n"))
+
+
 def _guarded_mean(column: str, window, min_periods: int) -> Column:
     c = F.col(column)
     return F.when(F.count(c).over(window) >= min_periods, F.avg(c).over(window))
@@ -98,6 +112,7 @@ def rolling_mean(
     partition: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
     bucket: Callable[[Column], Column] = month_index,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Mean over the rows ``-before .. +after``, null where fewer than ``min_periods`` are present.
 
@@ -111,7 +126,7 @@ def rolling_mean(
     o, size = F.col("_ordinal"), F.lit(block_rows)
     first = F.floor(F.greatest(o - after, F.lit(0)) / size)
     last = F.floor((o + before) / size)
-    numbered = with_ordinal(df, order, bucket, "_ordinal", partition)
+    numbered = with_ordinal(df, order, bucket, "_ordinal", partition, sizes)
     spread = numbered.withColumn("_block", F.explode(F.sequence(first, last)))
     w = W.partitionBy(*partition, "_block").orderBy("_ordinal").rowsBetween(-before, after)
     rolled = spread.withColumns({out: _guarded_mean(c, w, min_periods) for c, out in columns.items()})

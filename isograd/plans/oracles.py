@@ -193,6 +193,35 @@ def _oracles() -> dict[str, str]:
         " FROM gi JOIN gn USING (valid_time, latitude, longitude)"
         " FULL JOIN ga ON gi.valid_time = ga.valid_time AND gi.latitude = ga.latitude AND gi.longitude = ga.longitude"
     )
+    thick = "tcc > 0.9 AND gn.t2m IS NOT NULL"
+    q["open_conflicts"] = _with(GI, GN) + (
+        "SELECT valid_time, latitude, longitude, 't2m' AS variable, 'a' AS low_file, round(gi.t2m, 8) AS low_value, 'b' AS high_file,"
+        f" round(gn.t2m + 0.5, 8) AS high_value, 2 AS files FROM gi JOIN gn USING (valid_time, latitude, longitude, tcc) WHERE {thick}"
+    )
+    q["open_agreeing"] = _with(GI, GN) + (
+        "SELECT valid_time, latitude, longitude, round(gi.t2m, 8) AS t2m, round(tcc, 8) AS tcc"
+        f" FROM gi JOIN gn USING (valid_time, latitude, longitude, tcc) WHERE NOT ({thick})"
+    )
+    q["guarded_open"] = _with(GA) + (
+        "SELECT valid_time, latitude, longitude, " + ", ".join(f"round({v} / 21600, 8) AS {v}" for v in ("ssr", "str", "tisr", "tsr", "ttr")) + " FROM ga"
+    )
+    q["ordered_table"] = _with(*_DAILY) + "SELECT time, round(t2m_c, 8) AS t2m_c, true AS follows FROM daily"
+    q["distinct_months"] = _with(GI) + "SELECT DISTINCT date_trunc('month', valid_time)::TIMESTAMP AS month FROM gi"
+    facts = {
+        "temperature_summary.mean_t2m_c": "avg(t2m_c_mean)", "temperature_summary.max_t2m_c": "max(t2m_c_mean)",
+        "temperature_summary.min_t2m_c": "min(t2m_c_mean)", "pressure_summary.mean_sp_hpa": "avg(sp_hpa_mean)",
+        "precipitation_summary.mean_daily_tp_mm": "avg(tp_mm_total)", "precipitation_summary.total_tp_mm": "sum(tp_mm_total)",
+    }
+    first_only = {"correlations.temp_pressure": "corr(t2m_c_mean, sp_hpa_mean)", "range_c[0]": "min(t2m_c_mean)", "range_c[1]": "max(t2m_c_mean)"}
+    y = " FROM central WHERE year = (SELECT min(year) FROM central)"
+    told = " UNION ALL ".join(
+        [f"SELECT '{p}' AS path, (SELECT {x} FROM central) AS f, (SELECT {x}{y}) AS s, NULL AS status" for p, x in facts.items()]
+        + [f"SELECT '{p}', (SELECT {x} FROM central), NULL, 'first only'" for p, x in first_only.items()]
+    )
+    q["summary_diff"] = _with(*_CENTRAL, f"told AS ({told})") + (
+        "SELECT path, round(f, 8) AS first, round(s, 8) AS second, round(abs(f - s), 8) AS difference,"
+        " coalesce(status, CASE WHEN abs(f - s) <= 1e-6 THEN 'same' ELSE 'different' END) AS status FROM told"
+    )
     q["unpack_scale_offset"] = (
         f"WITH raw AS (SELECT {_K}, CASE WHEN event_type = 'error' THEN -32767"
         " ELSE CAST(round(value * 100) AS INTEGER) END AS raw FROM events)"
@@ -542,6 +571,17 @@ def _oracles() -> dict[str, str]:
         " CAST(1 AS DOUBLE) AS pass_rate, true AS passed"
         " FROM (VALUES ('balanced'), ('space_first')) a(l), (VALUES ('t2m_C'), ('tcc_fraction')) b(c)"
     )
+    q["layout_stored"] = _with(GI) + (
+        "SELECT name, valid_time, latitude, longitude, round(t2m, 8) AS t2m, round(tcc, 8) AS tcc FROM gi JOIN (VALUES"
+        " ('early', TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-08 12:00:00', 40, 20, 70, 85),"
+        " ('late', TIMESTAMP '2024-02-01', TIMESTAMP '2024-03-01', 35, 5, 65, 100),"
+        " ('point', TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-09', 30, 30, 80, 80)) a(name, t0, t1, n, s, w, e)"
+        " ON valid_time BETWEEN t0 AND t1 AND latitude BETWEEN s AND n AND longitude BETWEEN w AND e"
+    )
+    q["layout_exact"] = _with(GN) + (
+        "SELECT last_day(valid_time)::TIMESTAMP AS month, round(avg(t), 8) AS t2m, round(avg(c), 8) AS tcc, true AS same FROM"
+        f" (SELECT valid_time, {_wmean('t2m')} AS t, {_wmean('tcc')} AS c FROM gn GROUP BY 1) GROUP BY 1"
+    )
     q["layout_overlay"] = _with(
         GI,
         "mo AS (SELECT month(me) AS month, avg(v) AS v FROM (SELECT last_day(valid_time) AS me, avg(s) - 273.15 AS v FROM"

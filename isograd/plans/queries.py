@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,13 +15,13 @@ from isograd.catalog import COORDS, LATITUDE, LONGITUDE, REGIONS, TIME
 from isograd.functions import units
 from isograd.functions.calendar import epoch_to_ts, with_calendar
 from isograd.functions.columns import round_columns
-from isograd.operators import align, cells, compare, figures, layout, packed, partials, regions, select, spatial, summary, temporal, windows
+from isograd.operators import align, cells, compare, exact, figures, layout, packed, partials, regions, select, spatial, summary, temporal, windows
 from isograd.plans import testgrids as grids
 from isograd.plans.regional import region_and_global_means, regional_daily, sampled_regional_daily
 from isograd.session import shared_folder
 from isograd.sources import cells as stored_cells
 from isograd.sources import grid as source
-from isograd.sources import refresh, tables
+from isograd.sources import blocks, conflicts, documents, guards, refresh, tables
 
 SOUTH_ASIA, CENTRAL_INDIA = REGIONS["south_asia"], REGIONS["central_india"]
 COMPARED = ("t2m_c", "tcc", "ssr", "str_nlw", "net_rad")
@@ -83,13 +84,74 @@ def grid_scan(spark, sf):
     return report(source.as_grid(grids.instant(spark, sf), ["t2m"]))
 
 
+def _stored_parts(spark, parts: dict[str, DataFrame], name: str) -> list[str]:
+    root = scratch(spark, name)
+    for part, grid in parts.items():
+        grid.write.parquet(f"{root}/{part}")
+    return [f"{root}/{part}" for part in parts]
+
+
 def multi_open(spark, sf):
-    parts = [
-        grids.instant(spark, sf).select(*COORDS, "t2m"),
-        grids.instant_with_gaps(spark, sf),
-        grids.accum(spark, sf).select(*COORDS, "ssr"),
-    ]
-    return report(align.combine_grids(parts))
+    parts = {
+        "some": grids.instant(spark, sf).select(*COORDS, "t2m"),
+        "gaps": grids.instant_with_gaps(spark, sf),
+        "accum": grids.accum(spark, sf).select(*COORDS, "ssr"),
+    }
+    return report(source.read_grid_multi(spark, _stored_parts(spark, parts, "parts")))
+
+
+def open_conflicts(spark, sf):
+    """Two files that differ by half a degree under thick cloud, and a third that agrees with the first."""
+    gaps, thick = grids.instant_with_gaps(spark, sf), F.col("tcc") > 0.9
+    parts = {
+        "a": grids.instant(spark, sf),
+        "b": gaps.withColumn("t2m", F.when(thick, F.col("t2m") + 0.5).otherwise(F.col("t2m"))),
+        "c": grids.instant(spark, sf).select(*COORDS, "tcc"),
+    }
+    _, found = conflicts.open_conflicts(spark, _stored_parts(spark, parts, "conflicts"))
+    part = {c: F.regexp_extract(c, "/([^/]+)/[^/]+$", 1) for c in ("low_file", "high_file")}
+    return report(found.withColumns(part))
+
+
+def open_agreeing(spark, sf):
+    """The cells on which the same files agree."""
+    gaps, thick = grids.instant_with_gaps(spark, sf), F.col("tcc") > 0.9
+    parts = {"a": grids.instant(spark, sf), "b": gaps.withColumn("t2m", F.when(thick, F.col("t2m") + 0.5).otherwise(F.col("t2m")))}
+    agreed, _ = conflicts.open_conflicts(spark, _stored_parts(spark, parts, "agreeing"))
+    return report(agreed)
+
+
+def guarded_open(spark, sf):
+    """Of all catalogued variables those that a grid has, in their shown units; empty grids and missing columns are errors."""
+    grid = grids.accum(spark, sf)
+    names = guards.available(grid, catalog.VARIABLES)
+    checked = guards.require_nonempty(guards.require_columns(grid, [*COORDS, *names], "grid"), "grid")
+    return report(catalog.convert(source.as_grid(checked, names)))
+
+
+def summary_diff(spark, sf):
+    """Two written summaries, of all years and of the first, compared path by path."""
+    days = sampled_days(spark, sf)
+    whole = summary.sampled_summary(days).withColumn("range_c", F.array("temperature_summary.min_t2m_c", "temperature_summary.max_t2m_c"))
+    paths = [scratch(spark, f"summary-{i}") for i in "ab"]
+    tables.write_summary(whole, paths[0])
+    tables.write_summary(summary.sampled_summary(select.first_year(days)).drop("correlations"), paths[1])
+    a, b = (documents.read_document(spark, p) for p in paths)
+    return report(documents.document_diff(a, b, atol=1e-6).select("path", "first", "second", "difference", "status"))
+
+
+def ordered_table(spark, sf):
+    """A table written in an order and read back: whether each row follows the one before it in its file."""
+    path = scratch(spark, "ordered")
+    tables.write_table(daily(spark, sf).select("time", "t2m_c"), path, digits=8, format="parquet", sort="t2m_c")
+    placed = spark.read.parquet(path).withColumns({"file": F.input_file_name(), "row": F.monotonically_increasing_id()})
+    before = F.lag("t2m_c").over(Window.partitionBy("file").orderBy("row"))
+    return report(placed.select("time", "t2m_c", (before.isNull() | (before <= F.col("t2m_c"))).alias("follows")))
+
+
+def distinct_months(spark, sf):
+    months = grids.instant(spark, sf).select(F.trunc(F.col(TIME), "month").alias("month"))
+    return report(compare.distinct_sorted(months, "month"))
 
 
 def unpack_scale_offset(spark, sf):
@@ -464,33 +526,55 @@ def paired_on_time(spark, sf):
     return report(align.pair_on_time(plain_daily(spark, sf), daily(spark, sf), ["t2m_c", "tcc"]))
 
 
+def compared_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days from plain (``_a``) and weighted (``_b``) means side by side; heat without and with gaps.
+
+    Each source is scanned and reduced once, however many results are compared.
+    """
+    weight = spatial.latitude_weight()
+    inst = select.in_region(grids.instant_twice(spark, sf), SOUTH_ASIA)
+    inst = inst.select(TIME, weight.alias("w"), units.kelvin_to_c(F.col("t2m")).alias("t2m_c"), units.kelvin_to_c(F.col("t2m_gaps")).alias("gaps"), "tcc")
+    acc = spatial.accum_columns(select.in_region(grids.accum(spark, sf), SOUTH_ASIA)).withColumn("w", weight)
+
+    def means(columns) -> list:
+        plain = [F.avg(c).alias(f"{c}_a") for c in columns]
+        return plain + [spatial.weighted_mean(F.col(c), F.col("w")).alias(f"{c}_b") for c in columns]
+
+    heat = [
+        F.avg(units.heat_flag(F.col(c), limit)).alias(f"{name}_{side}") for name, limit in spatial.HEAT_THRESHOLDS.items() for side, c in (("a", "t2m_c"), ("b", "gaps"))
+    ]
+    steps = align.merge_on_keys(
+        [inst.groupBy(TIME).agg(*means(("t2m_c", "tcc")), *heat), acc.groupBy(TIME).agg(*means(("ssr", "str_nlw", "tisr", "tsr", "ttr")))], [TIME]
+    )
+    return temporal.daily_metrics(steps, with_heat=True, suffixes=("_a", "_b"))
+
+
 def consistency_daily(spark, sf):
-    return report(compare.consistency(plain_daily(spark, sf), daily(spark, sf), COMPARED))
+    return report(compare.difference_report(compare.side_by_side(compared_days(spark, sf), COMPARED, "metric")))
 
 
 def consistency_anomaly(spark, sf):
-    names = [c + "_anom" for c in COMPARED]
-    a = windows.anomaly(plain_daily(spark, sf), COMPARED)
-    b = windows.anomaly(daily(spark, sf), COMPARED)
-    return report(compare.consistency(a, b, names))
+    both = windows.anomaly(compared_days(spark, sf), [f"{c}_{side}" for c in COMPARED for side in "ab"])
+    pairs = compare.side_by_side(both, COMPARED, "metric", "_anom")
+    return report(compare.difference_report(pairs.withColumn("metric", F.concat("metric", F.lit("_anom")))))
 
 
 def _validation(spark, sf):
-    heat = select.in_region(grids.instant(spark, sf), SOUTH_ASIA)
-    gaps = select.in_region(grids.instant_with_gaps(spark, sf), SOUTH_ASIA)
-    a, b = (temporal.daily_heat(spatial.area_fraction(spatial.instant_columns(g))) for g in (heat, gaps))
-    return [
-        compare.compare_tables(plain_daily(spark, sf), daily(spark, sf), atol=0.5, rtol=1e-2, label="daily"),
-        compare.compare_tables(a, b, atol=0.02, rtol=1e-3, label="heat"),
-    ]
+    """Both checks from the same days; heat is compared on days that have temperatures."""
+    checks = (("daily", temporal.DAILY_METRICS, 0.5, 1e-2), ("heat", temporal.HEAT_COLUMNS, 0.02, 1e-3))
+    labels = {c: {"table": name, "atol": atol, "rtol": rtol} for name, columns, atol, rtol in checks for c in columns}
+    rows = [F.struct(F.col("time"), F.col("t2m_c_a").isNotNull().alias("warm"), *[F.lit(v).alias(k) for k, v in told.items()],
+                     F.lit(c).alias("column"), F.col(f"{c}_a").alias("a"), F.col(f"{c}_b").alias("b")) for c, told in labels.items()]
+    pairs = compared_days(spark, sf).select(F.inline(F.array(*rows)))
+    return pairs.where((F.col("table") == "daily") | F.col("warm"))
 
 
 def validation_metrics(spark, sf):
-    return report(align.stack(_validation(spark, sf)))
+    return report(compare.tolerance_report(_validation(spark, sf)))
 
 
 def validation_rollup(spark, sf):
-    rolled = compare.validation_rollup(align.stack(_validation(spark, sf)))
+    rolled = compare.validation_rollup(compare.tolerance_report(_validation(spark, sf)))
     return report(rolled.withColumn("tables", F.array_join("tables", ",")))
 
 
@@ -534,6 +618,32 @@ def layout_invariance(spark, sf):
     return report(layout.layout_invariance(cells, LAYOUTS, _months_of, TIME).select("table", "column", "rows_compared", "pass_rate", "passed"))
 
 
+def layout_stored(spark, sf):
+    """Cells of three asked boxes and spans, two of which overlap, from a grid stored by blocks."""
+    path = scratch(spark, "blocks")
+    blocks.write_blocks(grids.instant(spark, sf), AXES, f"{path}/grid", kt=40, ky=2, kx=2)
+    asked = blocks.store_asked(spark, ASKED_BOXES, f"{path}/asked")
+    return report(blocks.read_asked(blocks.read_blocks(spark, f"{path}/grid"), asked))
+
+
+#: name, first and last time, north, south, west, east
+ASKED_BOXES = [
+    ("early", datetime(2024, 1, 2), datetime(2024, 1, 8, 12), 40.0, 20.0, 70.0, 85.0),
+    ("late", datetime(2024, 2, 1), datetime(2024, 3, 1), 35.0, 5.0, 65.0, 100.0),
+    ("point", datetime(2024, 1, 5), datetime(2024, 1, 9), 30.0, 30.0, 80.0, 80.0),
+]
+
+
+def layout_exact(spark, sf):
+    """Months of exact means, and whether all layouts give them to the last bit."""
+
+    def months(df: DataFrame) -> DataFrame:
+        steps = exact.exact_spatial_mean(df, ["t2m", "tcc"]).withColumn("month", F.last_day(F.col(TIME)))
+        return exact.exact_means(exact.exact_sums(steps, {c: F.col(c) for c in ("t2m", "tcc")}, ["month"]), ["t2m", "tcc"], ["month"])
+
+    return report(exact.same_under_layouts(grids.instant_with_gaps(spark, sf), LAYOUTS, months, "month"))
+
+
 def layout_overlay(spark, sf):
     cells = grids.instant(spark, sf)
     results = {
@@ -545,7 +655,8 @@ def layout_overlay(spark, sf):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        grid_scan, multi_open, unpack_scale_offset, explode_grid, epoch_decode, csv_roundtrip, stored_grid, kept_daily, kept_refresh,
+        grid_scan, multi_open, open_conflicts, open_agreeing, guarded_open, unpack_scale_offset, explode_grid, epoch_decode, csv_roundtrip, stored_grid, kept_daily, kept_refresh,
+        summary_diff, ordered_table, distinct_months,
         region_filter, time_window, unit_convert, calendar_keys, first_year, grid_preview,
         merge_steps_outer, merge_steps_inner, merge_steps_indexed, merge_packed, pack_grid, daily_with_heat, common_keys, month_spine, daily_gap_filled,
         spatial_mean, weighted_mean, packed_means, packed_heat, heat_fraction, heat_fraction_present,
@@ -556,6 +667,6 @@ QUERIES: dict[str, Query] = {
         daily_anomaly, cell_anomaly, rolling15, rolling24, cell_rolling, month_ticks, month_vs_annual, minmax_scale,
         annual_cycle, monthly_energy, anomaly_relations, anomaly_sign_bands, monthly_anomaly, radiation_heatmap,
         paired_on_time, consistency_daily, consistency_anomaly, validation_metrics, validation_rollup, melted_daily,
-        layout_time_first, layout_balanced, layout_space_first, layout_invariance, layout_overlay,
+        layout_time_first, layout_balanced, layout_space_first, layout_invariance, layout_overlay, layout_stored, layout_exact,
     )
 }

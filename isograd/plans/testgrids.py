@@ -86,6 +86,14 @@ def instant_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def instant_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense instant grid with the temperature of both ``instant`` and ``instant_with_gaps``, from one scan."""
+    v = F.col("value")
+    warm = F.lit(293.15) + v / 10.0
+    gaps = F.when(F.col("event_type") != "error", warm)
+    return events(spark, sf_dir).select(*_dense_coords(F.col("event_id")), warm.alias("t2m"), gaps.alias("t2m_gaps"), ((v % 100.0) / 100.0).alias("tcc"))
+
+
 def accum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense accumulated grid in J m⁻²."""
     p = F.col("o_totalprice")

@@ -16,16 +16,20 @@ import json
 import os
 import time
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from isograd.catalog import ACCUM_VARIABLES, INSTANT_VARIABLES, LATITUDE, LONGITUDE, REGIONS, TIME
+from isograd.catalog import ACCUM_VARIABLES, GLOBAL_2024, INSTANT_VARIABLES, LATITUDE, LONGITUDE, REGIONS, TIME, Region
 from isograd.functions.calendar import epoch_to_ts
-from isograd.operators import align, summary, temporal, windows
+from isograd.operators import align, cells, exact, packed, regions, summary, temporal, windows
 from isograd.plans.pipelines import calendar_months
 from isograd.plans.queries import QUERIES
 from isograd.plans.regional import region_and_global_means, regional_daily
+from isograd.operators.select import in_region
+from isograd.operators.spatial import weighted_spatial_mean
 from isograd.session import local_session, shared_folder
+from isograd.sources.cells import read_cells, write_cells
 from isograd.sources.grid import read_grid, write_grid
 
 HEADLINE = (
@@ -34,6 +38,7 @@ HEADLINE = (
     "region_vs_global", "rolling24", "merge_steps_outer", "multi_open", "explode_grid", "validation_metrics",
     "consistency_anomaly", "layout_time_first", "layout_balanced", "layout_space_first", "layout_invariance",
     "radiation_heatmap", "grid_shape",
+    "merge_steps_indexed", "merge_packed", "packed_means", "pack_grid", "regions_daily", "kept_refresh", "layout_stored", "layout_exact",
     "cell_rolling", "csv_roundtrip", "stored_grid", "kept_daily", "cell_anomaly", "both_steps_means",
 )
 
@@ -67,7 +72,20 @@ def grid_work(spark, shape: tuple[int, int, int]) -> dict:
         return read_grid(spark, f"{root}/accum", ACCUM_VARIABLES)
 
     region = REGIONS["south_asia"]
+    for name, make in (("instant", instant), ("accum", accum)):
+        write_cells(make(), GLOBAL_2024, f"{root}/cells-{name}", 64)
+    held = [read_cells(spark, f"{root}/cells-{name}").cells for name in ("instant", "accum")]
+    axes = replace(GLOBAL_2024, lat_north=35.0, lon_west=65.0)
+    packed.pack_grid(instant(), ["t2m", "tcc"], axes, shape[1], shape[2]).write.parquet(f"{root}/packed")
+    arrays = spark.read.parquet(f"{root}/packed")
+    inner = {name: packed.Packed(name) for name in ("t2m", "tcc")}
+    boxes = {"whole": region, **{f"box {i}": Region(f"box {i}", 35.0 - i, 5.0 + i, 65.0 + i, 100.0 - i) for i in range(1, 4)}}
     return {
+        "merge_cells_stored": lambda: cells.merge_indexed(*held, checked=True),
+        "packed_means": lambda: packed.packed_means(arrays, inner, boxes["box 3"]),
+        "long_means": lambda: weighted_spatial_mean(in_region(instant(), boxes["box 3"]), ["t2m", "tcc"]),
+        "four_regions": lambda: regions.regions_series(instant(), GLOBAL_2024, boxes, ["t2m", "tcc"]),
+        "exact_means": lambda: exact.exact_spatial_mean(instant(), ["t2m", "tcc"]),
         "regional_daily": lambda: regional_daily(instant(), accum(), region),
         "monthly_climatology": lambda: temporal.monthly_climatology(regional_daily(instant(), accum(), region)),
         "daily_anomaly": lambda: windows.anomaly(regional_daily(instant(), accum(), region, with_heat=False)),

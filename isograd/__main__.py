@@ -34,6 +34,10 @@ def parser() -> argparse.ArgumentParser:
         help="re-lay the grid in blocks of this size before computing; by default the file splits are used",
     )
 
+    p.add_argument(
+        "--refresh", action="store_true", help="keep the step series by month of the input and read changed months only"
+    )
+
     p = add("sampled-region", "daily and seasonal tables of a sampled region", "instant", "accum", "out")
     p.add_argument("--region", choices=sorted(REGIONS), default="central_india")
     p.add_argument("--recompute", action="store_true")
@@ -56,6 +60,15 @@ def parser() -> argparse.ArgumentParser:
 
     add("consistency", "differences of two daily tables and their anomalies", "a", "b", "out")
 
+    add("regions", "daily and monthly tables of all known regions from one pass", "instant", "out")
+
+    p = add("merge", "both step types merged cell by cell, by way of stored cell tables", "instant", "accum", "out")
+    p.add_argument("--buckets", type=int, default=200)
+    p.add_argument("--how", choices=("full", "inner", "left"), default="full")
+
+    p = add("conflicts", "open grids as one and report where they disagree", "out")
+    p.add_argument("--grid", nargs="+", required=True)
+
     p = add("preview", "first rows of a grid")
     p.add_argument("--grid", required=True)
     p.add_argument("--rows", type=int, default=5)
@@ -69,7 +82,11 @@ def _blocks(df: DataFrame, sizes: list[int]) -> DataFrame:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"isograd {args.analysis}").getOrCreate()
-    if args.analysis == "region-year":
+    if args.analysis == "region-year" and args.refresh:
+        if args.sample_days or args.recompute or args.blocks:
+            raise SystemExit("--refresh takes the whole span as it is stored")
+        pipelines.region_year_refreshed(spark, args.instant, args.accum, args.out, REGIONS[args.region])
+    elif args.analysis == "region-year":
         tile = None if args.blocks is None else partial(_blocks, sizes=args.blocks)
         pipelines.region_year(
             spark, args.instant, args.accum, args.out, REGIONS[args.region],
@@ -94,6 +111,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.analysis == "consistency":
         for table in pipelines.check_consistency(spark, args.a, args.b, args.out):
             table.show(truncate=False)
+    elif args.analysis == "regions":
+        pipelines.all_regions(spark, args.instant, args.out)
+    elif args.analysis == "merge":
+        merged = pipelines.merge_stored(spark, args.instant, args.accum, args.out, buckets=args.buckets, how=args.how)
+        merged.write.mode("overwrite").parquet(f"{args.out}/merged")
+    elif args.analysis == "conflicts":
+        pipelines.report_conflicts(spark, args.grid, args.out).show(truncate=False)
     else:
         preview(read_grid(spark, args.grid), args.rows).show(truncate=False)
 

@@ -77,7 +77,6 @@ SAMPLED_ACCUM_VARIABLES = ("tp",)
 ACCUM_VARIABLES = ("ssr", "str", "tisr", "tsr", "ttr")
 
 
-
 @dataclass(frozen=True)
 class Dataset:
     """What a stored data set is called, which variables its step types hold, and the region studied."""
@@ -97,6 +96,43 @@ DATASETS = {
     ),
 }
 
+# What result tables and summaries are made of and compared on.
+
+CONSISTENCY_COLUMNS = ("t2m_c", "tcc", "ssr", "str_nlw", "net_rad")
+VALIDATION_TABLES = {
+    "daily_regional_means": ("daily", "time"),
+    "monthly_climatology": ("monthly", "month"),
+    "temperature_anomalies": ("anomaly", "time"),
+    "heat_extremes": ("heat", "time"),
+}
+
+SUMMARY_PARTS = {
+    "temperature": (
+        "annual_mean_c",
+        "annual_max_c",
+        "annual_min_c",
+        "days_with_any_area_above_35c",
+        "days_with_any_area_above_40c",
+        "peak_frac_above_35c_pct",
+        "hottest_month",
+    ),
+    "energy_budget": ("annual_mean_net_surface_rad_wm2", "peak_solar_month"),
+    "cloud_cover": ("annual_mean_pct", "peak_cloud_month"),
+}
+SUMMARY_DIGITS = {
+    "annual_mean_c": 2,
+    "annual_max_c": 2,
+    "annual_min_c": 2,
+    "peak_frac_above_35c_pct": 1,
+    "annual_mean_net_surface_rad_wm2": 2,
+    "annual_mean_pct": 1,
+}
+
+#: Blocks of steps, latitudes and longitudes of the layouts under which results are computed; an axis without a size is not cut.
+MONTH_BLOCKS = {"time_first": (24, None, None), "balanced": (120, 30, 30), "space_first": (None, 20, 20)}
+RUN_BLOCKS = {"time_heavy": (240, 120, 140), "balanced": (96, 80, 80), "tiny_chunks": (24, 30, 30)}
+STEP_BLOCKS = (4, 8, 16)
+
 # --- End of fixed values ----------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isograd.catalog import COORDS, LATITUDE, LONGITUDE, MONSOON_LABEL, OTHER_LABEL, TIME
+from isograd.catalog import COORDS, LATITUDE, LONGITUDE, MONSOON_LABEL, OTHER_LABEL, SUMMARY_DIGITS, SUMMARY_PARTS, TIME
 from isograd.functions.calendar import is_monsoon, month_label
 from isograd.functions.units import to_percent
 
@@ -130,29 +130,6 @@ def _annual(daily: DataFrame) -> DataFrame:
     )
 
 
-SUMMARY_PARTS = {
-    "temperature": (
-        "annual_mean_c",
-        "annual_max_c",
-        "annual_min_c",
-        "days_with_any_area_above_35c",
-        "days_with_any_area_above_40c",
-        "peak_frac_above_35c_pct",
-        "hottest_month",
-    ),
-    "energy_budget": ("annual_mean_net_surface_rad_wm2", "peak_solar_month"),
-    "cloud_cover": ("annual_mean_pct", "peak_cloud_month"),
-}
-SUMMARY_DIGITS = {
-    "annual_mean_c": 2,
-    "annual_max_c": 2,
-    "annual_min_c": 2,
-    "peak_frac_above_35c_pct": 1,
-    "annual_mean_net_surface_rad_wm2": 2,
-    "annual_mean_pct": 1,
-}
-
-
 def region_summary(daily: DataFrame, rounded: bool = True) -> DataFrame:
     """Summary of a region-year: number of days, then nested temperature, energy budget, cloud cover."""
 

@@ -16,33 +16,38 @@ from pyspark.sql import functions as F
 
 from isograd.catalog import (
     ACCUM_VARIABLES,
+    CONSISTENCY_COLUMNS,
+    COORDS,
     DATASETS,
     GLOBAL_2024,
     INSTANT_VARIABLES,
+    MONTH_BLOCKS,
     REGIONS,
+    RUN_BLOCKS,
+    STEP_BLOCKS,
     TIME,
+    VALIDATION_TABLES,
     VARIABLES,
     Dataset,
+    GridAxes,
     Region,
 )
 from isograd.functions import units
 from isograd.operators import align, compare, figures, layout, select, spatial, summary, temporal, windows
+from isograd.operators import cells as cells_by_position
+from isograd.operators import regions as every_region
 from isograd.operators.align import stack
 from isograd.plans.regional import region_and_global_means, regional_daily, sampled_regional_daily
-from isograd.sources.grid import read_grid, read_grid_multi
+from isograd.sources.cells import read_cells, write_cells
+from isograd.sources.conflicts import open_conflicts
+from isograd.sources.documents import document_diff, read_document
+from isograd.sources.grid import read_grid, read_grid_multi, write_grid
 from isograd.sources.guards import available, require_columns, require_nonempty
+from isograd.sources.refresh import refresh_months
 from isograd.sources.tables import Kept, kept_tables, read_time_table, unreadable, write_summary, write_table
 
 log = logging.getLogger(__name__)
 
-CONSISTENCY_COLUMNS = ("t2m_c", "tcc", "ssr", "str_nlw", "net_rad")
-VALIDATION_TABLES = {
-    "daily_regional_means": ("daily", "time"),
-    "monthly_climatology": ("monthly", "month"),
-    "temperature_anomalies": ("anomaly", "time"),
-    "heat_extremes": ("heat", "time"),
-}
-
 
 def _with_region(df: DataFrame, dataset: str, region: Region) -> DataFrame:
     box = F.struct(*[F.lit(getattr(region, f)).alias(f) for f in ("name", "north", "south", "west", "east")])
@@ -90,6 +95,17 @@ def region_year(
     kept = kept_tables(spark, f"{out}/kept", identity, compute, recompute)
     daily = kept.tables["daily"]
     require_columns(daily, temporal.HEAT_COLUMNS, "kept daily table")
+    _write_region(daily, out)
+    shape = _shape(kept.tables["grid_shape"], time_steps="time_steps", lat_points="latitudes", lon_points="longitudes")
+    document = windows.with_scalar(summary.region_summary(daily), shape, "grid_shape")
+    if days > 0:
+        document = windows.with_scalar(document, _sample(daily, days), "sample")
+    write_summary(_with_region(_with_source(document, kept), dataset.name, box), f"{out}/summary")
+    return daily
+
+
+def _write_region(daily: DataFrame, out: str) -> None:
+    """The tables that follow from the daily table of a region-year."""
     metrics = daily.select("time", *temporal.DAILY_METRICS)
     anomaly = windows.anomaly(metrics)
 
@@ -103,14 +119,98 @@ def region_year(
     write_table(figures.anomaly_relations(anomaly), f"{out}/anomaly_relations", sort="time")
     write_table(figures.monthly_anomaly(anomaly), f"{out}/monthly_anomaly", digits=6, sort="month")
 
-    shape = _shape(kept.tables["grid_shape"], time_steps="time_steps", lat_points="latitudes", lon_points="longitudes")
-    document = windows.with_scalar(summary.region_summary(daily), shape, "grid_shape")
-    if days > 0:
-        document = windows.with_scalar(document, _sample(daily, days), "sample")
-    write_summary(_with_region(_with_source(document, kept), dataset.name, box), f"{out}/summary")
+
+def region_year_refreshed(
+    spark: SparkSession,
+    instant_path: str,
+    accum_path: str,
+    out: str,
+    region: Region | None = None,
+    dataset: Dataset = DATASETS["south_asia_2024"],
+    step_seconds: int = units.STEP_SECONDS_6H,
+) -> DataFrame:
+    """The tables of ``region_year`` for grids stored by month that go on growing or are corrected.
+
+    The step series of the region is kept by month of the input.  Each call
+    reduces only months of which a file is new, gone or changed, and derives
+    days and all later tables from the kept series.  The summary names the
+    months that were read.
+    """
+    box = region or dataset.region
+    steps = {
+        "instant": (instant_path, spatial.instant_series),
+        "accum": (accum_path, lambda cells: spatial.accum_series(cells, step_seconds)),
+    }
+    series, read = [], []
+    for name, (path, reduce_fn) in steps.items():
+
+        def rows(cells: DataFrame, reduce_fn=reduce_fn) -> DataFrame:
+            return reduce_fn(select.in_region(cells, box)).withColumns({"year": F.year(TIME), "month": F.month(TIME)})
+
+        identity = {"analysis": "region-series", "step_type": name, "region": box, "step_seconds": step_seconds}
+        found = refresh_months(spark, path, f"{out}/series/{name}", rows, identity)
+        series.append(found.partials.drop("year", "month"))
+        read.append(F.array(*[F.lit(f"{y}-{m:02d}") for y, m in found.computed]).cast("array<string>").alias(name))
+    steps_kept = align.merge_on_keys(series, [TIME])
+    require_nonempty(steps_kept, f"region {box.name}")
+    write_table(temporal.fill_calendar(temporal.daily_metrics(steps_kept, with_heat=True)), f"{out}/daily_kept", digits=None, format="parquet")
+    daily = spark.read.parquet(f"{out}/daily_kept")
+    _write_region(daily, out)
+    shape = steps_kept.agg(F.struct(F.count(F.lit(1)).alias("time_steps")).alias("grid_shape"))
+    document = windows.with_scalar(summary.region_summary(daily), shape, "grid_shape").withColumn("months_read", F.struct(*read))
+    write_summary(_with_region(document, dataset.name, box), f"{out}/summary")
     return daily
 
 
+def all_regions(
+    spark: SparkSession,
+    instant_path: str,
+    out: str,
+    regions: Mapping[str, Region] = REGIONS,
+    axes: GridAxes = GLOBAL_2024,
+) -> DataFrame:
+    """Daily temperature, cloud cover and heat extremes of every region, and their months, from one pass over the grid."""
+    grid = read_grid(spark, instant_path, INSTANT_VARIABLES)
+    cells = grid.select(*COORDS, units.kelvin_to_c(F.col("t2m")).alias("t2m_c"), "tcc")
+    hot = {name: ("t2m_c", limit) for name, limit in spatial.HEAT_THRESHOLDS.items()}
+    series = every_region.regions_series(cells, axes, regions, ["t2m_c", "tcc"], hot)
+    every_region.regions_daily(series, ["t2m_c", "tcc"], list(hot)).write.mode("overwrite").partitionBy("region").parquet(f"{out}/daily")
+    daily = spark.read.parquet(f"{out}/daily")
+    names = [c for c in daily.columns if c not in ("region", "time")]
+    monthly = daily.groupBy("region", F.month("time").alias("month")).agg(*[F.avg(c).alias(c) for c in names])
+    write_table(monthly.orderBy("region", "month"), f"{out}/monthly")
+    return daily
+
+
+def merge_stored(
+    spark: SparkSession, instant_path: str, accum_path: str, out: str, axes: GridAxes = GLOBAL_2024, buckets: int = 200, how: str = "full"
+) -> DataFrame:
+    """Both step types stored by cell, once, and merged without a shuffle.
+
+    Cell tables already under ``out`` are used as they are.
+    """
+    held = []
+    for name, path in (("instant", instant_path), ("accum", accum_path)):
+        place = f"{out}/cells/{name}"
+        try:
+            held.append(read_cells(spark, place))
+        except AnalysisException as problem:
+            if not unreadable(problem):
+                raise
+            write_cells(read_grid(spark, path), axes, place, buckets)
+            held.append(read_cells(spark, place))
+    merged = cells_by_position.merge_indexed(held[0].cells, held[1].cells, how, checked=True)
+    return cells_by_position.unsnap(merged, held[0].axes)
+
+
+def report_conflicts(spark: SparkSession, paths: Sequence[str], out: str, variables: Sequence[str] | None = None) -> DataFrame:
+    """Open grids as one: the agreeing cells, filed by month, and a table of the others with the files that disagree."""
+    agreed, found = open_conflicts(spark, paths, variables)
+    write_grid(agreed, f"{out}/grid", mode="overwrite")
+    found.write.mode("overwrite").parquet(f"{out}/conflicts")
+    return spark.read.parquet(f"{out}/conflicts")
+
+
 def _sample(daily: DataFrame, days: int) -> DataFrame:
     """Rows, days asked for, and temperature of a sample run, as one struct."""
     t = F.col("t2m_c")
@@ -160,27 +260,25 @@ def sampled_region(
     return daily
 
 
+def _tiled(axes: GridAxes, steps: int | None, lats: int | None, lons: int | None) -> layout.Layout:
+    if lats is None:
+        return lambda df: layout.tile_time(df, axes, steps)
+    return (lambda df: layout.tile_space(df, axes, lats, lons)) if steps is None else (lambda df: layout.tile_blocks(df, axes, steps, lats, lons))
+
+
 def month_layouts(axes=GLOBAL_2024) -> dict[str, layout.Layout]:
     """The three layouts the monthly aggregation is run under."""
-    return {
-        "time_first": lambda df: layout.tile_time(df, axes, 24),
-        "balanced": lambda df: layout.tile_blocks(df, axes, 120, 30, 30),
-        "space_first": lambda df: layout.tile_space(df, axes, 20, 20),
-    }
+    return {name: _tiled(axes, *size) for name, size in MONTH_BLOCKS.items()}
 
 
-def step_layouts(axes=GLOBAL_2024, sizes: Sequence[int] = (4, 8, 16)) -> dict[str, layout.Layout]:
+def step_layouts(axes=GLOBAL_2024, sizes: Sequence[int] = STEP_BLOCKS) -> dict[str, layout.Layout]:
     """Time-first layouts of different block lengths."""
     return {f"time_{k}": (lambda df, k=k: layout.tile_time(df, axes, k)) for k in sizes}
 
 
 def run_layouts(axes=GLOBAL_2024) -> dict[str, layout.Layout]:
     """Block shapes the regional pipeline is timed under."""
-    return {
-        "time_heavy": lambda df: layout.tile_blocks(df, axes, 240, 120, 140),
-        "balanced": lambda df: layout.tile_blocks(df, axes, 96, 80, 80),
-        "tiny_chunks": lambda df: layout.tile_blocks(df, axes, 24, 30, 30),
-    }
+    return {name: _tiled(axes, *size) for name, size in RUN_BLOCKS.items()}
 
 
 def calendar_months(*grids: DataFrame) -> DataFrame:
@@ -270,7 +368,8 @@ def validate(
     """Compare the result tables of two runs.
 
     Tables missing on either side are skipped and listed in the summary; any
-    other failure is raised.
+    other failure is raised.  If both runs have a summary, these are compared
+    path by path too.
     """
     reports, skipped = [], []
     for label, (name, key) in tables.items():
@@ -290,6 +389,14 @@ def validate(
     report = stack(reports)
     write_table(report.orderBy("table", "column"), f"{out}/validation", digits=None)
     kept = spark.read.csv(f"{out}/validation", header=True, schema=report.schema)
+    try:
+        documents = [read_document(spark, f"{d}/summary") for d in (reference_dir, candidate_dir)]
+    except AnalysisException as problem:
+        if not unreadable(problem):
+            raise
+        skipped.append("summary")
+    else:
+        write_table(document_diff(*documents, atol, rtol).orderBy("path"), f"{out}/summary_diff", digits=None)
     tolerances = F.struct(F.lit(atol).alias("atol"), F.lit(rtol).alias("rtol")).alias("tolerances")
     left_out = F.array(*[F.lit(name) for name in skipped]).cast("array<string>").alias("skipped")
     write_summary(compare.validation_rollup(kept).select(tolerances, "*", left_out), f"{out}/validation_summary")

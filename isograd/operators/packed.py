@@ -181,17 +181,21 @@ def explode_packed(packed: DataFrame, variables: Mapping[str, Packed]) -> DataFr
     )
 
 
-def _dense(entries: Column, size: Column, kind: T.DataType, error: Column) -> Column:
-    """An array of ``size`` from ordered (place, value) entries; other places are null, a repeated one is an error."""
+def _dense(cells: str, field: str, size: Column, kind: T.DataType, error: Column) -> Column:
+    """An array of ``size`` with the ``field`` of cells ordered by their place ``p``; other places are null, a repeated one is an error.
+
+    The column of cells is named, not given as an expression, so that looking
+    at the cell before costs one step.
+    """
     none = F.lit(None).cast(kind)
 
-    def run(entry: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.get(entries, i - 1)["p"]).otherwise(F.lit(-1).cast("long"))
-        gap = F.when(entry["p"] > before, entry["p"] - before - 1).otherwise(error.cast("long"))
-        return F.concat(F.array_repeat(none, gap.cast("int")), F.array(entry["v"]))
+    def run(cell: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(cells, i - 1)["p"]).otherwise(F.lit(-1).cast("long"))
+        gap = F.when(cell["p"] > before, cell["p"] - before - 1).otherwise(error.cast("long"))
+        return F.concat(F.array_repeat(none, gap.cast("int")), F.array(cell[field]))
 
-    last = F.coalesce(F.get(entries, F.size(entries) - 1)["p"], F.lit(-1).cast("long"))
-    return F.concat(F.flatten(F.transform(entries, run)), F.array_repeat(none, (size - 1 - last).cast("int")))
+    last = F.coalesce(F.get(cells, F.size(cells) - 1)["p"], F.lit(-1).cast("long"))
+    return F.concat(F.flatten(F.transform(cells, run)), F.array_repeat(none, (size - 1 - last).cast("int")))
 
 
 def pack_grid(
@@ -223,15 +227,13 @@ def pack_grid(
     )
     # nulls are not collected, so the frame adds blocks, not cells
     grouped = placed.unionAll(frame).groupBy("step", "block").agg(F.collect_list("cell").alias("cells"))
-    by_place = F.array_sort("cells", lambda x, y: F.signum(x["p"] - y["p"]).cast("int"))
-    ordered = grouped.withColumn("cells", by_place)
+    ordered = grouped.withColumn("cells", F.sort_array("cells"))  # structs are ordered by their first field, the place
     first = F.col("block") * height
     line = F.least(first + height, F.lit(rows)) - first
     error = F.raise_error(F.concat(F.lit("a cell occurs more than once in step "), F.col("step").cast("string")))
 
     def values(c: str) -> Column:
-        entries = F.transform("cells", lambda e: F.struct(e["p"].alias("p"), e[c].alias("v")))
-        return _dense(entries, line * columns, grid.schema[c].dataType, error).alias(c)
+        return _dense("cells", c, line * columns, grid.schema[c].dataType, error).alias(c)
 
     latitudes = F.transform(F.sequence(first, first + line - 1), lambda r: F.lit(axes.lat_north) - r * F.lit(axes.lat_step))
     longitudes = F.transform(F.sequence(F.lit(0), F.lit(columns - 1)), lambda x: F.lit(axes.lon_west) + x * F.lit(axes.lon_step))

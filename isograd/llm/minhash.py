@@ -5,7 +5,10 @@ rate is its weight; an arrival falls into one of the registers, and a register
 keeps the element that came first.  A text stops when no further arrival can
 come before the latest register.  Two texts agree in a register with their
 probability Jaccard similarity.  Runs of registers are bands; texts that share
-a band are candidates.
+a band are candidates.  ``BANDS`` bands are of weights that grow with the
+number of times a text repeats a shingle; ``UNIT_BANDS`` more, with arrivals of
+their own, are of equal weights, so that texts which repeat their common
+shingles unequally are found by their plain similarity.
 
 Links are exact: the Jaccard similarity of the distinct shingles is computed
 for candidate pairs and must reach ``similarity``.  Equal texts are gathered
@@ -33,12 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isograd.llm.components import components
-from isograd.llm.storage import stored
+from isograd.llm.storage import free_names, stored
 from isograd.llm.text import Spans, mix, ngrams, pieces, words
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS = 28
+BANDS = 12
+UNIT_BANDS = 20
 ROWS = 5
 FEW = 16
 
@@ -64,13 +68,13 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WORDS) -> tuple
     return (key >> np.uint64(_VALUE_BITS)).astype(np.int64), key & np.uint64((1 << _VALUE_BITS) - 1), times
 
 
-def signatures(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int, registers: int) -> np.ndarray:
-    """The element that came first in every register of every text (0 for texts without elements)."""
+def signatures(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int, registers: int, salt: int = 0) -> np.ndarray:
+    """The element that came first in every register of every text (0 for texts without elements); another salt, other arrivals."""
     first = np.full(docs * registers, np.inf)
     winner = np.zeros(docs * registers, dtype=np.uint64)
     latest = np.full(docs, np.inf)
     time = np.zeros(len(doc))
-    seed = mix(value + np.uint64(1))
+    seed = mix(value + np.uint64(1 + (salt << 48)))
     round_ = 0
     while len(doc):
         round_ += 1
@@ -89,16 +93,23 @@ def signatures(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int
     return winner.reshape(docs, registers)
 
 
-def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key for each band of each text."""
+def band_keys(signature: np.ndarray, bands: int, rows: int, first: int = 0) -> np.ndarray:
+    """One 64-bit key for each band of each text; bands are numbered from ``first``."""
     parts = signature.reshape(len(signature), bands, rows)
-    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), parts.shape[:2]).copy()
+    key = np.broadcast_to(np.arange(first + 1, first + bands + 1, dtype=np.uint64), parts.shape[:2]).copy()
     for r in range(rows):
         key = mix(key * np.uint64(0xD6E8FEB86659FD93) + parts[:, :, r])
     return key.view(np.int64)
 
 
-def _banded(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
+def all_band_keys(doc: np.ndarray, value: np.ndarray, times: np.ndarray, docs: int, bands: int, unit_bands: int, rows: int) -> np.ndarray:
+    """Keys of the weighted bands, then of those of equal weights."""
+    weighted = band_keys(signatures(doc, value, 1 + np.log(times), docs, bands * rows), bands, rows)
+    unit = band_keys(signatures(doc, value, np.ones(len(doc)), docs, unit_bands * rows, 1), unit_bands, rows, bands)
+    return np.concatenate([weighted, unit], axis=1)
+
+
+def _banded(docs: DataFrame, width: int, bands: int, unit_bands: int, rows: int) -> DataFrame:
     """``k``, ``d``, and the band keys of every text with a word (null otherwise)."""
     schema = T.StructType([*docs.select("k", "d").schema.fields, T.StructField("bands", T.ArrayType(T.LongType()))])
 
@@ -107,9 +118,9 @@ def _banded(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
             for part, data, offsets in pieces(batch, "t", _PIECE):
                 n = len(offsets) - 1
                 doc, value, times = shingles(data, offsets, width)
-                keys = band_keys(signatures(doc, value, 1 + np.log(times), n, bands * rows), bands, rows)
+                keys = all_band_keys(doc, value, times, n, bands, unit_bands, rows)
                 full = np.bincount(doc, minlength=n) > 0
-                ends = np.concatenate([[0], np.cumsum(np.where(full, bands, 0))])
+                ends = np.concatenate([[0], np.cumsum(np.where(full, bands + unit_bands, 0))])
                 lists = pa.ListArray.from_arrays(
                     pa.array(ends.astype(np.int32), mask=np.concatenate([~full, [False]])), pa.array(keys[full].reshape(-1))
                 )
@@ -200,11 +211,12 @@ def classes(
     similarity: float = SIMILARITY,
     width: int = WORDS,
     bands: int = BANDS,
+    unit_bands: int = UNIT_BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
     """One row for each row of ``docs``: ``key`` (a long) and ``class_id``, the least key of its class."""
     own = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).withColumn("d", F.md5(F.coalesce("t", F.lit(""))))
-    marked = stored(_banded(own, width, bands, rows), "bands")
+    marked = stored(_banded(own, width, bands, unit_bands, rows), "bands")
 
     distinct = marked.where("k IS NOT NULL AND bands IS NOT NULL").groupBy("d").agg(F.min("k").alias("id"), F.first("bands").alias("bands"))
     member = distinct.select(F.explode("bands").alias("band"), "id")
@@ -278,6 +290,7 @@ def classes(
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose key is their class; of rows that are equal in key and text, one; rows without a key all stay."""
-    kept = classes(docs, key, text, **options).where(F.col(key) == F.col("class_id")).select(F.col(key).alias("__class")).distinct()
-    chosen = docs.join(kept, F.col(key).cast("long") == F.col("__class"), "left_semi").dropDuplicates([key, text])
+    (class_,) = free_names(docs.columns, "__class")
+    kept = classes(docs, key, text, **options).where(F.col(key) == F.col("class_id")).select(F.col(key).alias(class_)).distinct()
+    chosen = docs.join(kept, F.col(key).cast("long") == F.col(class_), "left_semi").dropDuplicates([key, text])
     return chosen.unionAll(docs.where(F.col(key).isNull()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,5 +22,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, longer by underscores where a column (in any case) has one already."""
+    taken = {c.lower() for c in columns}
+
+    def free(name: str) -> str:
+        while name.lower() in taken:
+            name += "_"
+        return name
+
+    return [free(n) for n in names]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

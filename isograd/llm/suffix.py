@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from isograd.llm.columnwise import later_copies
-from isograd.llm.storage import shuffle_partitions, stored
+from isograd.llm.storage import free_names, shuffle_partitions, stored
 from isograd.llm.text import Spans, mix, pieces, repeats
 
 WIDTH = 100
@@ -187,9 +187,9 @@ def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: i
         + [T.StructField("body", T.BinaryType())]
     )
     arrow = to_arrow_schema(schema)
-    lists = asked.groupBy("k", "h").agg(F.collect_list(F.struct("p", "n", "bucket")).alias("__asked"))
-    both = docs.join(lists.select(F.col("k").alias("__k2"), F.col("h").alias("__h2"), "__asked"), (F.col("__k") == F.col("__k2")) & (F.col("__h") == F.col("__h2")))
-    both = both.drop("__k2", "__h2")
+    k_, h_ = docs.columns[-2:]
+    lists = asked.groupBy("k", "h").agg(F.collect_list(F.struct("p", "n", "bucket")).alias("asked"))
+    both = docs.alias("d").join(lists.alias("l"), (F.col(f"d.`{k_}`") == F.col("l.k")) & (F.col(f"d.`{h_}`") == F.col("l.h"))).select("d.*", "l.asked")
 
     def batch_of(bucket, k, h, p, n, body):
         values = [bucket, k, h, p, n, body]
@@ -297,17 +297,15 @@ def dedup_substrings(
     shards = buckets = 2 * shuffle_partitions(spark)
     rest = docs.drop(into)
     rank = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
-    whole = rest.withColumns({"__k": rank, "__h": F.xxhash64(text)})
+    k_, h_ = free_names(rest.columns, "__k", "__h")
+    whole = rest.withColumns({k_: rank, h_: F.xxhash64(text)})
     own = rest.select(rank.alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
     met = stored(_met(_sent(own, width, gram, shards), buckets, hot), "pieces")
     marks = met.where("kind = 1").select("k", "h", "p", "n")
     compared = _compared(_pieces(whole, text, met.where("kind = 2"), width, buckets), width)
-    lists = marks.unionAll(compared).groupBy("k", "h").agg(F.collect_list(F.struct("p", "n")).alias("__marks"))
-    both = whole.join(
-        lists.select(F.col("k").alias("__k2"), F.col("h").alias("__h2"), "__marks"),
-        (F.col("__k") == F.col("__k2")) & (F.col("__h") == F.col("__h2")),
-        "left",
-    ).drop("__k2", "__h2")
+    lists = marks.unionAll(compared).groupBy("k", "h").agg(F.collect_list(F.struct("p", "n")).alias("marks"))
+    same = (F.col(f"d.`{k_}`") == F.col("l.k")) & (F.col(f"d.`{h_}`") == F.col("l.h"))
+    both = whole.alias("d").join(lists.alias("l"), same, "left").select("d.*", "l.marks")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     fields = T.StructType(
         [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]

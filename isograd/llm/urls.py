@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isograd.llm.storage import stored
+from isograd.llm.storage import free_names, stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -154,25 +154,26 @@ def filter_urls(
     ``rules`` gives the verdict, block or allow, of each ``host/path``; the
     longest that fits wins.  Where none fits, the model's probability decides.
     """
-    host_, path_ = F.col("__url.host"), F.col("__url.path")
+    url_, rule_, score_ = free_names(pages.columns, "__url", "__rule", "__score")
+    host_, path_ = F.col(f"{url_}.host"), F.col(f"{url_}.path")
     rule = F.lit(None).cast("string")
     for name in sorted(rules, key=lambda r: (len(r), r)):
         rule = F.when(rule_fits(host_, path_, name), F.lit(name)).otherwise(rule)
     verdict = F.lit(None).cast("string")
     for name, says in rules.items():
-        verdict = F.when(F.col("__rule") == name, F.lit(says)).otherwise(verdict)
+        verdict = F.when(F.col(rule_) == name, F.lit(says)).otherwise(verdict)
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-_margin(ngram_buckets(host_, path_, len(weights) - 1, lengths), weights)))
     rest = pages.drop(into)
     judged = (
-        rest.withColumn("__url", F.struct(host(F.col(url)).alias("host"), path(F.col(url)).alias("path")))
-        .withColumn("__rule", rule)
-        .withColumn("__score", score)
+        rest.withColumn(url_, F.struct(host(F.col(url)).alias("host"), path(F.col(url)).alias("path")))
+        .withColumn(rule_, rule)
+        .withColumn(score_, score)
     )
-    by_model = F.when(F.col("__score") >= limit, F.lit("block")).otherwise(F.lit("allow"))
+    by_model = F.when(F.col(score_) >= limit, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
         *rest.columns,
         F.struct(
-            host_.alias("host"), path_.alias("path"), F.col("__rule").alias("rule"), F.coalesce(verdict, by_model).alias("verdict"),
-            F.col("__score").alias("score"),
+            host_.alias("host"), path_.alias("path"), F.col(rule_).alias("rule"), F.coalesce(verdict, by_model).alias("verdict"),
+            F.col(score_).alias("score"),
         ).alias(into),
     )

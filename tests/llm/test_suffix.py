@@ -133,6 +133,14 @@ def test_slices_of_very_long_texts_agree(monkeypatch):
     assert covered(whole) == covered(sliced) == list(range(len(data) - suffix.WIDTH + 1))
 
 
+def test_columns_may_have_any_name(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text, "a", "b", "c", "d"), (2, "x " + text, "a", "b", "c", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __k string, __H string, __marks string, marks string")
+    got = {r.doc_id: r for r in suffix.dedup_substrings(docs).collect()}
+    assert got[1].dedup.n_removed == 0 and bytes(got[2].dedup.kept) == b"x " and got[2].marks == "d" and got[2]["__k"] == "a"
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.dedup_substrings(docs).collect() == []

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from isograd.llm import decontaminate, minhash, packing, quality, suffix
 from isograd.llm.queries import table, tokenizer_path
-from isograd.llm.storage import stored
+from isograd.llm.storage import free_names, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +32,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the characters of passages that occurred before; ``n_chars`` is counted anew."""
-    found = suffix.dedup_substrings(docs, into="__dedup", characters=True)
-    text = F.when(F.col("text").isNotNull(), F.col("__dedup.kept").cast("string"))
-    changed = F.col("__dedup.n_removed") > 0
+    (dedup,) = free_names(docs.columns, "__dedup")
+    found = suffix.dedup_substrings(docs, into=dedup, characters=True)
+    text = F.when(F.col("text").isNotNull(), F.col(f"{dedup}.kept").cast("string"))
+    changed = F.col(f"{dedup}.n_removed") > 0
     return found.withColumns(
         {"text": F.when(changed, text).otherwise(F.col("text")), "n_chars": F.when(changed, F.length(text)).otherwise(F.col("n_chars"))}
     ).select(*docs.columns)

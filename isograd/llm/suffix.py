@@ -188,8 +188,9 @@ def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: i
     )
     arrow = to_arrow_schema(schema)
     k_, h_ = docs.columns[-2:]
+    (asked_,) = free_names(docs.columns, "__asked")
     lists = asked.groupBy("k", "h").agg(F.collect_list(F.struct("p", "n", "bucket")).alias("asked"))
-    both = docs.alias("d").join(lists.alias("l"), (F.col(f"d.`{k_}`") == F.col("l.k")) & (F.col(f"d.`{h_}`") == F.col("l.h"))).select("d.*", "l.asked")
+    both = docs.alias("d").join(lists.alias("l"), (F.col(f"d.`{k_}`") == F.col("l.k")) & (F.col(f"d.`{h_}`") == F.col("l.h"))).select("d.*", F.col("l.asked").alias(asked_))
 
     def batch_of(bucket, k, h, p, n, body):
         values = [bucket, k, h, p, n, body]
@@ -297,7 +298,7 @@ def dedup_substrings(
     shards = buckets = 2 * shuffle_partitions(spark)
     rest = docs.drop(into)
     rank = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
-    k_, h_ = free_names(rest.columns, "__k", "__h")
+    k_, h_, marks_ = free_names(rest.columns, "__k", "__h", "__marks")
     whole = rest.withColumns({k_: rank, h_: F.xxhash64(text)})
     own = rest.select(rank.alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
     met = stored(_met(_sent(own, width, gram, shards), buckets, hot), "pieces")
@@ -305,7 +306,7 @@ def dedup_substrings(
     compared = _compared(_pieces(whole, text, met.where("kind = 2"), width, buckets), width)
     lists = marks.unionAll(compared).groupBy("k", "h").agg(F.collect_list(F.struct("p", "n")).alias("marks"))
     same = (F.col(f"d.`{k_}`") == F.col("l.k")) & (F.col(f"d.`{h_}`") == F.col("l.h"))
-    both = whole.alias("d").join(lists.alias("l"), same, "left").select("d.*", "l.marks")
+    both = whole.alias("d").join(lists.alias("l"), same, "left").select("d.*", F.col("l.marks").alias(marks_))
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     fields = T.StructType(
         [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]

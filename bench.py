@@ -38,7 +38,7 @@ HEADLINE = (
     "region_vs_global", "rolling24", "merge_steps_outer", "multi_open", "explode_grid", "validation_metrics",
     "consistency_anomaly", "layout_time_first", "layout_balanced", "layout_space_first", "layout_invariance",
     "radiation_heatmap", "grid_shape",
-    "merge_steps_indexed", "merge_packed", "packed_means", "pack_grid", "regions_daily", "kept_refresh", "layout_stored", "layout_exact",
+    "merge_packed", "packed_means", "regions_daily", "layout_exact",
     "cell_rolling", "csv_roundtrip", "stored_grid", "kept_daily", "cell_anomaly", "both_steps_means",
 )
 

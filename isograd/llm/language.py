@@ -8,8 +8,10 @@ sample, give the cross-entropy; the least one wins.
 Automata become one table of transitions in which a missing transition
 already leads to where the next phrase stands and says how many phrases it
 ends, so numpy moves thousands of places of many texts one byte ahead at a
-time.  Texts are parsed whole, in blocks of ``BLOCK`` bytes: a phrase also
-ends where its block ends.
+time.  Long texts are read in blocks of ``BLOCK`` bytes side by side, first as
+if a phrase began with each block; then every block is read again from the
+state that the block before it leaves, up to where both readings agree.  So
+the phrases are those of the whole text, whatever the size of a block.
 
 Only the sample is gathered, at most ``docs_per_language`` excerpts of
 ``excerpt`` bytes for each language.  A table holds at most ``MAX_LANGUAGES``
@@ -39,6 +41,7 @@ DOCS_PER_LANGUAGE = 160
 EXCERPT = 256
 BLOCK = 512
 MAX_LANGUAGES = 40
+_ROUNDS = 4
 
 #: Bytes are folded: letters to lower case, digits together, white space together, other ASCII together.
 _FOLD = np.full(256, ord("."), dtype=np.uint8)
@@ -130,22 +133,72 @@ class Model:
         size = np.diff(offsets)
         blocks = -(-size // block)
         doc = np.repeat(np.arange(len(size)), blocks)
+        if not len(doc) or not len(self.roots):
+            return np.zeros((len(self.roots), len(size)))
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         start = offsets[doc] + nth * block
         length = np.minimum(block, offsets[doc + 1] - start)
-        order = np.argsort(-length, kind="stable")
-        start, length, doc = start[order], length[order], doc[order]
         codes = self.symbol[data].astype(self.table.dtype)
-        active = np.searchsorted(-length, -np.arange(1, block + 1), side="right")
-        state = np.repeat(self.roots[:, None], len(doc), axis=1)
-        count = np.zeros(state.shape, dtype=np.int64)
-        for step in range(int(length[0]) if len(length) else 0):
-            k = active[step]
-            entry = self.table.take(state[:, :k] + codes[start[:k] + step])
-            count[:, :k] += entry & 3
+        count, end = self._guess(codes, start, length)
+        begin = np.repeat(self.roots[:, None], len(doc), axis=1)
+        self._mend(codes, start, length, nth > 0, begin, end, count)
+        last = np.flatnonzero(np.append(doc[1:] != doc[:-1], True))
+        count[:, last] += end[:, last] != self.roots[:, None]
+        return np.stack([np.bincount(doc, weights=c, minlength=len(size)) for c in count])
+
+    def _guess(self, codes: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases ended in every block and the state behind it, each block read as if a phrase began with it."""
+        order = np.argsort(-length, kind="stable")
+        at, size = start[order], length[order]
+        active = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), side="right")
+        state = np.repeat(self.roots[:, None], len(order), axis=1)
+        ended = np.zeros(state.shape, dtype=np.int64)
+        for step, k in enumerate(active.tolist()):
+            entry = self.table.take(state[:, :k] + codes[at[:k] + step])
+            ended[:, :k] += entry & 3
             state[:, :k] = entry >> 2
-        count += state != self.roots[:, None]
-        return np.stack([np.bincount(doc, weights=c, minlength=len(size)) for c in count]) if len(count) else np.zeros((0, len(size)))
+        count, end = np.empty_like(ended), np.empty_like(state)
+        count[:, order], end[:, order] = ended, state
+        return count, end
+
+    def _mend(self, codes, start, length, inner, begin, end, count) -> None:
+        """Read blocks again from the state in which the block before them ends, as far as that makes a difference.
+
+        The old reading and the new one go on side by side until they stand in
+        the same state.  Where that takes more than ``_ROUNDS`` blocks, as in a
+        text of one repeated letter, the rest is read byte by byte.
+        """
+        within = np.flatnonzero(inner)
+        for _ in range(_ROUNDS):
+            of, at = np.nonzero(begin[:, within] != end[:, within - 1])
+            if not len(of):
+                return
+            at = within[at]
+            old, new = begin[of, at], end[of, at - 1]
+            begin[of, at] = new
+            more, lane, step = np.zeros(len(of), dtype=np.int64), np.arange(len(of)), 0
+            while len(lane):
+                code = codes[start[at[lane]] + step]
+                before, after = self.table.take(old + code), self.table.take(new + code)
+                more[lane] += (after & 3).astype(np.int64) - (before & 3)
+                old, new, step = before >> 2, after >> 2, step + 1
+                done = length[at[lane]] == step
+                end[of[lane[done]], at[lane[done]]] = new[done]
+                on = ~done & (old != new)
+                lane, old, new = lane[on], old[on], new[on]
+            count[of, at] += more
+        table = memoryview(self.table)
+        for i in range(len(begin)):
+            for b in within[begin[i, within] != end[i, within - 1]].tolist():
+                while b < len(start) and inner[b] and begin[i, b] != end[i, b - 1]:
+                    begin[i, b] = state = int(end[i, b - 1])
+                    ended = 0
+                    for code in codes[start[b] : start[b] + length[b]].tolist():
+                        entry = table[state + code]
+                        ended += entry & 3
+                        state = entry >> 2
+                    count[i, b], end[i, b] = ended, state
+                    b += 1
 
     def bits_per_byte(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Cross-entropy of every text against every language."""

@@ -21,28 +21,39 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def plain_phrases(text: bytes, sample: list[bytes], block: int) -> int:
+def plain_phrases(text: bytes, sample: list[bytes]) -> int:
     fold = lambda b: bytes(lg._FOLD[np.frombuffer(b, np.uint8)])
-    known, text, count = [fold(s) for s in sample], fold(text), 0
-    for base in range(0, len(text), block):
-        part, at = text[base : base + block], 0
-        while at < len(part):
-            size = 1
-            while at + size < len(part) and any(part[at : at + size + 1] in s for s in known):
-                size += 1
-            at += size
-            count += 1
+    known, text, count, at = [fold(s) for s in sample], fold(text), 0, 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and any(text[at : at + size + 1] in s for s in known):
+            size += 1
+        at += size
+        count += 1
     return count
 
 
-def test_phrases_are_longest_matches():
-    samples = {"en": [b"the cat sat on the mat", b"a dog and the cat"], "fr": ["le chat était là".encode(), b"un chien et le chat"]}
+@pytest.mark.parametrize("block", [1, 3, 16, 512])
+def test_phrases_are_longest_matches_across_blocks(block):
+    samples = {"en": [b"the cat sat on the mat", b"a dog and the cat aaaaa"], "fr": ["le chat était là".encode(), b"un chien et le chat"]}
     model = lg.Model(samples)
-    texts = [b"the cat and the dog", "le chien était là, ZZ the".encode(), b"", b"qqq", b"The Cat 12 sat!" * 9]
+    texts = [b"the cat and the dog", "le chien était là, ZZ the".encode(), b"", b"qqq", b"The Cat 12 sat!" * 9, b"the cat sat on the mat" * 60]
+    texts += [b"a" * 1701, b"za" + b"a" * 700, b"dog" * 555 + b"cat", b"t", b""]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    got = model.phrases(np.frombuffer(b"".join(texts), np.uint8), offsets, block=16)
+    got = model.phrases(np.frombuffer(b"".join(texts), np.uint8), offsets, block=block)
     for row, lang in zip(got, model.languages, strict=True):
-        assert row.tolist() == [plain_phrases(t, samples[lang], 16) for t in texts]
+        assert row.tolist() == [plain_phrases(t, samples[lang]) for t in texts]
+
+
+def test_phrases_of_whole_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    samples = lg.sample(docs, "doc_id", "text", "lang", per_language=6)
+    texts = [(r.text or "").encode() for r in docs.orderBy("doc_id").limit(40).collect()]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    model = lg.Model(samples)
+    got = model.phrases(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    for row, lang in zip(got, model.languages, strict=True):
+        assert row.tolist() == [plain_phrases(t, samples[lang]) for t in texts]
 
 
 def test_language_is_found_on_held_out_documents(spark, sf_dir):

@@ -3,10 +3,12 @@
 States are the n-grams of the training texts, without bound on their number.
 An arc reads a word that followed the state's words in training; where there
 is none, a failure arc leads to the state that is one word shorter and costs
-the weight that smoothing leaves to it.  The state before a word is the
-longest known run of the words before it.  These words alone decide it, so it
-is not carried along: every place of a text is judged by itself, and the
-logarithms add up to the probability of the text, as if read left to right.
+the weight that smoothing leaves to it.  A text is read once from left to
+right: it carries its state, the longest known run of the words before, and
+adds up the logarithms of the weights.  All texts of a block advance by one
+word at a time.  A long text is read in segments side by side: as order - 1
+words alone decide a state, a segment enters the automaton that many words
+early, without words, and has its state when its own words begin.
 
 Smoothing is by a Dirichlet prior: after words h, a word w has probability
 ``(c(hw) + strength * p(w after the shorter h)) / (c(h) + strength)``; without
@@ -16,7 +18,8 @@ The automaton grows with the corpus and is never in one place.  Documents are
 dealt to blocks of bounded bytes by a hash.  A block sends its distinct
 n-grams, packed, with their counts in its training texts, to shards of the
 hash range; shards add up and answer each block in its own order; the block
-then builds its part of the automaton and scores its texts.  A word that a
+then builds its part of the automaton and scores its texts.  Numbers of blocks,
+shards and partitions follow the bytes of the texts, so no task grows with them.  A word that a
 third of all tokens repeat is one number from each block.  N-grams are told
 apart by 64-bit hashes.
 
@@ -40,6 +43,8 @@ from isograd.llm.text import Spans, mix, pieces, words
 ORDER = 2
 STRENGTH = 2.0
 BLOCK_BYTES = 12 << 20
+SHARD_BYTES = 16 << 20
+SEGMENT = 256
 _FLUSH = 3_000_000
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -109,19 +114,19 @@ def _shard_cuts(keys: np.ndarray, shards: int) -> list[tuple[int, int, int]]:
 
 
 def vocabulary(docs: DataFrame, shards: int) -> dict[str, int]:
-    """Over all rows (``t``, ``out``): bytes; over the training ones: tokens, texts, and distinct tokens."""
+    """Of the training rows (``t``, ``out``): tokens, texts, and distinct tokens."""
     schema = T.StructType(
         [T.StructField("shard", T.IntegerType()), T.StructField("words", T.BinaryType())]
-        + [T.StructField(c, T.LongType()) for c in ("tokens", "texts", "bytes")]
+        + [T.StructField(c, T.LongType()) for c in ("tokens", "texts")]
     )
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        held, size, sums = [], 0, [0, 0, 0]
+        held, size, sums = [], 0, [0, 0]
 
         def flush():
             keys = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
-            rows = [(i, _steps(keys[a:b]), 0, 0, 0) for i, a, b in _shard_cuts(keys, shards)] + [(0, None, *sums)]
+            rows = [(i, _steps(keys[a:b]), 0, 0) for i, a, b in _shard_cuts(keys, shards)] + [(0, None, *sums)]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
         for batch in batches:
@@ -132,19 +137,19 @@ def vocabulary(docs: DataFrame, shards: int) -> dict[str, int]:
                 used = train[text[last]]
                 held.append(np.unique(unigrams[used]))
                 size += len(held[-1])
-                sums = [sums[0] + int(used.sum()), sums[1] + int(train.sum()), sums[2] + len(data)]
+                sums = [sums[0] + int(used.sum()), sums[1] + int(train.sum())]
                 if size > _FLUSH:
                     yield flush()
-                    held, size, sums = [], 0, [0, 0, 0]
+                    held, size, sums = [], 0, [0, 0]
         yield flush()
 
     def distinct(group: pa.Table) -> pa.Table:
         keys = [_keys(x.as_py()) for x in group.column("words") if x.is_valid]
         n = len(np.unique(np.concatenate(keys))) if keys else 0
-        sums = [int(sum(group.column(c).to_pylist())) for c in ("tokens", "texts", "bytes")]
-        return pa.table([pa.array([v], pa.int64()) for v in (n, *sums)], names=["distinct", "tokens", "texts", "bytes"])
+        sums = [int(sum(group.column(c).to_pylist())) for c in ("tokens", "texts")]
+        return pa.table([pa.array([v], pa.int64()) for v in (n, *sums)], names=["distinct", "tokens", "texts"])
 
-    found = docs.select("t", "out").mapInArrow(run, schema).groupBy("shard").applyInArrow(distinct, "distinct long, tokens long, texts long, bytes long")
+    found = docs.select("t", "out").mapInArrow(run, schema).repartition(shards, "shard").groupBy("shard").applyInArrow(distinct, "distinct long, tokens long, texts long")
     row = found.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in found.columns]).first()
     return row.asDict()
 
@@ -153,46 +158,71 @@ class Automaton:
     """The part of the automaton that a block of texts can reach.
 
     ``levels`` are the n-grams of the block (see :func:`grams`), ``known`` the
-    training counts of the distinct keys of all levels.
+    training counts of the distinct keys of all levels.  A state is the run of
+    ``m`` tokens that ends before a place; its arc there is the run of ``m + 1``
+    tokens that ends at the place.
     """
 
     def __init__(self, levels, at: list[np.ndarray], known: np.ndarray, strength: float, total: int, types: int, texts: int, size: int):
-        self.levels, self.at, self.known = levels, at, known
-        unigram = at[0]
-        count = known[unigram]
-        shorter = (count + 1.0) / (total + types + 1.0)
-        self.base = np.log10(shorter)
+        self.order, self.texts = len(levels), texts
+        self.places = levels[0][1]
+        count = known[at[0]]
+        value = np.ones(size)  # smoothed probability of the token at a place, after the runs so far
+        value[self.places] = (count + 1.0) / (total + types + 1.0)
         context = np.full(size, texts, dtype=np.int64)  # counts of the state by place; a start was seen once in each text
-        context[levels[0][1]] = count
-        #: For each length: whether an arc reads the token, its weight, and the weight of the failure arc instead.
-        self.arcs = [(np.ones(len(count), dtype=bool), self.base, None)]
-        place_of = np.full(size, -1, dtype=np.int64)
-        place_of[levels[0][1]] = np.arange(len(count))
-        value = shorter
-        for (_, last), index in zip(levels[1:], at[1:], strict=True):
+        context[self.places] = count
+        #: By length of the state and place: whether an arc reads the token, its weight, and the weight of the failure arc.
+        self.has_arc = np.zeros((self.order, size), dtype=bool)
+        self.has_arc[0] = True
+        self.arc = np.zeros((self.order, size))
+        np.log10(value, out=self.arc[0])
+        self.failure = np.zeros((self.order, size))
+        self.seen = np.zeros(size, dtype=bool)
+        self.seen[self.places] = count > 0
+        for m, ((_, last), index) in enumerate(zip(levels[1:], at[1:], strict=True), start=1):
             count, before = known[index], context[last - 1]
-            smoothed = (count + strength * value[place_of[last]]) / (before + strength)
-            self.arcs.append((count > 0, np.log10(smoothed), np.log10(strength / (before + strength))))
-            value = value.copy()
-            value[place_of[last]] = smoothed
+            value[last] = (count + strength * value[last]) / (before + strength)
+            self.has_arc[m, last] = count > 0
+            self.arc[m, last] = np.log10(value[last])
+            self.failure[m, last] = np.log10(strength / (before + strength))
             context = np.zeros(size, dtype=np.int64)
             context[last] = count
-        self.place_of = place_of
-
-    def read(self) -> np.ndarray:
-        """Log10 probability of every token: failure arcs from the longest state to the first with an arc, then the arc."""
-        score = np.zeros(len(self.base))
-        open_ = np.ones(len(self.base), dtype=bool)
-        for (_, last), (has_arc, arc, failure) in zip(self.levels[::-1], self.arcs[::-1], strict=True):
-            here = self.place_of[last]
-            ask = open_[here]
-            take = ask & has_arc
-            score[here[take]] += arc[take]
-            if failure is not None:
-                fall = ask & ~has_arc
-                score[here[fall]] += failure[fall]
-            open_[here[take]] = False
-        return score
+        self.base = self.arc[0][self.places]
+
+    def read(self, segment: int = SEGMENT) -> np.ndarray:
+        """Log10 probability of every token, read from left to right."""
+        size, longest = self.arc.shape[1], self.order - 1
+        segment = max(segment, longest, 1)
+        token = np.zeros(size + 1, dtype=bool)
+        token[self.places] = True
+        begin = np.flatnonzero(~token)  # the start of every text, and the end of all
+        tokens_, begin = np.diff(begin) - 1, begin[:-1]
+        runs = -(-tokens_ // segment)
+        text = np.repeat(np.arange(len(begin)), runs)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
+        early = np.where(nth > 0, longest, 0)
+        first = begin[text] + 1 + nth * segment
+        stop = np.minimum(first + segment, begin[text] + 1 + tokens_[text])
+        at = first - early
+        order = np.argsort(at - stop, kind="stable")
+        at, early, steps = at[order], early[order], (stop - at)[order]
+        state = np.where(early > 0, 0, min(longest, int(self.texts > 0)))  # a text begins behind its start
+        active = np.searchsorted(-steps, -np.arange(1, int(steps[0]) + 1), side="right") if len(steps) else np.zeros(0, np.int64)
+        has_arc, arc, failure = self.has_arc.reshape(-1), self.arc.reshape(-1), self.failure.reshape(-1)
+        score = np.zeros(size)
+        for step, k in enumerate(active.tolist()):
+            place, m = at[:k] + step, state[:k]
+            cost = np.zeros(k)
+            for _ in range(longest):
+                here = m * size + place
+                fall = ~has_arc[here]
+                cost += np.where(fall, failure[here], 0.0)
+                m = m - fall
+            cost += arc[m * size + place]
+            state[:k] = np.where((m > 0) | self.seen[place], np.minimum(m + 1, longest), 0)
+            own = early[:k] <= step
+            score[place[own]] = cost[own]
+        return score[self.places]
 
 
 def score(
@@ -203,6 +233,7 @@ def score(
     order: int = ORDER,
     strength: float = STRENGTH,
     block_bytes: int = BLOCK_BYTES,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """One row for each row of ``docs``; rows where ``out`` holds take no part in training.
 
@@ -210,30 +241,33 @@ def score(
     ``base_score`` (of the plain unigram model) and ``score``.
     """
     own = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.coalesce(out, F.lit(False)).alias("out"))
-    shards = 2 * shuffle_partitions(docs.sparkSession)
+    size = own.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("bytes")).first()["bytes"]
+    least = shuffle_partitions(docs.sparkSession)
+    shards = max(2 * least, -(-size // shard_bytes))
+    blocks = -(-size // block_bytes) + 1
     seen = vocabulary(own, shards)
     total, types, texts = seen["tokens"], seen["distinct"], seen["texts"]
-    blocks = -(-seen["bytes"] // block_bytes) + 1
-    dealt = own.withColumn("block", F.pmod(F.xxhash64("k", "t"), F.lit(blocks)))
+    dealt = own.withColumn("block", F.pmod(F.xxhash64("k", "t"), F.lit(blocks))).repartition(max(least, blocks), "block")
 
     def of_block(group: pa.Table):
-        rows, parts, texts_ = group.combine_chunks().to_batches()[0], [], 0
-        for part, data, offsets in pieces(rows, "t"):
-            hashes, text_, is_start = tokens(data, offsets)
-            parts.append((hashes, text_ + texts_, is_start))
-            texts_ += part.num_rows
+        parts, texts_ = [], 0
+        for batch in group.to_batches():
+            for part, data, offsets in pieces(batch, "t"):
+                hashes, text_, is_start = tokens(data, offsets)
+                parts.append((hashes, text_ + texts_, is_start))
+                texts_ += part.num_rows
         hashes, text_, is_start = map(np.concatenate, zip(*parts, strict=True))
         levels = grams(hashes, text_, is_start, order)
         keys, at = np.unique(np.concatenate([g for g, _ in levels]), return_inverse=True)
-        return rows, hashes, text_, levels, keys, np.split(at, np.cumsum([len(g) for g, _ in levels])[:-1])
+        return hashes, text_, levels, keys, np.split(at, np.cumsum([len(g) for g, _ in levels])[:-1])
 
     def ask(group: pa.Table) -> pa.Table:
-        rows, _, text_, levels, keys, at = of_block(group)
-        train = ~rows.column(rows.schema.get_field_index("out")).to_numpy(zero_copy_only=False).astype(bool)
+        _, text_, levels, keys, at = of_block(group)
+        train = ~group.column("out").to_numpy().astype(bool)
         used = np.concatenate([train[text_[last]] for _, last in levels])
         count = np.bincount(np.concatenate(at)[used], minlength=len(keys)).astype(np.uint32)
         cuts = _shard_cuts(keys, shards)
-        block = rows.column(rows.schema.get_field_index("block"))[0].as_py()
+        block = group.column("block")[0].as_py()
         return pa.table(
             [
                 pa.array([i for i, _, _ in cuts], pa.int32()), pa.array([block] * len(cuts), pa.int64()),
@@ -262,19 +296,20 @@ def score(
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return to_arrow_schema(schema).empty_table()
-        rows, hashes, text_, levels, _, at = of_block(left)
+        hashes, text_, levels, _, at = of_block(left)
         by_shard = sorted(zip(right.column("shard").to_pylist(), right.column("known").to_pylist(), strict=True))
         known = np.concatenate([_from_planes(x, np.uint64) for _, x in by_shard]).astype(np.int64)
         machine = Automaton(levels, at, known, strength, total, types, texts, len(hashes))
-        of, n = text_[levels[0][1]], rows.num_rows
+        of, n = text_[machine.places], left.num_rows
         sums = [np.bincount(of, weights=w, minlength=n) for w in (None, known[at[0]] > 0, machine.base, machine.read())]
-        held = [rows.column(rows.schema.get_field_index(c)) for c in ("k", "out")]
+        held = [left.column(c) for c in ("k", "out")]
         values = [*held, pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3])]
         return pa.table(values, names=names)
 
     asked = dealt.groupBy("block").applyInArrow(ask, "shard int, block long, grams binary, counts binary")
-    answers = asked.groupBy("shard").applyInArrow(answer, "block long, shard int, known binary")
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(read, schema)
+    answers = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(answer, "block long, shard int, known binary")
+    there = answers.repartition(max(least, blocks), "block")
+    scored = dealt.groupBy("block").cogroup(there.groupBy("block")).applyInArrow(read, schema)
     return scored.select(
         F.col("k").alias(key), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -135,6 +135,34 @@ def test_scores_match_the_definition(spark, sf_dir, order):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=1e-5) and a[6] == pytest.approx(b[6], abs=1e-5)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_segments_of_a_text_change_nothing(order):
+    rng = np.random.default_rng(order)
+    texts = [" ".join(rng.choice(["a", "b", "c", "dd", "e"], n)).encode() for n in (0, 1, 2, 7, 40, 41, 400)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    hashes, text, is_start = lm.tokens(data, offsets)
+    levels = lm.grams(hashes, text, is_start, order)
+    keys, at = np.unique(np.concatenate([g for g, _ in levels]), return_inverse=True)
+    parts = np.split(at, np.cumsum([len(g) for g, _ in levels])[:-1])
+    train = text < 6
+    used = np.concatenate([train[text[last]] for _, last in levels])
+    known = np.bincount(at[used], minlength=len(keys))
+    machine = lm.Automaton(levels, parts, known, 2.0, 500, 6, 6, len(hashes))
+    whole = machine.read(10_000)
+    assert len(whole) == sum(len(t.split()) + 1 for t in texts)
+    for segment in (1, 2, 5, 64):
+        assert machine.read(segment).tolist() == whole.tolist()
+
+
+def test_scores_do_not_depend_on_blocks_and_shards(spark):
+    rows = [(i, f"w{i % 3} w{i % 5} x w{i % 7}") for i in range(60)] + [(60, "w1 x w2 " * 900), (61, None), (61, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    key = lambda df: sorted((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in df.collect())
+    few = key(lm.score(docs, lm.held_out(docs["doc_id"]), order=3))
+    many = key(lm.score(docs, lm.held_out(docs["doc_id"]), order=3, block_bytes=100, shard_bytes=300))
+    assert len(few) == len(rows) and few == many
+
+
 def test_scores_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score(docs, lm.held_out(docs["doc_id"])).collect() == []

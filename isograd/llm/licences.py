@@ -6,13 +6,19 @@ family with rule-made variations, and from paragraphs of the documents as
 unknown text, at most ``background`` of them.  A temperature fitted on notices
 held out from training calibrates its probabilities.  A prediction counts only
 if a template of the predicted family confirms it: enough of the template's
-word pairs occur in the paragraph, at least two of them.  Paragraphs that
+word pairs occur in the paragraph, at least two of them, and one of these is
+in no other family's templates.  Other licences that are confirmed in the same
+paragraph are listed too.  Paragraphs that
 reserve all rights or forbid copying are notices too; as they grant no licence,
 they are listed as ``restrictions``, not among ``families``.  A line that only
 names an owner and a year is none.
 
-A paragraph is a line of a text.  Only n-grams seen in training have weights;
-they are found by hash, so a batch of megabytes is judged by numpy at once.
+A paragraph is a line of a text, or a run of up to ``WRAP`` lines without a
+blank one between them, for notices broken into lines: shorter runs go first,
+then earlier ones, and a line that a judged run holds is in no other.  The
+templates are compared first, by hashes of word pairs with numpy on megabytes
+at a time, and the classifier judges what one of them confirms.
+``n_paragraphs`` counts lines with a word.
 Judging is one pass without a shuffle; the model's size depends on its
 templates and on ``background`` alone.
 
@@ -34,6 +40,7 @@ NGRAMS = (1, 2, 3)
 BACKGROUND = 600
 EXCERPT = 400
 CONFIRM = 0.5
+WRAP = 4
 UNKNOWN = "unknown"
 
 # Common notices of licence families.
@@ -89,6 +96,15 @@ TEMPLATES = {
         "Dedicated to the public domain under CC0 1.0 Universal",
         "The author has waived all copyright and related rights under the CC0 public domain dedication",
     ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Licensed under the ISC License",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain",
+        "SPDX-License-Identifier: Unlicense",
+    ],
     "Proprietary": [
         "All rights reserved",
         "Copyright (c) 2020 the company. All rights reserved",
@@ -155,11 +171,16 @@ def paragraph_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return begin, np.searchsorted(offsets, begin, side="right") - 1, found
 
 
-def _grams_of(texts: list[str]) -> list[np.ndarray]:
-    """Distinct n-grams of each text, read as one paragraph."""
+def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of one line each, as bytes and offsets."""
     held = [t.replace("\n", " ").encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in held])]).astype(np.int64)
-    begin, doc, found = paragraph_grams(np.frombuffer(b"".join(held), dtype=np.uint8), offsets)
+    return np.frombuffer(b"".join(held), dtype=np.uint8), offsets
+
+
+def _grams_of(texts: list[str]) -> list[np.ndarray]:
+    """Distinct n-grams of each text, read as one paragraph."""
+    _, doc, found = paragraph_grams(*_joined(texts))
     value, at = np.concatenate([v for v, _ in found]), np.concatenate([doc[p] for _, p in found])
     return [np.unique(value[at == i]) for i in range(len(texts))]
 
@@ -199,13 +220,21 @@ class Classifier:
             scale += slope**2
             self.weights -= rate * slope / np.sqrt(scale)
         self.temperature = self._calibrated(check)
-        self.templates = []
-        for label, notices in enumerate(TEMPLATES.values()):
-            for notice in notices:
-                _, _, found = paragraph_grams(np.frombuffer(notice.encode(), dtype=np.uint8), np.array([0, len(notice.encode())]))
-                self.templates.append((label, np.unique(found[1][0])))
+        self._compare_with([(label, notice) for label, notices in enumerate(TEMPLATES.values()) for notice in notices])
+
+    def _compare_with(self, notices: list[tuple[int, str]]) -> None:
+        """Word pairs of all templates, ascending, with the templates that hold each and whether it tells a family."""
+        held = [(label, np.unique(paragraph_grams(*_joined([notice]))[2][1][0])) for label, notice in notices]
+        self.label_of = np.array([label for label, _ in held])
+        self.size_of = np.array([len(pairs) for _, pairs in held])
+        pair, template = np.concatenate([pairs for _, pairs in held]), np.repeat(np.arange(len(held)), self.size_of)
+        order = np.argsort(pair, kind="stable")
+        self.pairs, first = np.unique(pair[order], return_index=True)
+        self.templates, self.first = template[order], np.append(first, len(pair))
+        families = np.unique(np.stack([np.searchsorted(self.pairs, pair), self.label_of[template]], axis=1), axis=0)[:, 0]
+        self.telling = np.bincount(families, minlength=len(self.pairs)) == 1
         self.sieve = np.zeros(1 << 20, dtype=bool)
-        self.sieve[(self.keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        self.sieve[(self.pairs & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
@@ -227,40 +256,87 @@ class Classifier:
         loss = [-np.log(self._softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in tried]
         return float(tried[int(np.argmin(loss))])
 
-    def scan(self, data: np.ndarray, offsets: np.ndarray, confirm: float = CONFIRM) -> dict[str, list]:
-        begin, doc, found = paragraph_grams(data, offsets)
+    def chances(self, texts: list[bytes]) -> np.ndarray:
+        """Probability of every family for texts that are one paragraph each."""
+        _, paragraph, found = paragraph_grams(*_joined([t.decode("utf-8", "replace") for t in texts]))
+        key, of = np.concatenate([v for v, _ in found]), np.concatenate([paragraph[p] for _, p in found])
+        place = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        right = self.keys[place] == key
+        seen = np.unique(np.stack([of[right], place[right]], axis=1), axis=0)  # an n-gram counts once
+        z = [np.bincount(seen[:, 0], weights=self.weights[seen[:, 1], c], minlength=len(texts)) for c in range(len(self.families))]
+        return self._softmax((np.stack(z, axis=1) + self.weights[-1]) / self.temperature)
+
+    def scan(self, data: np.ndarray, offsets: np.ndarray, confirm: float = CONFIRM, wrap: int = WRAP) -> dict[str, list]:
         docs = len(offsets) - 1
+        folded = _FOLDED[data]
+        starts, ends, _ = words(folded, offsets, _BLANK)
+        begins = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
+        used, line = np.unique(np.searchsorted(begins, starts, side="right") - 1, return_inverse=True)
+        doc = np.searchsorted(offsets, begins[used], side="right") - 1
+        stops = np.append(begins[1:], len(data))[used]
+        stops -= (stops > begins[used]) & (data[stops - 1] == 10) if len(used) else 0
+        new = np.append(True, (np.diff(used) > 1) | (np.diff(doc) > 0))[: len(used)]
+        block = np.cumsum(new) - 1
         out = {"n_paragraphs": np.bincount(doc, minlength=docs), "notices": [[] for _ in range(docs)]}
-        key, paragraph = np.concatenate([v for v, _ in found]), np.concatenate([p for _, p in found])
-        hit = np.flatnonzero(self.sieve[(key & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.keys, key[hit]), len(self.keys) - 1)
-        right = self.keys[place] == key[hit]
-        pairs = np.unique(np.stack([paragraph[hit[right]], place[right]], axis=1), axis=0)  # an n-gram counts once
-        if len(pairs):
-            asked, row = np.unique(pairs[:, 0], return_inverse=True)
-            z = np.stack([np.bincount(row, weights=self.weights[pairs[:, 1], c], minlength=len(asked)) for c in range(len(self.families))], axis=1)
-            chance = self._softmax((z + self.weights[-1]) / self.temperature)
-            label = chance.argmax(axis=1)
-            two, of = found[1]
-            for i in np.flatnonzero(label < len(self.families) - 1).tolist():
-                mine = two[of == asked[i]]
-                shared = [(int(np.isin(t, mine).sum()), len(t)) for at, t in self.templates if at == label[i] and len(t)]
-                if any(n >= max(confirm * size, min(2, size)) for n, size in shared):  # one pair of a short template is not enough
-                    a = int(begin[asked[i]])
-                    d = int(doc[asked[i]])
-                    line = data[a : offsets[d + 1]]
-                    stop = np.flatnonzero(line == 10)
-                    size = int(stop[0]) if len(stop) else len(line)
-                    a -= int(offsets[d])
-                    out["notices"][d].append(
-                        {"start": a, "end": a + size, "family": self.families[label[i]], "probability": float(chance[i, label[i]])}
-                    )
+        value, at = ngrams(Spans(folded).hash(starts, ends), block[line], 2)
+        value += np.uint64(2)
+        hit = np.flatnonzero(self.sieve[(value & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.pairs, value[hit]), len(self.pairs) - 1)
+        right = self.pairs[place] == value[hit]
+        pair, first, last = place[right], line[at[hit[right]]], line[at[hit[right]] + 1]
+        closed = np.zeros(len(used), dtype=bool)
+        for size in range(1, wrap + 1):
+            windows, families = self._confirmed(pair, first, last, block, closed, size, confirm)
+            if not len(windows):
+                continue
+            held = [data[begins[used[w]] : stops[w + size - 1]].tobytes() for w in windows.tolist()]
+            for w, confirmed, chance in zip(windows.tolist(), families, self.chances(held), strict=True):
+                if closed[w : w + size].any():
+                    continue
+                closed[w : w + size] = True
+                label = int(chance.argmax())
+                if label not in confirmed:
+                    continue
+                also = [f for f in sorted(confirmed) if f != label and self.families[f] not in RESTRICTIONS]
+                d = int(doc[w])
+                for f in [label] + (also if self.families[label] not in RESTRICTIONS else []):
+                    span = {"start": int(begins[used[w]] - offsets[d]), "end": int(stops[w + size - 1] - offsets[d])}
+                    out["notices"][d].append({**span, "family": self.families[f], "probability": float(chance[f])})
+        for notices in out["notices"]:
+            notices.sort(key=lambda n: n["start"])
         out["n_notices"] = [len(x) for x in out["notices"]]
         named = [sorted({n["family"] for n in x}) for x in out["notices"]]
         out["families"] = [[f for f in x if f not in RESTRICTIONS] for x in named]
         out["restrictions"] = [[f for f in x if f in RESTRICTIONS] for x in named]
         return out
 
+    def _confirmed(self, pair, first, last, block, closed, size: int, confirm: float) -> tuple[np.ndarray, list[set[int]]]:
+        """Runs of ``size`` open lines in which templates are found, by first line, and the families of these templates."""
+        back = size - 1 - (last - first)  # how much earlier than its first line a run with the pair may begin
+        fits = back >= 0
+        number = back[fits] + 1
+        step = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        window, key = np.repeat(first[fits], number) - step, np.repeat(pair[fits], number)
+        inside = (window >= 0) & (window + size <= len(block))
+        window, key = window[inside], key[inside]
+        inside = block[window] == block[window + size - 1]
+        before = np.concatenate([[0], np.cumsum(closed)])
+        inside &= before[window] == before[window + size]
+        seen = np.unique(window[inside] * len(self.pairs) + key[inside])  # a pair counts once in a run
+        window, key = seen // len(self.pairs), seen % len(self.pairs)
+        many = self.first[key + 1] - self.first[key]
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        template = self.templates[np.repeat(self.first[key], many) + step]
+        met, of, times = np.unique(np.repeat(window, many) * len(self.size_of) + template, return_inverse=True, return_counts=True)
+        telling = np.bincount(of, weights=np.repeat(self.telling[key], many), minlength=len(met)) > 0
+        template = met % len(self.size_of)
+        # One pair of a short template is not enough.
+        enough = telling & (times >= np.maximum(confirm * self.size_of[template], np.minimum(2, self.size_of[template])))
+        families: dict[int, set[int]] = {}
+        for w, label in zip((met[enough] // len(self.size_of)).tolist(), self.label_of[template[enough]].tolist(), strict=True):
+            families.setdefault(w, set()).add(label)
+        return np.array(list(families), dtype=np.int64), list(families.values())
+
 
 def background(docs: DataFrame, key: str = "doc_id", text: str = "text", count: int = BACKGROUND, excerpt: int = EXCERPT) -> list[str]:
     """At most ``count`` excerpts of texts, chosen by a hash of the key, that do not speak of licences."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
@@ -244,3 +245,78 @@ def test_licences_of_awkward_rows(spark):
     span = found[300].notices[0]
     assert f"é\n{notice}\nmore text".encode()[span.start : span.end].decode() == notice
     assert lc.scan_licences(docs.limit(0), []).collect() == []
+
+
+def plain_notices(text: str, model: lc.Classifier) -> list[tuple]:
+    """The scan by its definition: runs of lines, sets of word pairs, and one text judged at a time."""
+    split = lambda t: re.findall(r"[a-z0-9\x80-\xff]+", t.lower().encode().decode("latin-1"))
+    pairs = lambda t: set(itertools.pairwise(split(t)))
+    templates = [(f, pairs(n)) for f, notices in lc.TEMPLATES.items() for n in notices]
+    owners: dict = {}
+    for f, held in templates:
+        for x in held:
+            owners.setdefault(x, set()).add(f)
+    lines, closed, found = text.split("\n"), set(), []
+    for size in range(1, lc.WRAP + 1):
+        for i in range(len(lines) - size + 1):
+            run = range(i, i + size)
+            if closed & set(run) or not all(split(lines[j]) for j in run):
+                continue
+            mine = pairs(" ".join(lines[j] for j in run))
+            met = {f for f, held in templates if len(mine & held) >= max(lc.CONFIRM * len(held), min(2, len(held))) and any(len(owners[x]) == 1 for x in mine & held)}
+            if not met:
+                continue
+            closed |= set(run)
+            body = "\n".join(lines[j] for j in run)
+            z = model._matrix(lc._grams_of([body])) @ model.weights / model.temperature
+            label = model.families[int(z[0].argmax())]
+            if label in met:
+                more = set() if label in lc.RESTRICTIONS else met - lc.RESTRICTIONS
+                start = len("\n".join(lines[:i]).encode()) + (i > 0)
+                found += [(start, start + len(body.encode()), f) for f in sorted({label} | more)]
+    return sorted(found)
+
+
+WRAPPED = {
+    "MIT": "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated\ndocumentation files (the Software), to deal",
+    "BSD": "Redistribution and use in source and binary forms, with or\nwithout modification, are permitted provided that the\nfollowing conditions are met:",
+    "GPL": "This program is free software: you can redistribute it\nand/or modify it under the terms of the GNU General\nPublic License as published by",
+    "ISC": "Permission to use, copy, modify, and/or distribute this\nsoftware for any purpose with or without fee is hereby\ngranted, provided",
+}
+
+
+def test_wrapped_notices_are_found():
+    model = lc.Classifier([])
+    for family, notice in WRAPPED.items():
+        for text in (notice, f"some words of a story\n\n{notice}\n\nmore of it", f"A line before\n{notice}\nand a line after"):
+            held = text.encode()
+            found = model.scan(np.frombuffer(held, np.uint8), np.array([0, len(held)]))
+            assert found["families"] == [[family]], (text, found)
+            for n in found["notices"][0]:
+                assert held[n["start"] : n["end"]].decode() in text and held[n["start"]] != 10
+    apart = "Redistribution and use in source and\n\nbinary forms, with or without modification".encode()
+    assert model.scan(np.frombuffer(apart, np.uint8), np.array([0, len(apart)]))["families"] == [[]]
+
+
+def test_identifiers_outside_the_list_are_unknown():
+    model = lc.Classifier([])
+    cases = {"SPDX-License-Identifier: EPL-2.0": [], "SPDX-License-Identifier: MPL-2.0": ["MPL-2.0"], "SPDX-License-Identifier: ISC": ["ISC"],
+             "This is free and unencumbered software released into the public domain.": ["Unlicense"],
+             "Released under the Apache 2.0 license and the MIT License": ["Apache-2.0", "MIT"]}
+    for text, families in cases.items():
+        held = text.encode()
+        assert model.scan(np.frombuffer(held, np.uint8), np.array([0, len(held)]))["families"] == [families], text
+
+
+def test_licence_scan_equals_its_definition(spark, sf_dir):
+    docs = [r.text or "" for r in table(spark, sf_dir, "documents").orderBy("doc_id").limit(120).collect()]
+    lines = [n for x in WRAPPED.values() for n in x.split("\n")] + [n for x in lc.TEMPLATES.values() for n in x] + lc.NEAR_MISSES + ["", " ", "!!", "é word"]
+    rng = np.random.default_rng(5)
+    texts = docs + ["\n".join(rng.choice(lines, n)) for n in (0, 1, 5, 30, 80)] + list(WRAPPED.values()) + ["", "\n", "\n\n"]
+    model = lc.Classifier([t[:300] for t in docs[:20]])
+    held = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in held])]).astype(np.int64)
+    got = model.scan(np.frombuffer(b"".join(held), np.uint8), offsets)
+    assert sum(got["n_notices"]) > 20
+    for text, notices in zip(texts, got["notices"], strict=True):
+        assert sorted((n["start"], n["end"], n["family"]) for n in notices) == plain_notices(text, model)

@@ -19,7 +19,7 @@ dealt to blocks of bounded bytes by a hash.  A block sends its distinct
 n-grams, packed, with their counts in its training texts, to shards of the
 hash range; shards add up and answer each block in its own order; the block
 then builds its part of the automaton and scores its texts.  Numbers of blocks,
-shards and partitions follow the bytes of the texts, so no task grows with them.  A word that a
+shards follow the bytes of the texts, and each is one partition: no task grows.  A word that a
 third of all tokens repeat is one number from each block.  N-grams are told
 apart by 64-bit hashes.
 
@@ -149,7 +149,7 @@ def vocabulary(docs: DataFrame, shards: int) -> dict[str, int]:
         sums = [int(sum(group.column(c).to_pylist())) for c in ("tokens", "texts")]
         return pa.table([pa.array([v], pa.int64()) for v in (n, *sums)], names=["distinct", "tokens", "texts"])
 
-    found = docs.select("t", "out").mapInArrow(run, schema).repartition(shards, "shard").groupBy("shard").applyInArrow(distinct, "distinct long, tokens long, texts long")
+    found = docs.select("t", "out").mapInArrow(run, schema).repartitionById(shards, F.col("shard")).groupBy("shard").applyInArrow(distinct, "distinct long, tokens long, texts long")
     row = found.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in found.columns]).first()
     return row.asDict()
 
@@ -242,12 +242,11 @@ def score(
     """
     own = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.coalesce(out, F.lit(False)).alias("out"))
     size = own.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("bytes")).first()["bytes"]
-    least = shuffle_partitions(docs.sparkSession)
-    shards = max(2 * least, -(-size // shard_bytes))
+    shards = max(2 * shuffle_partitions(docs.sparkSession), -(-size // shard_bytes))
     blocks = -(-size // block_bytes) + 1
     seen = vocabulary(own, shards)
     total, types, texts = seen["tokens"], seen["distinct"], seen["texts"]
-    dealt = own.withColumn("block", F.pmod(F.xxhash64("k", "t"), F.lit(blocks))).repartition(max(least, blocks), "block")
+    dealt = own.withColumn("block", F.pmod(F.xxhash64("k", "t"), F.lit(blocks)).cast("int")).repartitionById(blocks, F.col("block"))
 
     def of_block(group: pa.Table):
         parts, texts_ = [], 0
@@ -270,7 +269,7 @@ def score(
         block = group.column("block")[0].as_py()
         return pa.table(
             [
-                pa.array([i for i, _, _ in cuts], pa.int32()), pa.array([block] * len(cuts), pa.int64()),
+                pa.array([i for i, _, _ in cuts], pa.int32()), pa.array([block] * len(cuts), pa.int32()),
                 pa.array([_steps(keys[a:b]) for _, a, b in cuts], pa.binary()), pa.array([_planes(count[a:b]) for _, a, b in cuts], pa.binary()),
             ],
             names=["shard", "block", "grams", "counts"],
@@ -306,9 +305,9 @@ def score(
         values = [*held, pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3])]
         return pa.table(values, names=names)
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "shard int, block long, grams binary, counts binary")
-    answers = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(answer, "block long, shard int, known binary")
-    there = answers.repartition(max(least, blocks), "block")
+    asked = dealt.groupBy("block").applyInArrow(ask, "shard int, block int, grams binary, counts binary")
+    answers = asked.repartitionById(shards, F.col("shard")).groupBy("shard").applyInArrow(answer, "block int, shard int, known binary")
+    there = answers.repartitionById(blocks, F.col("block"))
     scored = dealt.groupBy("block").cogroup(there.groupBy("block")).applyInArrow(read, schema)
     return scored.select(
         F.col("k").alias(key), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"

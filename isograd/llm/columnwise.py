@@ -4,8 +4,10 @@ All strings grow by one symbol at a time, from their ends: round j inserts the
 suffixes of j symbols.  The transform is a file with one segment for each
 symbol: the places, in the order of all suffixes so far, before which the
 symbol stands.  The rank of a place in that file is where the longer suffix
-goes; a round reads the file once from front to back, moves the places behind
-the new suffixes, merges the symbols before these, and writes it again.
+goes; a round reads the file once from front to back, ``BLOCK`` entries at a
+time, moves the places behind the new suffixes, merges the symbols before
+these, and writes it again.  Between rounds only the newest suffix of each
+string is in memory.
 
 A symbol is a run of ``q`` bytes, so that rounds are few; each string then
 takes part ``q`` times, once for each distance of its runs from its end.
@@ -16,22 +18,43 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 
 
-class _File:
-    """The transform between rounds."""
-
-    def __init__(self, folder: str):
-        self.paths = [os.path.join(folder, f"transform{i}") for i in (0, 1)]
+#: Entries of the transform in memory during a round.
+BLOCK = 1 << 16
 
-    def read(self) -> np.ndarray:
-        return np.fromfile(self.paths[0], dtype=np.uint64)
 
-    def write(self, values: np.ndarray) -> None:
-        values.tofile(self.paths[1])
+class _File:
+    """The transform between rounds: sorted entries, read and written in order."""
+
+    def __init__(self, folder: str, low: np.uint64):
+        self.paths, self.low = [os.path.join(folder, f"transform{i}") for i in (0, 1)], low
+        open(self.paths[0], "wb").close()
+
+    def blocks(self) -> Iterator[np.ndarray]:
+        with open(self.paths[0], "rb") as held:
+            while len(block := np.fromfile(held, dtype=np.uint64, count=BLOCK)):
+                yield block
+
+    def merge(self, entry: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Move the places behind the ``new`` suffixes and insert the sorted entries; returns their ranks."""
+        shift = (new - np.arange(len(new))).astype(np.uint64)
+        rank, done, read = np.empty(len(entry), dtype=np.int64), 0, 0
+        with open(self.paths[1], "wb") as out:
+            for block in self.blocks():
+                block += np.searchsorted(shift, block & self.low, side="right").astype(np.uint64)
+                upto = int(np.searchsorted(entry, block[-1]))
+                at = np.searchsorted(block, entry[done:upto])
+                rank[done:upto] = read + at + np.arange(done, upto)
+                np.insert(block, at, entry[done:upto]).tofile(out)
+                done, read = upto, read + len(block)
+            rank[done:] = read + np.arange(done, len(entry))
+            entry[done:].tofile(out)
         self.paths.reverse()
+        return rank
 
 
 def symbols(data: np.ndarray, q: int) -> np.ndarray:
@@ -64,29 +87,18 @@ def sorted_suffixes(symbol: np.ndarray, end: np.ndarray, size: np.ndarray, q: in
         return entry[order], strings[order]
 
     with tempfile.TemporaryDirectory(dir=folder) as held:
-        file = _File(held)
-        entry, strings = before(np.arange(count), 0, np.arange(count))
-        file.write(entry)
-        rank, length, before_round = np.arange(len(entry)), 0, count
+        file, strings, length = _File(held, low), np.arange(count), 0
+        place, new = np.arange(count), np.zeros(0, dtype=np.int64)  # empty suffixes keep the order of their strings
         while len(strings):
+            entry, strings = before(strings, length, place)
+            place = new = count + file.merge(entry, new)
             length += 1
-            transform = file.read()
-            new = count + rank
-            stays = np.ones(count + len(transform), dtype=bool)
-            stays[new] = False
-            moved = np.flatnonzero(stays).astype(np.uint64)
-            assert len(moved) == before_round
-            transform = (transform & ~low) | moved[(transform & low).astype(np.int64)]
-            before_round = len(stays)
-            entry, strings = before(strings, length, new)
-            at = np.searchsorted(transform, entry)
-            file.write(np.insert(transform, at, entry))
-            rank = at + np.arange(len(at))
-        transform = file.read()
-
-    # Walk every string once from its end to name the suffixes.
-    longer = np.zeros(total, dtype=np.int64)
-    longer[(transform & low).astype(np.int64)] = count + np.arange(len(transform))
+
+        # Walk every string once from its end to name the suffixes.
+        longer, rank = np.zeros(total, dtype=np.int64), count
+        for block in file.blocks():
+            longer[(block & low).astype(np.int64)] = np.arange(rank, rank + len(block))
+            rank += len(block)
     of, symbols_in = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int64)
     at, strings, length = np.arange(count), np.arange(count), 0
     while len(strings):

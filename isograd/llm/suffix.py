@@ -10,12 +10,14 @@ rank or before in the same one, marks its bytes for removal.
    a task sends the first and marks the others.
 2. Pieces meet by anchor, packed in arrays, one row for each task and shard.
    Equal pieces but the first are marked.  Different pieces with one anchor
-   are compared by content.
+   are compared by content.  Shards follow the bytes of the texts.
 3. These pieces are cut from the documents and meet by anchor in buckets.  In
    each, the column-wise construction (``columnwise``) sorts all suffixes, and
    runs with a common prefix of ``WIDTH`` bytes are equal; all but the first
    are marked.  An anchor with more than ``HOT`` different pieces is spread:
    its runs meet one by one by their own hash, the first of each task only.
+   Buckets follow the counted bytes of these pieces, and several of them,
+   each sorted by itself, make a task.
 4. Marks are gathered by document and the bytes under them removed.
 
 Hashes have 64 bits; pieces are taken as equal if the hashes of both anchor
@@ -44,11 +46,16 @@ from isograd.llm.text import Spans, mix, pieces, repeats
 WIDTH = 100
 GRAM = 28
 HOT = 4096
+#: Bytes of text for each shard, and of pieces for each bucket: what a task holds at once, whatever the size of the tables.
+SHARD_BYTES = 24 << 20
+BUCKET_BYTES = 4 << 20
+#: Buckets that a task sorts one after the other where there are more of them than twice the shuffle partitions.
+BUCKETS_A_TASK = 8
 _SLICE = 8 << 20
 _FLUSH = 4_000_000
 _PLACE = np.uint64((1 << 24) - 1)
 
-_MARKS = "kind byte, bucket int, k long, h long, p long, n long"
+_MARKS = "kind byte, meet long, k long, h long, p long, n long"
 
 
 def _least_in_windows(keys: np.ndarray, width: int) -> np.ndarray:
@@ -146,11 +153,11 @@ def _sent(own: DataFrame, width: int, gram: int, shards: int) -> DataFrame:
     return own.select("k", "h", "t").mapInArrow(run, schema)
 
 
-def _met(sent: DataFrame, buckets: int, hot: int) -> DataFrame:
-    """Marks (kind 1) and pieces to compare by content (kind 2; bucket -1 where the anchor is hot)."""
+def _met(sent: DataFrame, shards: int, hot: int) -> DataFrame:
+    """Marks (kind 1) and pieces to compare by content (kind 2; they meet by a number of their anchor, -1 where it is hot)."""
 
-    def table(kind, bucket, k, h, p, n):
-        return pd.DataFrame({"kind": np.full(len(k), kind, np.int8), "bucket": bucket, "k": k, "h": h, "p": p.astype(np.int64), "n": n.astype(np.int64)})
+    def table(kind, meet, k, h, p, n):
+        return pd.DataFrame({"kind": np.full(len(k), kind, np.int8), "meet": meet, "k": k, "h": h, "p": p.astype(np.int64), "n": n.astype(np.int64)})
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -161,22 +168,22 @@ def _met(sent: DataFrame, buckets: int, hot: int) -> DataFrame:
                 for c, t in zip(("a", "s", "k", "h", "p", "n"), (np.uint64, np.uint64, np.int64, np.int64, np.uint32, np.uint16), strict=True)
             )
             if kind == 1:
-                out.append(table(1, np.zeros(len(k), np.int32), k, h, p, n))
+                out.append(table(1, np.zeros(len(k), np.int64), k, h, p, n))
                 continue
             at, _ = repeats(a)
             columns = [c[at] for c in (a, s, k, h, p, n)]
             order, first = _firsts(columns[:5], 2)
             a, s, k, h, p, n = (c[order] for c in columns)
-            out.append(table(1, np.zeros(int((~first).sum()), np.int32), k[~first], h[~first], p[~first], n[~first]))
+            out.append(table(1, np.zeros(int((~first).sum()), np.int64), k[~first], h[~first], p[~first], n[~first]))
             a, k, h, p, n = (c[first] for c in (a, k, h, p, n))
             _, group_of, size = np.unique(a, return_inverse=True, return_counts=True)
             several = size[group_of] > 1
-            bucket = (mix(a) % np.uint64(buckets)).astype(np.int32)
-            bucket[size[group_of] > hot] = -1
-            out.append(table(2, bucket[several], k[several], h[several], p[several], n[several]))
+            meet = (mix(a) >> np.uint64(1)).astype(np.int64)
+            meet[size[group_of] > hot] = -1
+            out.append(table(2, meet[several], k[several], h[several], p[several], n[several]))
         return pd.concat(out)
 
-    return sent.groupBy("shard").applyInPandas(run, _MARKS)
+    return sent.repartitionById(shards, F.col("shard")).groupBy("shard").applyInPandas(run, _MARKS)
 
 
 def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: int) -> DataFrame:
@@ -246,8 +253,8 @@ def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: i
     return both.mapInArrow(run, schema)
 
 
-def _compared(found: DataFrame, width: int) -> DataFrame:
-    """Marks of the runs that occur in an earlier piece of their bucket."""
+def _compared(found: DataFrame, width: int, tasks: int) -> DataFrame:
+    """Marks of the runs that occur in an earlier piece of their bucket, one bucket at a time in each task."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         named = group["body"].isna()
@@ -267,7 +274,8 @@ def _compared(found: DataFrame, width: int) -> DataFrame:
             marks = pd.concat([marks, pd.DataFrame({"k": k[begin], "h": h[begin], "p": p[begin], "n": size})])
         return marks.astype("int64")
 
-    return found.groupBy("bucket").applyInPandas(run, "k long, h long, p long, n long")
+    dealt = found.withColumn("task", F.pmod("bucket", F.lit(tasks))).repartitionById(tasks, F.col("task"))
+    return dealt.groupBy("task", "bucket").applyInPandas(run, "k long, h long, p long, n long")
 
 
 def _on_characters(body: bytes, gone: np.ndarray) -> np.ndarray:
@@ -288,6 +296,8 @@ def dedup_substrings(
     gram: int = GRAM,
     hot: int = HOT,
     characters: bool = False,
+    shard_bytes: int = SHARD_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """``docs`` with a struct: ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (bytes) and ``removed`` (byte spans of the original).
 
@@ -295,15 +305,22 @@ def dedup_substrings(
     kept is valid text.  Keys are integers.
     """
     spark = docs.sparkSession
-    shards = buckets = 2 * shuffle_partitions(spark)
     rest = docs.drop(into)
     rank = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
     k_, h_, marks_ = free_names(rest.columns, "__k", "__h", "__marks")
     whole = rest.withColumns({k_: rank, h_: F.xxhash64(text)})
     own = rest.select(rank.alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
-    met = stored(_met(_sent(own, width, gram, shards), buckets, hot), "pieces")
+    least = 2 * shuffle_partitions(spark)
+    size = own.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("bytes")).first()["bytes"]
+    shards = max(least, -(-size // shard_bytes))
+    met = stored(_met(_sent(own, width, gram, shards), shards, hot), "pieces")
     marks = met.where("kind = 1").select("k", "h", "p", "n")
-    compared = _compared(_pieces(whole, text, met.where("kind = 2"), width, buckets), width)
+    asked = met.where("kind = 2")
+    body = F.when(F.col("meet") < 0, F.col("n") * width).otherwise(F.col("n") + (width - 1))
+    buckets = max(1, -(-(asked.agg(F.sum(body).alias("bytes")).first()["bytes"] or 0) // bucket_bytes))
+    tasks = min(buckets, max(least, -(-buckets // BUCKETS_A_TASK)))
+    bucket = F.when(F.col("meet") < 0, F.lit(-1)).otherwise(F.pmod("meet", F.lit(buckets))).cast("int")
+    compared = _compared(_pieces(whole, text, asked.select("k", "h", "p", "n", bucket.alias("bucket")), width, buckets), width, tasks)
     lists = marks.unionAll(compared).groupBy("k", "h").agg(F.collect_list(F.struct("p", "n")).alias("marks"))
     same = (F.col(f"d.`{k_}`") == F.col("l.k")) & (F.col(f"d.`{h_}`") == F.col("l.h"))
     both = whole.alias("d").join(lists.alias("l"), same, "left").select("d.*", F.col("l.marks").alias(marks_))

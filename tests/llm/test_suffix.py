@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from isograd.llm import suffix
+from isograd.llm import columnwise, suffix
 from isograd.llm.columnwise import common_prefixes, later_copies, sorted_suffixes, symbols
 
 
@@ -22,8 +22,10 @@ def common(a: bytes, b: bytes) -> int:
     return n
 
 
+@pytest.mark.parametrize("block", [1, 7, columnwise.BLOCK])
 @pytest.mark.parametrize("seed", range(8))
-def test_construction_sorts_all_suffixes(seed):
+def test_construction_sorts_all_suffixes(seed, block, monkeypatch):
+    monkeypatch.setattr(columnwise, "BLOCK", block)
     rng = random.Random(seed)
     letters = bytes([97, 98]) if seed % 2 else bytes([0, 97, 255])
     strings = [bytes(rng.choice(letters) for _ in range(rng.randrange(0, 14))) for _ in range(9)]
@@ -94,6 +96,16 @@ def test_documents_match_brute_force(spark, hot):
     assert got == sorted(((r[0] is None, r[0] or 0, r[1] or ""), expected[r]) for r in rows)
 
 
+def test_results_do_not_depend_on_the_size_of_groups(spark):
+    rows = corpus(6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [
+        sorted((r.doc_id or -1, r.text or "", bytes(r.dedup.kept)) for r in suffix.dedup_substrings(docs, **sizes).collect())
+        for sizes in ({}, {"shard_bytes": 1000, "bucket_bytes": 100})
+    ]
+    assert got[0] == got[1] and any(kept != text.encode() for _, text, kept in got[0])
+
+
 @pytest.mark.parametrize("hot", [suffix.HOT, 1])
 @pytest.mark.parametrize("partitions", [1, 6])
 def test_repeated_rows_are_one_document(spark, hot, partitions):

@@ -48,7 +48,7 @@ GRAM = 28
 HOT = 4096
 #: Bytes of text for each shard, and of pieces for each bucket: what a task holds at once, whatever the size of the tables.
 SHARD_BYTES = 24 << 20
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 #: Buckets that a task sorts one after the other where there are more of them than twice the shuffle partitions.
 BUCKETS_A_TASK = 8
 _SLICE = 8 << 20

@@ -173,8 +173,57 @@ LLM_QUERIES = {
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _quality_sql() -> str:
+    """Words numbered through their lines; characters under a window are those of words that it began at or shortly before."""
+    lengths, whole = list(ql.NGRAM_LIMITS), "OVER (PARTITION BY doc ORDER BY i)"
+    gram = lambda n: " || ' ' || ".join(["w"] + [f"lead(w, {j}) {whole}" for j in range(1, n)])
+    under = lambda flag, n: f"max({flag}) OVER (PARTITION BY doc ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    share = lambda part, of: f"coalesce({part}, 0)::DOUBLE / greatest(coalesce({of}, 0), 1)"
+    return rf"""
+        WITH docs AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS t FROM documents),
+        line AS (
+            SELECT *, row_number() OVER (PARTITION BY doc, l ORDER BY ln) > 1 AS again FROM (
+                SELECT *, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS ws
+                FROM (SELECT doc, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS ln FROM docs)
+            ) WHERE len(ws) > 0
+        ),
+        word AS (
+            SELECT doc, again, w, length(w) AS chars, row_number() OVER (PARTITION BY doc ORDER BY ln, j) AS i
+            FROM (SELECT doc, ln, again, unnest(ws) AS w, generate_subscripts(ws, 1) AS j FROM line)
+        ),
+        gram AS (SELECT *, {gram(3)} AS g3, {", ".join(f"{gram(n)} AS g{n}" for n in lengths)} FROM word),
+        double AS (
+            SELECT doc, i, chars, again, (g3 IS NOT NULL AND count(*) OVER (PARTITION BY doc, g3) > 1)::INT AS r3,
+                {", ".join(f"(g{n} IS NOT NULL AND row_number() OVER (PARTITION BY doc, g{n} ORDER BY i) > 1)::INT AS r{n}" for n in lengths)}
+            FROM gram
+        ),
+        inside AS (SELECT *, {under("r3", 3)} AS c3, {", ".join(f"{under(f'r{n}', n)} AS c{n}" for n in lengths)} FROM double),
+        sums AS (
+            SELECT doc, count(*) AS n_words, sum(chars) AS word_chars, sum(c3) AS n_repeat_words, sum(chars) FILTER (WHERE again) AS line_chars,
+                {", ".join(f"sum(chars * c{n}) AS s{n}" for n in lengths)}
+            FROM inside GROUP BY doc
+        ),
+        lines AS (SELECT doc, count(*) AS n_lines, count(*) FILTER (WHERE again) AS n_dup_lines FROM line GROUP BY doc),
+        measured AS (
+            SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+                (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+                {", ".join(f"{share(f's{n}', 'word_chars')} AS dup_{n}gram_share" for n in lengths)},
+                {share("line_chars", "word_chars")} AS dup_line_char_share, {share("n_dup_lines", "n_lines")} AS dup_line_share
+            FROM docs LEFT JOIN sums USING (doc) LEFT JOIN lines USING (doc)
+        ),
+        based AS (SELECT *, n_words < {ql.MIN_WORDS} OR 100 * n_repeat_words > {ql.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM measured)
+        SELECT *, NOT base_failed AND dup_line_char_share <= {ql.LINE_CHAR_LIMIT} AND dup_line_share <= {ql.LINE_LIMIT}
+            AND {" AND ".join(f"dup_{n}gram_share <= {limit}" for n, limit in ql.NGRAM_LIMITS.items())} AS kept
+        FROM based
+    """
+
+
 #: The other queries rest on a trained model, a tokenizer or an iterative search; tests hold them against brute force.
 LLM_ORACLES: dict[str, str] = {
+    "op1_quality_rules": _quality_sql(),
     "op3_decontaminate": rf"""
         WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

@@ -266,6 +266,48 @@ LLM_ORACLES: dict[str, str] = {
             sha256(coalesce(string_agg(l, '' ORDER BY p) FILTER (WHERE NOT coalesce(removed, false)), '')) AS kept_sha256
         FROM documents LEFT JOIN judged USING (doc_id) GROUP BY doc_id
     """,
+    # Every stretch has six equal words in a row at its period, so that six-word windows find it.
+    "op12_periodic_runs": r"""
+        WITH poly AS (  -- the 256 remainders of the CRC, by eight steps each
+            SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS r
+            FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS i)
+        ),
+        remainders AS (SELECT list(r ORDER BY i) AS t FROM poly),
+        said AS (
+            SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                CASE WHEN doc_id IS NULL THEN 1 ELSE xor(list_reduce(
+                    list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+                    lambda c, b: xor(c // 256, t[1 + xor(c % 256, b)])), 4294967295) END AS h
+            FROM documents, remainders
+        ),
+        dealt AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % len(w) AS a FROM said),
+        source AS (
+            SELECT doc, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                THEN list_transform(generate_series(0, n - 1), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+            FROM (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM dealt)
+        ),
+        word AS (SELECT doc, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM source),
+        gram AS (
+            SELECT doc, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o || ' ' || lead(w, 5) OVER o AS g
+            FROM word WINDOW o AS (PARTITION BY doc ORDER BY i)
+        ),
+        pair AS (SELECT x.doc, x.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.doc = y.doc AND x.g = y.g AND x.i < y.i),
+        stretch AS (
+            SELECT doc, q, min(i) AS start, count(*) + 5 + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc, q ORDER BY i) AS k FROM pair) GROUP BY doc, q, k
+        ),
+        run AS (SELECT doc, start, length, min(q) AS period FROM stretch WHERE length >= greatest(12, 2 * q) GROUP BY doc, start, length),
+        told AS (
+            SELECT doc, count(*) AS n_runs, list({'start': start, 'length': length, 'period': period} ORDER BY length DESC, start, period)[1] AS b,
+                string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+            FROM run GROUP BY doc
+        ),
+        gone AS (SELECT DISTINCT doc, unnest(generate_series(start + period, start + length - 1)) AS i FROM run),
+        kept AS (SELECT doc, string_agg(w, ' ' ORDER BY i) AS body FROM word ANTI JOIN gone USING (doc, i) GROUP BY doc)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.start AS start, b.length AS length, b.period AS period, 1000 * b.length // b.period AS exponent_milli,
+            sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256, n AS n_words
+        FROM source LEFT JOIN told USING (doc) LEFT JOIN kept USING (doc)
+    """,
     "op13_conversation_trie": r"""
         WITH turns AS (
             SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,

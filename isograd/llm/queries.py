@@ -247,6 +247,31 @@ LLM_ORACLES: dict[str, str] = {
             coalesce(p.n_hit, 0) > 0 AND 20 * coalesce(p.n_hit, 0) >= coalesce(len(d.w), 0) AS contaminated
         FROM d LEFT JOIN place p USING (doc_id) LEFT JOIN named n USING (doc_id)
     """,
+    # Bytes as pairs of hexadecimal digits.
+    "op4_suffix_dedup": """
+        WITH docs AS (SELECT row_number() OVER () AS doc, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        runs AS (
+            SELECT doc, doc_id, p, md5_number(substr(x, 2 * p + 1, 200)) AS m
+            FROM (SELECT *, unnest(generate_series(0, len(x) // 2 - 100)) AS p FROM docs)
+        ),
+        again AS (SELECT doc, p FROM (SELECT *, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS nth FROM runs) WHERE nth > 1),
+        turns AS (SELECT *, coalesce(p - lag(p) OVER (PARTITION BY doc ORDER BY p) > 100, true) AS turn FROM again),
+        spans AS (
+            SELECT doc, min(p) AS b, max(p) + 100 AS e
+            FROM (SELECT *, sum(turn::INT) OVER (PARTITION BY doc ORDER BY p ROWS UNBOUNDED PRECEDING) AS nth FROM turns) GROUP BY doc, nth
+        ),
+        edges AS (
+            SELECT doc, b, e FROM spans
+            UNION ALL SELECT doc, len(x) // 2, len(x) // 2 FROM docs
+        ),
+        kept AS (
+            SELECT doc, string_agg(substr(x, 2 * since + 1, 2 * (b - since)), '' ORDER BY b, e) AS y
+            FROM (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc ORDER BY b, e), 0) AS since FROM edges) JOIN docs USING (doc) GROUP BY doc
+        ),
+        sums AS (SELECT doc, count(*) AS n_spans, sum(e - b)::BIGINT AS n_removed FROM spans GROUP BY doc)
+        SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(y)) AS kept_sha256
+        FROM docs JOIN kept USING (doc) LEFT JOIN sums USING (doc)
+    """,
     "op5_line_dedup": rf"""
         WITH whole AS (
             SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\n]*?(?:\n|[.!?][ \t]+|[\x{{3002}}\x{{FF01}}\x{{FF1F}}]|\z)'), lambda u: u <> '') AS us

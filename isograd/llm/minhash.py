@@ -47,7 +47,7 @@ ROWS = 5
 FEW = 16
 
 _VALUE_BITS = 44
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

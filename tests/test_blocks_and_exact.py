@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import os
 import random
 from fractions import Fraction
 
@@ -79,6 +80,37 @@ def test_asked_boxes_come_from_their_blocks_alone(spark, tmp_path, sizes):
     assert spoilt and sorted(map(tuple, blocks.read_asked(fresh, only).collect())) == sorted(r for r in want if r[0] == "box")
 
 
+@pytest.mark.parametrize("sizes", [{"kt": 1, "ky": 2, "kx": 2}, {"kt": 1}, {"kt": 2, "kx": 1}])
+def test_many_blocks_share_folders(spark, tmp_path, sizes):
+    """The number of folders follows the rows, not the blocks; asked boxes come from the folders of their blocks alone."""
+    steps = spark.range(-20, 400).select((F.lit(T0) + F.make_dt_interval(hours=6 * F.col("id"))).cast("timestamp_ntz").alias(TIME))
+    map_ = spark.range(15).select((50.0 - 10.0 * F.floor(F.col("id") / 3)).alias(LATITUDE), (60.0 + 10.0 * (F.col("id") % 3)).alias(LONGITUDE))
+    grid = steps.crossJoin(map_).withColumn("t2m", F.hash(TIME, LATITUDE, LONGITUDE) / 7)
+    lost = spark.createDataFrame([(None, 10.0, 60.0, 1.0), (T0, None, None, 2.0)], GRID)
+    grid = grid.unionAll(grid.limit(5)).unionAll(lost).cache()
+    blocks.write_blocks(grid, AXES, f"{tmp_path}/grid", **sizes)
+    stored = blocks.read_blocks(spark, f"{tmp_path}/grid")
+    folders = {os.path.dirname(f) for f in glob.glob(f"{tmp_path}/grid/cells/**/*.parquet", recursive=True)}
+    assert 4 < len(folders) <= 1.5 * blocks.FOLDERS and list(stored.sizes.values()) == list(sizes.values())
+    assert stored.cells.count() == grid.count() == 420 * 15 + 7
+    rows = [*asked_rows(), ("late", T0 + dt.timedelta(days=80), T0 + dt.timedelta(days=81), 30.0, 20.0, 60.0, 60.0), ("all", T0, T0 + dt.timedelta(days=999), 90.0, -90.0, 0.0, 360.0)]
+    for some in (rows, rows[:1]):
+        asked = blocks.store_asked(spark, some, f"{tmp_path}/asked{len(some)}")
+        got = blocks.read_asked(stored, asked)
+        assert "dynamicpruning" in initial(got) and "NestedLoop" not in initial(got)
+        assert got.columns == ["name", *grid.columns]
+        want = []
+        for name, start, end, north, south, west, east in some:
+            inside = F.col(TIME).between(F.lit(start), F.lit(end)) & F.col(LATITUDE).between(south, north) & F.col(LONGITUDE).between(west, east)
+            want += [(name, *r) for r in grid.where(inside).collect()]
+        assert sorted(map(tuple, got.collect())) == sorted(want) and want
+        for folder in folders if some is rows else ():  # all but those of the first steps are no Parquet for the last reading
+            if not any(f"block_t={k}/" in folder + "/" for k in range(10)):
+                for file in glob.glob(f"{folder}/*.parquet"):
+                    with open(file, "wb") as f:
+                        f.write(b"nothing")
+
+
 # --- Exact sums --------------------------------------------------------------------
 
 

@@ -28,6 +28,7 @@ from isograd.llm.text import annotate
 WINDOW = 13
 SHARE = 20
 MAX_BYTES = 64 << 20
+_PIECE = 1 << 18
 
 _TABLE = bytearray(b" " * 128 + bytes(range(128, 256)))
 for _c in b"0123456789abcdefghijklmnopqrstuvwxyz":
@@ -148,4 +149,4 @@ def decontaminate(
 
         return found
 
-    return annotate(docs, text, into, FIELDS, measure, "clean" if only_clean else None)
+    return annotate(docs, text, into, FIELDS, measure, "clean" if only_clean else None, _PIECE)

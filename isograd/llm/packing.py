@@ -30,8 +30,8 @@ from isograd.llm.text import SPACE, Spans, pieces
 
 WINDOW = 2048
 END_ID = 1
-CACHE = 2_000_000
-_PIECE = 1 << 20
+CACHE = 500_000
+_PIECE = 1 << 18
 
 #: Byte-level vocabularies write printable bytes as themselves and number the others from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -24,6 +24,7 @@ LINE_CHAR_LIMIT = 0.20
 LINE_LIMIT = 0.30
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+_PIECE = 1 << 18
 
 _SYMBOL = np.zeros(256, dtype=np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
@@ -103,5 +104,5 @@ def quality(
     """``docs`` with a struct of measures and verdicts, or only the rows that are kept."""
     limits = dict(ngram_limits)
     return annotate(
-        docs, text, into, fields(limits), lambda: lambda data, offsets: measure(data, offsets, limits), "kept" if only_kept else None
+        docs, text, into, fields(limits), lambda: lambda data, offsets: measure(data, offsets, limits), "kept" if only_kept else None, _PIECE
     )

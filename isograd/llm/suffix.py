@@ -53,6 +53,7 @@ BUCKET_BYTES = 2 << 20
 BUCKETS_A_TASK = 8
 _SLICE = 8 << 20
 _FLUSH = 4_000_000
+_PIECE = 1 << 18
 _PLACE = np.uint64((1 << 24) - 1)
 
 _MARKS = "kind byte, meet long, k long, h long, p long, n long"
@@ -115,32 +116,34 @@ def _sent(own: DataFrame, width: int, gram: int, shards: int) -> DataFrame:
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("kind", T.ByteType())] + [T.StructField(c, T.BinaryType()) for c in names])
     arrow = to_arrow_schema(schema)
 
-    def packed(columns, shard, kind):
+    def packed(columns, at, shard, kind):
         order = np.argsort(shard, kind="stable")
-        columns, shard = [c[order] for c in columns], shard[order]
+        at, shard = at[order], shard[order]
         cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else np.zeros(1, np.int64)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            row = [[int(shard[a])], [kind], *[[c[a:b].tobytes()] for c in columns]]
+            row = [[int(shard[a])], [kind], *[[c[at[a:b]].tobytes()] for c in columns]]
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
 
     def flush(held):
         if not held:
             return
-        anchor, piece, k, h, p, n = map(np.concatenate, zip(*held, strict=True))
-        columns = [anchor, piece, k, h, p, n]
+        columns = [np.concatenate([part[i] for part in held]) for i in range(len(names))]
+        held.clear()  # the columns hold it all
+        anchor, piece, k = columns[:3]
         at, _ = repeats(mix(anchor * np.uint64(3) + piece))
         order, first = _firsts([c[at] for c in columns[:5]], 2)
         copies = at[order[~first]]
         keep = np.ones(len(anchor), dtype=bool)
         keep[at] = False
         keep[at[order[first]]] = True
-        yield from packed([c[keep] for c in columns], (anchor[keep] % np.uint64(shards)).astype(np.int32), 0)
-        yield from packed([c[copies] for c in columns], (mix(k[copies].astype(np.uint64)) % np.uint64(shards)).astype(np.int32), 1)
+        keep = np.flatnonzero(keep)
+        yield from packed(columns, keep, (anchor[keep] % np.uint64(shards)).astype(np.int32), 0)
+        yield from packed(columns, copies, (mix(k[copies].astype(np.uint64)) % np.uint64(shards)).astype(np.int32), 1)
 
     def run(batches):
         held, total = [], 0
         for batch in batches:
-            for rows, data, offsets in pieces(batch, "t"):
+            for rows, data, offsets in pieces(batch, "t", _PIECE):
                 doc, first, runs, anchor, piece = cut(data, offsets, width, gram)
                 k, h = rows.column(0).to_numpy(), rows.column(1).to_numpy()
                 held.append((anchor, piece, k[doc], h[doc], first.astype(np.uint32), runs.astype(np.uint16)))
@@ -215,7 +218,7 @@ def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: i
     def run(batches):
         runs, last = [], None
         for batch in batches:
-            for rows, data, offsets in pieces(batch, text):
+            for rows, data, offsets in pieces(batch, text, _PIECE):
                 asked_ = rows.column(rows.num_columns - 1)
                 number = asked_.value_lengths().to_numpy()
                 flat = asked_.flatten()
@@ -334,7 +337,7 @@ def dedup_substrings(
 
     def run(batches):
         for batch in batches:
-            for rows, data, offsets in pieces(batch, text):
+            for rows, data, offsets in pieces(batch, text, _PIECE):
                 lists_ = rows.column(rows.num_columns - 1)
                 number = lists_.value_lengths().fill_null(0).to_numpy()
                 flat = lists_.drop_null().flatten()

@@ -40,7 +40,7 @@ CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 def _grow(n: int) -> None:
     if len(_powers[0]) > n:
         return
-    size = max(1 << 20, 1 << int(n).bit_length())
+    size = max(1 << 18, 1 << int(n).bit_length())
     for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
@@ -165,13 +165,15 @@ def annotate(
     fields: T.StructType,
     measure: Callable[[], Callable[[np.ndarray, np.ndarray], dict]],
     keep: str | None = None,
+    size: int = 1 << 20,
 ) -> DataFrame:
     """All columns of ``docs`` and a struct ``into`` with what ``measure`` finds in each text.
 
     ``measure()`` is called once in each task and returns a function of
     (bytes, offsets) that gives one value per text for every field.  A column
     called like ``into`` is replaced.  With ``keep``, the name of a boolean
-    field, only rows where it holds are returned, without the struct.
+    field, only rows where it holds are returned, without the struct.  ``size``
+    is the text that ``measure`` sees at once (see :func:`pieces`).
     """
     rest = docs.drop(into)
     schema = rest.schema if keep else T.StructType([*rest.schema.fields, T.StructField(into, fields)])
@@ -180,7 +182,7 @@ def annotate(
     def run(batches):
         found = measure()
         for batch in batches:
-            for rows, data, offsets in pieces(batch, text):
+            for rows, data, offsets in pieces(batch, text, size):
                 values = found(data, offsets)
                 if keep:
                     yield rows.filter(pa.array(values[keep]))

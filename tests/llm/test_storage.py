@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from isograd.llm import storage
+from isograd.llm import storage, text
 
 SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -35,3 +36,10 @@ def test_a_setting_of_the_session_holds(spark):
         assert rows == 500 and size <= 2 * (64 << 10) and spark.conf.get(SETTING) == "64k"
     finally:
         spark.conf.unset(SETTING)
+
+
+def test_measures_see_no_more_text_at_once_than_asked(spark):
+    docs = spark.range(0, 40, 1, 1).select("id", F.repeat(F.lit("x"), 50_000).alias("t"))
+    fields = T.StructType([T.StructField("seen", T.LongType())])
+    got = text.annotate(docs, "t", "m", fields, lambda: lambda data, offsets: {"seen": [len(data)] * (len(offsets) - 1)}, size=1 << 18)
+    assert {r.m.seen for r in got.collect()} == {250_000}

@@ -16,54 +16,48 @@ Common prefixes of neighbours are extended symbol by symbol.
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 
 
 #: Entries of the transform in memory during a round.
 BLOCK = 1 << 16
+#: Bytes of each of its two files up to which it stays in memory: buckets of the usual size write nothing to disk.
+HELD = 32 << 20
 
 
 class _File:
-    """The transform between rounds: sorted entries, read and written in order."""
+    """The transform between rounds: sorted entries, read and written in order, on disk from ``HELD`` bytes on."""
 
-    def __init__(self, folder: str, low: np.uint64):
-        self.paths, self.low = [os.path.join(folder, f"transform{i}") for i in (0, 1)], low
-        open(self.paths[0], "wb").close()
+    def __init__(self, files: ExitStack, folder: str | None, low: np.uint64, strings: int):
+        self.old, self.out = (files.enter_context(tempfile.SpooledTemporaryFile(HELD, dir=folder)) for _ in range(2))
+        self.low, self.strings, self.count = low, strings, 0
 
     def blocks(self) -> Iterator[np.ndarray]:
-        with open(self.paths[0], "rb") as held:
-            while len(block := np.fromfile(held, dtype=np.uint64, count=BLOCK)):
-                yield block
+        self.old.seek(0)
+        for at in range(0, self.count, BLOCK):
+            yield np.frombuffer(self.old.read(8 * min(BLOCK, self.count - at)), dtype=np.uint64)
 
     def merge(self, entry: np.ndarray, new: np.ndarray) -> np.ndarray:
         """Move the places behind the ``new`` suffixes and insert the sorted entries; returns their ranks."""
-        shift = (new - np.arange(len(new))).astype(np.uint32)
-        cells = np.cumsum(np.bincount(shift >> 2), dtype=np.uint32)
-        before = np.concatenate([[0], cells, cells[-1:]]).astype(np.uint32)  # shifts below every fourth place, none above the last
-
-        def shifts(place: np.ndarray) -> np.ndarray:
-            cell = np.minimum(place >> 2, len(before) - 2)
-            count = before[cell]
-            several = np.flatnonzero(before[cell + 1] != count)
-            count[several] = np.searchsorted(shift, place[several], side="right")
-            return count
-
+        places = self.strings + self.count - len(new)
+        behind = np.diff(np.concatenate([[0], new - np.arange(len(new)), [places]]))
+        shift = np.repeat(np.arange(len(new) + 1, dtype=np.uint32), behind)  # of every place
         rank, done, read = np.empty(len(entry), dtype=np.int64), 0, 0
-        with open(self.paths[1], "wb") as out:
-            for block in self.blocks():
-                block += shifts((block & self.low).astype(np.uint32))
-                upto = int(np.searchsorted(entry, block[-1]))
-                at = np.searchsorted(block, entry[done:upto])
-                rank[done:upto] = read + at + np.arange(done, upto)
-                np.insert(block, at, entry[done:upto]).tofile(out)
-                done, read = upto, read + len(block)
-            rank[done:] = read + np.arange(done, len(entry))
-            entry[done:].tofile(out)
-        self.paths.reverse()
+        self.out.seek(0)  # a round writes no less than the one before: nothing of that is left
+        for block in self.blocks():
+            block = block + shift[(block & self.low).view(np.int64)]
+            upto = int(np.searchsorted(entry, block[-1]))
+            at = np.searchsorted(block, entry[done:upto])
+            rank[done:upto] = read + at + np.arange(done, upto)
+            self.out.write(np.insert(block, at, entry[done:upto]).data)
+            done, read = upto, read + len(block)
+        rank[done:] = read + np.arange(done, len(entry))
+        self.out.write(entry[done:].data)
+        self.old, self.out, self.count = self.out, self.old, self.count + len(entry)
         return rank
 
 
@@ -96,8 +90,8 @@ def sorted_suffixes(symbol: np.ndarray, end: np.ndarray, size: np.ndarray, q: in
         order = np.argsort(entry)
         return entry[order], strings[order]
 
-    with tempfile.TemporaryDirectory(dir=folder) as held:
-        file, strings, length = _File(held, low), np.arange(count), 0
+    with ExitStack() as files:
+        file, strings, length = _File(files, folder, low, count), np.arange(count), 0
         place, new = np.arange(count), np.zeros(0, dtype=np.int64)  # empty suffixes keep the order of their strings
         while len(strings):
             entry, strings = before(strings, length, place)

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from isograd.llm.columnwise import later_copies
-from isograd.llm.storage import free_names, shuffle_partitions, stored
+from isograd.llm.storage import BATCH_BYTES, free_names, shuffle_partitions, stored
 from isograd.llm.text import Spans, mix, pieces, repeats
 
 WIDTH = 100
@@ -53,6 +53,7 @@ BUCKET_BYTES = 2 << 20
 BUCKETS_A_TASK = 8
 _SLICE = 8 << 20
 _FLUSH = 4_000_000
+_RUNS = 200_000
 _PIECE = 1 << 18
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -60,12 +61,11 @@ _MARKS = "kind byte, meet long, k long, h long, p long, n long"
 
 
 def _least_in_windows(keys: np.ndarray, width: int) -> np.ndarray:
-    """Least key of every run of ``width`` keys, from running minima of blocks."""
-    count = len(keys) - width + 1
-    blocks = np.concatenate([keys, np.full(-len(keys) % width, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
+    """Least key of every run of ``width`` keys, from runs of 1, 2, 4 ... keys."""
+    least, run = keys, 1
+    while 2 * run <= width:
+        least, run = np.minimum(least[:-run], least[run:]), 2 * run
+    return np.minimum(least[: len(keys) - width + 1], least[width - run :])
 
 
 def cut(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -90,7 +90,7 @@ def cut(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int = G
         hashes = np.concatenate([hashes, np.zeros(width - gram + 1 - len(hashes), dtype=np.uint64)])
     place = np.arange(len(hashes), dtype=np.uint64)
     anchor = (_least_in_windows((hashes & ~_PLACE) | place, width - gram + 1) & _PLACE).astype(np.int64)
-    inside = np.cumsum(edge[: len(anchor)]) > 0
+    inside = np.cumsum(edge[: len(anchor)], dtype=np.int8) > 0
     same = np.zeros(len(anchor) + 1, dtype=bool)
     same[1:-1] = inside[1:] & inside[:-1] & (anchor[1:] == anchor[:-1])
     first = np.flatnonzero(inside & ~same[:-1])
@@ -110,6 +110,11 @@ def _firsts(columns: list[np.ndarray], keys: int) -> tuple[np.ndarray, np.ndarra
     return order, np.ones(0, dtype=bool)
 
 
+def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The bytes of the values as rows that begin at these offsets."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _sent(own: DataFrame, width: int, gram: int, shards: int) -> DataFrame:
     """Packed pieces by shard (kind 0), and marks of copies inside a task (kind 1)."""
     names = ["a", "s", "k", "h", "p", "n"]
@@ -117,12 +122,17 @@ def _sent(own: DataFrame, width: int, gram: int, shards: int) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def packed(columns, at, shard, kind):
+        """A row for each shard; batches hold about ``BATCH_BYTES``, so that their number follows the bytes, not the shards."""
         order = np.argsort(shard, kind="stable")
         at, shard = at[order], shard[order]
         cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else np.zeros(1, np.int64)
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            row = [[int(shard[a])], [kind], *[[c[at[a:b]].tobytes()] for c in columns]]
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
+        batch = cuts[:-1] * sum(c.itemsize for c in columns) // BATCH_BYTES
+        firsts = np.flatnonzero(np.concatenate([[True], batch[1:] != batch[:-1], [True]])) if len(batch) else np.zeros(1, np.int64)
+        for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+            inside = at[cuts[a] : cuts[b]]
+            row = [pa.array(shard[cuts[a:b]], pa.int32()), pa.array(np.full(b - a, kind, np.int8), pa.int8())]
+            row += [_binary(c[inside], (cuts[a : b + 1] - cuts[a]) * c.itemsize) for c in columns]
+            yield pa.RecordBatch.from_arrays(row, schema=arrow)
 
     def flush(held):
         if not held:
@@ -208,15 +218,15 @@ def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: i
 
     def single(runs):
         """One piece for each run of a hot anchor; of equal ones in the task the first, and marks for the others."""
-        hashes, k, h, p, body = zip(*runs, strict=True)
-        columns = [np.array(c, dtype=t) for c, t in ((hashes, np.uint64), (k, np.int64), (h, np.int64), (p, np.int64))]
+        *columns, body = (np.concatenate(c) for c in zip(*runs, strict=True))
         order, first = _firsts(columns, 1)
-        bucket = (mix(columns[0]) % np.uint64(buckets)).astype(np.int32)[order]
-        bodies = [body[i] if f else None for i, f in zip(order.tolist(), first.tolist(), strict=True)]
-        return batch_of(bucket, columns[1][order], columns[2][order], columns[3][order], np.ones(len(order), np.int64), bodies)
+        bucket = (mix(columns[0]) % np.uint64(buckets)).astype(np.int32)
+        for at, text in ((order[first], True), (order[~first], False)):
+            bodies = _binary(body[at], np.arange(len(at) + 1) * width) if text else pa.nulls(len(at), pa.binary())
+            yield batch_of(bucket[at], *(c[at] for c in columns[1:]), np.ones(len(at), np.int64), bodies)
 
     def run(batches):
-        runs, last = [], None
+        runs, held_runs, last = [], 0, None
         for batch in batches:
             for rows, data, offsets in pieces(batch, text, _PIECE):
                 asked_ = rows.column(rows.num_columns - 1)
@@ -242,16 +252,17 @@ def _pieces(docs: DataFrame, text: str, asked: DataFrame, width: int, buckets: i
                 yield batch_of(bucket[usual], k[usual], h[usual], p[usual], n[usual], body)
                 hot = np.flatnonzero(bucket < 0)
                 if len(hot):
-                    spans = Spans(data)
-                    for i in hot.tolist():
-                        starts = begin[i] + np.arange(n[i])
-                        values = spans.hash(starts, starts + width).tolist()
-                        runs += [(v, k[i], h[i], int(p[i]) + j, held[a : a + width]) for j, (v, a) in enumerate(zip(values, starts.tolist(), strict=True))]
-                    if len(runs) > 200_000:
-                        yield single(runs)
-                        runs = []
+                    of = np.repeat(hot, n[hot])
+                    place = np.arange(len(of)) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
+                    starts = begin[of] + place
+                    texts = np.lib.stride_tricks.sliding_window_view(data, width)[starts]
+                    runs.append((Spans(data).hash(starts, starts + width), k[of], h[of], p[of] + place, texts))
+                    held_runs += len(of)
+                    if held_runs > _RUNS:
+                        yield from single(runs)
+                        runs, held_runs = [], 0
         if runs:
-            yield single(runs)
+            yield from single(runs)
 
     return both.mapInArrow(run, schema)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from isograd.llm import columnwise, suffix
@@ -156,3 +157,43 @@ def test_columns_may_have_any_name(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.dedup_substrings(docs).collect() == []
+
+
+def test_transforms_of_usual_buckets_stay_in_memory(monkeypatch, tmp_path):
+    texts = [t.encode() for _, t in corpus(7) if t]
+    data, offsets = np.frombuffer(b"".join(texts), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = later_copies(data, offsets, suffix.WIDTH, folder=str(tmp_path / "no such folder"))
+    monkeypatch.setattr(columnwise, "HELD", 1000)
+    monkeypatch.setattr(columnwise, "BLOCK", 500)
+    with pytest.raises(FileNotFoundError):  # larger ones go to disk
+        later_copies(data, offsets, suffix.WIDTH, folder=str(tmp_path / "no such folder"))
+    on_disk = later_copies(data, offsets, suffix.WIDTH, folder=str(tmp_path))
+    assert len(found[0]) and all(a.tolist() == b.tolist() for a, b in zip(found, on_disk, strict=True))
+
+
+def test_batches_of_sent_pieces_follow_their_bytes(monkeypatch):
+    """A task sends a row to each shard, but not a batch for each row."""
+    rows = [(i, 7, t) for i, (_, t) in enumerate(corpus(8)) if t]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["k", "h", "t"])
+
+    class Table:
+        select = lambda self, *columns: self
+        mapInArrow = lambda self, run, schema: list(run([batch]))  # noqa: E731, N815
+
+    def pieces_of(batches):
+        sent = pa.Table.from_batches(batches).to_pylist()
+        kinds = dict(a=np.uint64, s=np.uint64, k=np.int64, h=np.int64, p=np.uint32, n=np.uint16)
+        return sorted((r["kind"], r["shard"], *piece) for r in sent for piece in zip(*(np.frombuffer(r[c], t).tolist() for c, t in kinds.items()), strict=True))
+
+    few = suffix._sent(Table(), suffix.WIDTH, suffix.GRAM, 500)
+    assert len(few) == 2
+    monkeypatch.setattr(suffix, "BATCH_BYTES", 1)
+    many = suffix._sent(Table(), suffix.WIDTH, suffix.GRAM, 500)
+    assert len(many) == sum(b.num_rows for b in few) > 300
+    assert pieces_of(few) == pieces_of(many)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 64, 73, 300])
+def test_least_in_windows(width):
+    keys = np.random.default_rng(width).integers(0, 1 << 63, 300, dtype=np.uint64)
+    assert suffix._least_in_windows(keys, width).tolist() == [min(keys[i : i + width].tolist()) for i in range(301 - width)]
